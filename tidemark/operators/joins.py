@@ -80,11 +80,11 @@ def array_lookup(
     came from.
     """
     side = unique_lookup(dim, [on], value, "_value").select(F.col(on).alias("_element"), "_value")
-    elements = df.select(*row_key, F.posexplode(array_col).alias("_pos", "_element"))
+    elements = df.select(*row_key, F.posexplode(array_col).alias("_element_no", "_element"))
     found = elements.join(side, "_element", "left")
     rebuilt = found.groupBy(*row_key).agg(
         F.sort_array(
-            F.collect_list(F.when(F.col("_value").isNotNull(), F.struct("_pos", "_value")))
+            F.collect_list(F.when(F.col("_value").isNotNull(), F.struct("_element_no", "_value")))
         ).alias("_values"),
         F.count(F.when(F.col("_value").isNull(), 1)).alias("_unknown"),
     )
