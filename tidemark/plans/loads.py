@@ -54,7 +54,7 @@ def resolve_lines(
     lines = invoices.select(key, F.posexplode("line_items").alias("_pos", "_line"))
     flat = lines.select(key, "_pos", F.col("_line.*"))
     coded = lookup(flat, catalogue, [("product_code", "name")], "res_id", "product_id")
-    taxed = array_lookup(coded, [key, "_pos"], "tax_names", taxes, "name", "id", "tax_ids", "_unknown")
+    taxed = array_lookup(coded, [key, "_pos"], "tax_names", taxes, "name", "id", "tax_ids", "unresolved_taxes")
     nested = taxed.groupBy(key).agg(
         F.sort_array(
             F.collect_list(
@@ -67,7 +67,7 @@ def resolve_lines(
                 )
             )
         ).alias("_lines"),
-        F.sum("_unknown").alias("unresolved_taxes"),
+        F.sum("unresolved_taxes").alias("unresolved_taxes"),
     )
     return nested.select(
         key, F.transform("_lines", lambda s: s["line"]).alias("invoice_line_ids"), "unresolved_taxes"
