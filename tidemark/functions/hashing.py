@@ -13,32 +13,32 @@ ROWHASH = "_rowhash"
 SEPARATOR = "|"
 
 
-def canonical(col: Column, dtype: T.DataType) -> Column:
-    """The string a value contributes to a hash; null contributes ''.
+def canonical(name: str, dtype: T.DataType) -> str:
+    """SQL of the text a column contributes to a hash; null contributes ''.
 
     Floating point goes through a decimal with four places, because the text of a raw
     double differs between engines (``1``, ``1.0``, ``1.0E10``). Values a decimal cannot
     hold (NaN, infinities) fall back to their own text.
     """
+    col = f"`{name}`"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = F.coalesce(col.try_cast("decimal(38,4)").cast("string"), col.cast("string"))
-    elif isinstance(dtype, T.BinaryType):
-        text = F.hex(col)
-    elif isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        text = F.to_json(col)
-    else:
-        text = col.cast("string")
-    return F.coalesce(text, F.lit(""))
+        return f"coalesce(string(try_cast({col} as decimal(38,4))), string({col}), '')"
+    if isinstance(dtype, T.BinaryType):
+        return f"coalesce(hex({col}), '')"
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return f"coalesce(to_json({col}), '')"
+    return f"coalesce(string({col}), '')"
 
 
 def hash_of(df: DataFrame, cols: Sequence[str]) -> Column:
     """MD5 hex over the pipe-joined canonical form of ``cols`` of ``df``.
 
     A pipe inside a value can collide with the separator; the format is kept because
-    consumers compare stored hashes.
+    consumers compare stored hashes. (One SQL expression, as payloads are wide.)
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.md5(F.concat_ws(SEPARATOR, *[canonical(F.col(c), types[c]) for c in cols]))
+    parts = ", ".join(canonical(c, types[c]) for c in cols)
+    return F.expr(f"md5(concat_ws('{SEPARATOR}', {parts}))")
 
 
 def with_hashes(df: DataFrame, key: Sequence[str], payload: Sequence[str]) -> DataFrame:

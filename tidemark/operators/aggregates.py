@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import in_window, iso_week_start
 
-MONEY = "decimal(18,4)"
+UNIT = 10_000
 
 
 def min_max_by(df: DataFrame, keys: Sequence[str], mins: Mapping[str, str], maxs: Mapping[str, str]) -> DataFrame:
@@ -28,18 +28,28 @@ def count_window(df: DataFrame, column: str, as_of: date, start: int = -1, end:
     return in_window(df, column, as_of, start, end).agg(F.count(F.lit(1)).alias("total"))
 
 
-def money_sum(value: Column, when: Column | None = None, otherwise: int | None = None) -> Column:
-    """Exact sum of money, rounded to cents.
+def units(value: str) -> Column:
+    """Money (a SQL expression) as whole ten-thousandths, half away from zero.
 
-    Sums run on decimals: a sum of doubles depends on the order of partitions, and a
-    flapping last digit would change row hashes and send false deltas.
+    Exact for amounts up to 9e11; a long sums many times faster than a wide decimal, and
+    unlike a sum of doubles it does not depend on the order of partitions. (A flapping last
+    digit would change row hashes and send false deltas.)
     """
-    exact = value.cast(MONEY)
-    if when is not None:
-        exact = F.when(when, exact)
-        if otherwise is not None:
-            exact = exact.otherwise(F.lit(otherwise).cast(MONEY))
-    return F.round(F.sum(exact), 2)
+    return F.expr(f"if(({value}) < 0, -1L, 1L) * floor(abs(double({value})) * {UNIT} + 0.5D)")
+
+
+def amount(total: str, places: int = 2) -> Column:
+    """A sum of units (a SQL expression) as a decimal amount, half away from zero."""
+    return F.expr(f"round(cast({total} as decimal(19,0)) / {UNIT}, {places})")
+
+
+def money_sum(value: str, when: str | None = None, zero: bool = False) -> Column:
+    """Sum of a column of units where a condition holds, as an amount in cents.
+
+    Without any such row it is null, or 0 with ``zero``. Overflow is an error.
+    """
+    total = f"sum({value})" if when is None else f"sum({value}) filter (where {when})"
+    return amount(f"coalesce({total}, 0L)" if zero else total)
 
 
 def week_counts(sales: DataFrame, keys: Sequence[str], ts_col: str, count_col: str) -> DataFrame:

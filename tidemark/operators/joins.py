@@ -187,8 +187,8 @@ def restrict_dim(
 ) -> DataFrame:
     """Dimension rows whose key is one of the ids in a batch (or id + suffix)."""
     ids = F.array(*[F.col(c).cast("string") for c in id_cols])
-    if suffixes:
-        ids = F.concat(ids, *[F.transform(ids, lambda i, s=s: F.concat(i, F.lit(s))) for s in suffixes])
+    endings = F.array(*[F.lit(s) for s in ("", *suffixes)])
+    ids = F.flatten(F.transform(endings, lambda end: F.transform(ids, lambda i: F.concat(i, end))))
     wanted = batch.select(F.explode(ids).alias("_id")).where(F.col("_id").isNotNull()).distinct()
     return dim.join(wanted, F.col(dim_key).cast("string") == F.col("_id"), "left_semi")
 

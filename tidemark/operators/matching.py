@@ -143,30 +143,33 @@ def _keys(df: DataFrame, frequent: Column, shares: Mapping[str, float]) -> DataF
     df = df.withColumn("_frequent", frequent)
     df = df.withColumn("sorted_words", F.transform(ordered, lambda s: s["w"])).drop("_frequent")
 
-    def key(tag: str, *cols: Column) -> Column:
+    def anchor(tag: str, *cols: Column) -> Column:
         present = F.lit(True)
         for c in cols:
             present = present & c.isNotNull()
         return F.when(present, F.xxhash64(F.lit(tag), F.col("iso_code"), *cols))
 
-    def each(array: Column, tag: str, *cols: Column) -> Column:
-        return F.transform(array, lambda w: key(tag, w, *cols))
+    def with_words(anchors: list[Column], array: Column) -> Column:
+        """Every anchor value that is present, combined with every word."""
+        crossed = F.transform(
+            F.array_compact(F.array(*anchors)), lambda a: F.transform(array, lambda w: F.xxhash64(a, w))
+        )
+        return F.flatten(crossed)
 
-    every = F.col("sorted_words")
     places = {"z": F.col("zip"), "n": F.col("street_no")}
     contacts = {"d": F.col("domain"), "p": F.col("phone"), "w": F.col("website")}
     legal = F.col("legal_id")
-    keys = [each(_rare(shares["none"]), t, c) for t, c in places.items()]
-    for t, c in contacts.items():
-        keys.append(each(_rare(shares["contact"]), t, c))
-        keys += [each(every, t + p, c, place) for p, place in places.items()]
-        keys.append(each(every, t + "l", c, legal))
-    keys.append(each(_rare(shares["legal"]), "l", legal))
-    keys += [each(every, "l" + p, legal, place) for p, place in places.items()]
-    keys.append(F.array(key("a", legal, *places.values(), F.col("street"), F.col("city"))))
-    return df.select(
-        "profile_id", F.explode(F.array_distinct(F.array_compact(F.flatten(F.array(*keys))))).alias("block")
-    )
+    placed = [anchor(c + p, cv, pv) for c, cv in contacts.items() for p, pv in places.items()]
+    placed += [anchor(c + "l", cv, legal) for c, cv in contacts.items()]
+    placed += [anchor("l" + p, legal, pv) for p, pv in places.items()]
+    keys = [
+        with_words([anchor(p, v) for p, v in places.items()], _rare(shares["none"])),
+        with_words([anchor(c, v) for c, v in contacts.items()], _rare(shares["contact"])),
+        with_words([anchor("l", legal)], _rare(shares["legal"])),
+        with_words(placed, F.col("sorted_words")),
+        F.array_compact(F.array(anchor("a", legal, *places.values(), F.col("street"), F.col("city")))),
+    ]
+    return df.select("profile_id", F.explode(F.array_distinct(F.flatten(F.array(*keys)))).alias("block"))
 
 
 def frequent_words(*sides: DataFrame, least_share: float = 1e-3) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import first_times, iso_country, rounded_long, safe_ratio
+from tidemark.functions.clean import first_times, iso_country, rounded_long
 from tidemark.functions.clock import day, stamp_scd, ts
 from tidemark.functions.hashing import with_hashes
-from tidemark.operators.aggregates import MONEY, money_sum
+from tidemark.operators.aggregates import amount, money_sum, units
 from tidemark.operators.joins import price_lookup
 
 # Which invoice lines take part.
@@ -87,9 +87,6 @@ def priced_lines(lines: DataFrame, prices: DataFrame, customers: DataFrame, coun
     )
     known = priced.join(ids, F.col("SalesforceEstablishmentID") == F.col("_uid"), "left")
 
-    def money(c: Column) -> Column:
-        return c.cast(MONEY)
-
     return known.select(
         F.col("ParentBill").alias("parent_bill"),
         F.col("BookingDate").cast("date").alias("booking_date"),
@@ -109,54 +106,57 @@ def priced_lines(lines: DataFrame, prices: DataFrame, customers: DataFrame, coun
         F.col("Label").alias("label"),
         F.col("ProductIsSetup").alias("is_setup"),
         F.col("PriceAdjustment").isNotNull().alias("is_promo"),
-        money(F.col("Quantity")).alias("line_quantity"),
-        money(F.round("UnitPrice", 2)).alias("unit_price"),
-        money(F.round("NetPriceEUR", 2)).alias("net"),
-        money(first_times(money(F.col("Quantity")), money(F.col("_platform")))).alias("platform_list"),
-        money(first_times(money(F.col("Quantity")), money(F.col("_partner")))).alias("partner_list"),
-        money(first_times(money(F.col("Quantity")), money(F.col("_list")))).alias("customer_list"),
+        F.col("Quantity").alias("line_quantity"),
+        F.round("UnitPrice", 2).alias("unit_price"),
+        F.round("NetPriceEUR", 2).alias("net"),
+        first_times("Quantity", "_platform").alias("platform_list"),
+        first_times("Quantity", "_partner").alias("partner_list"),
+        first_times("Quantity", "_list").alias("customer_list"),
     )
 
 
 def commission_measures(lines: DataFrame) -> DataFrame:
     """22 conditional measures per :data:`KEYS`, exact to the cent."""
-    promo, regular = F.col("is_promo"), ~F.col("is_promo")
-    setup = F.coalesce(F.col("is_setup"), F.lit(False))
-    recurring = F.coalesce(~F.col("is_setup"), F.lit(False))
-    net = F.col("net")
-
-    def share_of_net(part: str) -> Column:
-        ratio = safe_ratio(F.col(part).cast("double"), F.col("customer_list").cast("double"))
-        return ratio * net.cast("double")
-
-    partner_regular = F.sum(F.when(regular, F.col("partner_list")))
-    recurring_promo = F.sum(F.when(recurring & promo, net).otherwise(F.lit(0).cast(MONEY)))
+    share = "try_divide(double({}), nullif(double(customer_list), 0D)) * double(net)"
+    exact = lines.select(
+        *KEYS, "is_promo", "is_setup", "unit_price",
+        units("line_quantity").alias("line_quantity"),
+        units("net").alias("net"),
+        units("partner_list").alias("partner_list"),
+        units(share.format("partner_list")).alias("partner_share"),
+        units(share.format("platform_list")).alias("platform_share"),
+    )
+    regular, promo = "not is_promo", "is_promo"
+    setup, recurring = "is_setup", "not is_setup"
     measures = {
-        "quantity": money_sum(F.col("line_quantity"), regular),
-        "price_per_unit": F.round(F.max(F.when(regular, F.col("unit_price"))), 2),
-        "theoretica_oneshot_amount": money_sum(net, regular),
-        "actual_oneshot_amount": money_sum(net),
-        "theoretical_MFR_commission_oneshot": money_sum(share_of_net("partner_list"), regular),
-        "promotions_amount_oneshot": money_sum(net, promo, 0),
-        "net_group_oneshot": money_sum(net, regular),
-        "net_MFR_oneshot": money_sum(net),
-        "monthly_invoiced_subscription": money_sum(net, recurring, 0),
-        "theoretical_MFR_commission_monthly": money_sum(F.col("partner_list"), regular),
-        "amount_promotions_recurring": money_sum(net, recurring & promo, 0),
-        "net_group_monthly": money_sum(net, recurring & regular, 0),
+        "quantity": money_sum("line_quantity", regular),
+        "price_per_unit": F.expr(f"max(unit_price) filter (where {regular})"),
+        "theoretica_oneshot_amount": money_sum("net", regular),
+        "actual_oneshot_amount": money_sum("net"),
+        "theoretical_MFR_commission_oneshot": money_sum("partner_share", regular),
+        "promotions_amount_oneshot": money_sum("net", promo, zero=True),
+        "net_group_oneshot": money_sum("net", regular),
+        "net_MFR_oneshot": money_sum("net"),
+        "monthly_invoiced_subscription": money_sum("net", recurring, zero=True),
+        "theoretical_MFR_commission_monthly": money_sum("partner_list", regular),
+        "amount_promotions_recurring": money_sum("net", f"{recurring} and {promo}", zero=True),
+        "net_group_monthly": money_sum("net", f"{recurring} and {regular}", zero=True),
         # Null when the group has no regular line, like its first part.
-        "net_MFR_monthly": F.round(partner_regular + recurring_promo, 2),
-        "total_theoretical_reccuring_monthly_MFR": money_sum(net, recurring & regular, 0),
-        "total_theoretical_one_shot_monthly_MFR": money_sum(net, setup & regular, 0),
-        "total_promotion_one_shot": money_sum(net, setup & promo, 0),
-        "total_promotion_reccuring": money_sum(net, recurring & promo, 0),
-        "total_commission_reccuring_MFR": money_sum(net, recurring, 0),
-        "total_commission_one_shot_MFR": money_sum(net, setup, 0),
-        "total_monthly_promo": money_sum(net, promo, 0),
-        "total_monthly_DISH": money_sum(share_of_net("platform_list"), regular),
-        "total_invoiced": money_sum(net),
+        "net_MFR_monthly": amount(
+            f"sum(partner_list) filter (where {regular})"
+            f" + coalesce(sum(net) filter (where {recurring} and {promo}), 0L)"
+        ),
+        "total_theoretical_reccuring_monthly_MFR": money_sum("net", f"{recurring} and {regular}", zero=True),
+        "total_theoretical_one_shot_monthly_MFR": money_sum("net", f"{setup} and {regular}", zero=True),
+        "total_promotion_one_shot": money_sum("net", f"{setup} and {promo}", zero=True),
+        "total_promotion_reccuring": money_sum("net", f"{recurring} and {promo}", zero=True),
+        "total_commission_reccuring_MFR": money_sum("net", recurring, zero=True),
+        "total_commission_one_shot_MFR": money_sum("net", setup, zero=True),
+        "total_monthly_promo": money_sum("net", promo, zero=True),
+        "total_monthly_DISH": money_sum("platform_share", regular),
+        "total_invoiced": money_sum("net"),
     }
-    return lines.groupBy(*KEYS).agg(*[measures[m].alias(m) for m in MEASURES])
+    return exact.groupBy(*KEYS).agg(*[measures[m].alias(m) for m in MEASURES])
 
 
 def commission_snapshot(

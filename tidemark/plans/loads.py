@@ -21,6 +21,7 @@ from tidemark.operators.joins import (
     unique_lookup,
 )
 from tidemark.operators.ordering import ntile_batch
+from tidemark.session import checkpointed
 
 
 # Type of ``line_items`` in the invoices to load.
@@ -86,10 +87,11 @@ def prepare_invoices(
     ``loaded`` holds the names already in the target; of copies within the batch the first
     is taken. An invoice whose partner nobody knows is rejected with the reason.
     """
-    fresh = skip_loaded(invoices, loaded, "move_name", ["write_date"])
+    # Headers, lines and rejects all start from these rows; find them once.
+    fresh = checkpointed(skip_loaded(invoices, loaded, "move_name", ["write_date"]))
     resolved, rejected = resolve_partners(fresh, "partner_uuid", partners, external_ids)
     catalogue = external_ids.where(F.col("module") == "dish_product_catalog").select("name", "res_id")
-    lines = resolve_lines(resolved, "move_name", catalogue, taxes)
+    lines = resolve_lines(fresh, "move_name", catalogue, taxes)
     empty = F.array().cast(lines.schema["invoice_line_ids"].dataType)
     ok = resolved.join(lines, "move_name", "left").select(
         F.col("move_name").alias("name"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import since, ts
-from tidemark.operators.aggregates import MONEY, week_lags
+from tidemark.operators.aggregates import amount, units, week_lags
 from tidemark.operators.joins import unseen
 
 SALE_KEY = ["branch_office_id", "product_id", "family_group_id"]
@@ -101,7 +101,7 @@ def product_overview(
         F.min("timestamp").cast("date").alias("first_sale"),
         F.max("timestamp").cast("date").alias("last_sale"),
         F.sum("count").alias("total_count"),
-        F.sum(F.col("total_money").cast(MONEY)).alias("_money"),
+        F.sum(units("total_money")).alias("_money"),
     )
     lags = week_lags(since(sales, "timestamp", as_of, months=2), SALE_KEY, "timestamp", "count", as_of, LAGS)
     week = (
@@ -131,6 +131,6 @@ def product_overview(
             F.min("first_sale").alias("first_sale"),
             F.max("last_sale").alias("last_sale"),
             F.sum("total_count").alias("total_count"),
-            F.round(F.sum("_money"), 2).cast("double").alias("total_revenue"),
+            amount("sum(_money)").cast("double").alias("total_revenue"),
         )
     )

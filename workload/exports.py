@@ -257,8 +257,8 @@ lines as (select 'B' || l_orderkey as parent_bill, cast(l_shipdate as date) as b
   cast(l_suppkey as varchar) as salesforce_account_id, s_suppkey as metro_id, s_name as siren_no, src.p_brand as product_code,
   src.p_brand as product_base_code, p_type as label, setup, promo, cast(l_quantity as decimal(18,4)) as qty,
   cast(p_retailprice as decimal(18,4)) as unit_price, cast(l_extendedprice as decimal(18,4)) as net,
-  round(coalesce(platform, 0) * l_quantity, 4) as platform_list, round(coalesce(partner, 0) * l_quantity, 4) as partner_list,
-  round(coalesce(cust, 0) * l_quantity, 4) as customer_list
+  coalesce(platform, 0) * l_quantity as platform_list, coalesce(partner, 0) * l_quantity as partner_list,
+  coalesce(cust, 0) * l_quantity as customer_list
   from src left join prices p on p.p_brand = src.p_brand and p.fee = l_returnflag and l_shipdate between a and b
   left join supplier on s_suppkey = l_suppkey),
 measured as (select {_KEYS}, cast(round(sum(qty) filter (where not promo), 0) as bigint) as quantity,
