@@ -1,9 +1,14 @@
 """Join shapes the jobs share.
 
 No join here carries a broadcast hint for caller data: the optimizer broadcasts a side
-only where its size is known to be small, and otherwise shuffles, splitting hot keys
-(adaptive skew join). The looked-up side is reduced to one row per key first, so a hot key
-meets one partner row.
+only where its size is known to be small, and otherwise shuffles. The looked-up side is
+reduced to one row per key first, so a hot key meets one partner row.
+
+Hot keys of the other side are split at run time (adaptive skew join). Spark can do that
+only where both sides of a join are fresh shuffles; a side that was grouped by the join key
+would be joined in place, and the hot partition would stay one task. :func:`join_unique`
+therefore joins on a hash of the keys as well: one more shuffle of the reduced side buys
+the split of the large one.
 """
 
 from __future__ import annotations
@@ -28,6 +33,19 @@ def unique_lookup(dim: DataFrame, keys: Sequence[str], value: str, out: str) ->
     return known.groupBy(*keys).agg(F.min(value).alias(out))
 
 
+def route(*keys: Column | str) -> Column:
+    return F.xxhash64(*keys)
+
+
+def join_unique(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a side that was grouped by ``keys``, leaving hot keys of ``df`` splittable."""
+    return (
+        df.withColumn("_route", route(*keys))
+        .join(side.withColumn("_route", route(*keys)), ["_route", *keys], how)
+        .drop("_route")
+    )
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -37,14 +55,18 @@ def lookup(
     default=None,
 ) -> DataFrame:
     """Left lookup of one value by one or more key pairs ``(df column, dim column)``."""
-    side = unique_lookup(dim, [d for _, d in on], value, "_found")
-    side = side.select(*[F.col(d).alias(f"_dim_{i}") for i, (_, d) in enumerate(on)], "_found")
-    cond = F.lit(True)
+    found = unique_lookup(dim, [d for _, d in on], value, "_found")
+    side = found.select(
+        *[F.col(d).alias(f"_dim_{i}") for i, (_, d) in enumerate(on)],
+        "_found",
+        route(*[d for _, d in on]).alias("_dim_route"),
+    )
+    cond = route(*[k for k, _ in on]) == F.col("_dim_route")
     for i, (left, _) in enumerate(on):
         cond = cond & (F.col(left) == F.col(f"_dim_{i}"))
     joined = df.join(side, cond, "left")
-    found = F.col("_found") if default is None else F.coalesce(F.col("_found"), F.lit(default))
-    return joined.withColumn(out, found).drop("_found", *[f"_dim_{i}" for i in range(len(on))])
+    value_or = F.col("_found") if default is None else F.coalesce(F.col("_found"), F.lit(default))
+    return joined.withColumn(out, value_or).drop("_found", "_dim_route", *[f"_dim_{i}" for i in range(len(on))])
 
 
 def fallback_lookup(
@@ -81,7 +103,7 @@ def array_lookup(
     """
     side = unique_lookup(dim, [on], value, "_value").select(F.col(on).alias("_element"), "_value")
     elements = df.select(*row_key, F.posexplode(array_col).alias("_element_no", "_element"))
-    found = elements.join(side, "_element", "left")
+    found = join_unique(elements, side, ["_element"])
     rebuilt = found.groupBy(*row_key).agg(
         F.sort_array(
             F.collect_list(F.when(F.col("_value").isNotNull(), F.struct("_element_no", "_value")))
@@ -122,7 +144,7 @@ def full_outer_coalesce(a: DataFrame, b: DataFrame, key: Sequence[str], attrs: S
         *key, *[F.coalesce(F.col(c), F.col(f"_rhs_{c}")).alias(c) for c in attrs], *only_a, *only_b
     )
     types = {f.name: f.dataType for f in a.schema.fields}
-    rest = b.join(a.select(*key).distinct(), list(key), "left_anti").select(
+    rest = join_unique(b, a.select(*key).distinct(), list(key), "left_anti").select(
         *key, *attrs, *[F.lit(None).cast(types[c]).alias(c) for c in only_a], *only_b
     )
     return left.unionByName(rest)
@@ -172,7 +194,7 @@ def price_lookup(
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``seen``. Null keys are dropped on both sides, always."""
     known = seen.where(F.col(key).isNotNull()).select(key).distinct()
-    return df.where(F.col(key).isNotNull()).join(known, key, "left_anti").select(*df.columns)
+    return join_unique(df.where(F.col(key).isNotNull()), known, [key], "left_anti").select(*df.columns)
 
 
 def skip_loaded(df: DataFrame, loaded: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -190,7 +212,8 @@ def restrict_dim(
     endings = F.array(*[F.lit(s) for s in ("", *suffixes)])
     ids = F.flatten(F.transform(endings, lambda end: F.transform(ids, lambda i: F.concat(i, end))))
     wanted = batch.select(F.explode(ids).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    return dim.join(wanted, F.col(dim_key).cast("string") == F.col("_id"), "left_semi")
+    keyed = dim.withColumn("_id", F.col(dim_key).cast("string"))
+    return join_unique(keyed, wanted, ["_id"], "left_semi").select(*dim.columns)
 
 
 def propagate_active(
@@ -210,9 +233,9 @@ def propagate_active(
 
 def versions_not_in(a: DataFrame, b: DataFrame, cols: Sequence[str] = ("_keyhash", "_rowhash")) -> DataFrame:
     """Rows of ``a`` whose (key, row) pair ``b`` does not hold."""
-    return a.join(b.select(*cols).distinct(), list(cols), "left_anti").select(*a.columns)
+    return join_unique(a, b.select(*cols).distinct(), list(cols), "left_anti").select(*a.columns)
 
 
 def keys_in(a: DataFrame, b: DataFrame, col: str = "_keyhash") -> DataFrame:
     """Rows of ``a`` whose key ``b`` holds."""
-    return a.join(b.select(col).distinct(), col, "left_semi").select(*a.columns)
+    return join_unique(a, b.select(col).distinct(), [col], "left_semi").select(*a.columns)

@@ -5,24 +5,27 @@ Score = weighted sum of four dimensions, each in 0..1:
 * name: mean of the edit-distance ratio and the share of common words; 0 when the two names
   share no word. Common company forms are dropped from the words.
 * address: mean of zip equality, street-number equality, and the edit-distance ratios of
-  street and city.
+  street and city; 0 when none of the four is equal.
 * contact: 1 when the mail domain, the phone number or the website is the same.
 * legal: 1 when the legal id is the same.
 
 Pairs below ``threshold`` are not results. That allows pairs to be found by joins on
 conditions every result must meet, so nothing is lost and no block is expanded in full.
-An address score above 0.5 needs an equal zip or an equal street number; a name score
-above 0 needs a common word, and a high one needs a large share of common words. Two word
-sets that share a part ``s`` of their words share one of the first
-``n - ceil(s * n) + 1`` words when words are sorted from rare to frequent (the prefix filter
-of set-similarity joins); those are the "rare" words below. With the default weights a pair
-that reaches 0.60 has at least one of:
+An address score above 0.5 needs an equal zip or street number; a name score above 0 needs
+a common word, and a high one a large share ``s`` of common words. The latter is found by
+the prefix filter of set-similarity joins: two sets of ``n`` and ``m`` words with that share
+have ``o = ceil(s / (1 + s) * (n + m))`` words in common, hence one of the first
+``n - o + 1`` and ``m - o + 1`` when words are sorted from rare to frequent ("rare" below).
+With the default weights a pair that reaches 0.60 has at least one of:
 
 * neither contact nor legal id equal: the same zip or number, and a rare word (s = 0.5);
-* equal contact: a rare word (s = 0.25), or a common word and the same zip or number;
+* equal contact: a rare word (s = 0.75), or a common word and an equal address field;
 * equal legal id: a rare word (s = 0.75), or a common word and the same zip or number;
 * both equal: a common word, or the whole address.
 
+So frequent words alone, or a frequent zip, mail domain or legal id alone, bring no pairs
+together.
+
 Copies are matched once: both sides are first reduced to distinct normalised profiles.
 """
 
@@ -110,25 +113,41 @@ def _shares(weights: Mapping[str, float], threshold: float) -> dict[str, float]:
         raise ValueError("threshold must not be below the weights of address, contact and legal together")
     if threshold <= name + 0.5 * address:
         raise ValueError("threshold must exceed the weight of name plus half that of address")
-
-    def share(rest: float) -> float:
-        return max(2 * (threshold - rest) / name - 1, 0.0)
-
-    return {
-        "none": share(address),
-        "contact": share(contact + 0.5 * address),
-        "legal": share(legal + 0.5 * address),
+    # Below this share of words a pair with equal contact needs some address score.
+    needs_address = 2 * (threshold - contact) / name - 1
+    shares = {
+        "none": 2 * (threshold - address) / name - 1,
+        "contact": min(0.75, needs_address - 0.05),
+        "legal": 2 * (threshold - legal - 0.5 * address) / name - 1,
     }
+    if min(shares.values()) <= 0:
+        raise ValueError("threshold is too low for these weights")
+    return {k: min(v, 1.0) for k, v in shares.items()}
 
 
-def _rare(share: float) -> Column:
-    """Rare-word prefix of the array ``sorted_words``."""
+def _rare(share: float, side: str) -> Column:
+    """Hashes of the rare words of ``sorted_words``, one prefix per size a partner can have.
+
+    Both sizes are part of the hash, in the order (first source, second source).
+    """
     n = F.size("sorted_words")
-    keep = n - F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int") + 1
-    return F.slice("sorted_words", 1, F.least(F.greatest(keep, F.lit(0)), n))
+    least = F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
+    most = F.floor(n / F.lit(share) + F.lit(1e-9)).cast("int")
+
+    def prefix(m: Column) -> Column:
+        common = F.ceil((n + m) * F.lit(share / (1 + share)) - F.lit(1e-9)).cast("int")
+        first, second = (n, m) if side == "a" else (m, n)
+        return F.transform(
+            F.slice("sorted_words", 1, F.greatest(n - common + 1, F.lit(0))),
+            lambda w: F.xxhash64(w, first, second),
+        )
+
+    return F.when(n > 0, F.flatten(F.transform(F.sequence(least, most), prefix))).otherwise(
+        F.array().cast("array<bigint>")
+    )
 
 
-def _keys(df: DataFrame, frequent: Column, shares: Mapping[str, float]) -> DataFrame:
+def _keys(df: DataFrame, frequent: Column, shares: Mapping[str, float], side: str) -> DataFrame:
     """Candidate keys of a profile: a hash of all values a result has in common.
 
     A hash collision only adds a candidate. Words may come in any order that both sides
@@ -149,25 +168,27 @@ def _keys(df: DataFrame, frequent: Column, shares: Mapping[str, float]) -> DataF
             present = present & c.isNotNull()
         return F.when(present, F.xxhash64(F.lit(tag), F.col("iso_code"), *cols))
 
-    def with_words(anchors: list[Column], array: Column) -> Column:
+    def crossed(anchors: list[Column], array: Column) -> Column:
         """Every anchor value that is present, combined with every word."""
-        crossed = F.transform(
-            F.array_compact(F.array(*anchors)), lambda a: F.transform(array, lambda w: F.xxhash64(a, w))
+        return F.flatten(
+            F.transform(
+                F.array_compact(F.array(*anchors)), lambda x: F.transform(array, lambda w: F.xxhash64(x, w))
+            )
         )
-        return F.flatten(crossed)
 
     places = {"z": F.col("zip"), "n": F.col("street_no")}
+    fields = {**places, "s": F.col("street"), "c": F.col("city")}
     contacts = {"d": F.col("domain"), "p": F.col("phone"), "w": F.col("website")}
     legal = F.col("legal_id")
-    placed = [anchor(c + p, cv, pv) for c, cv in contacts.items() for p, pv in places.items()]
-    placed += [anchor(c + "l", cv, legal) for c, cv in contacts.items()]
-    placed += [anchor("l" + p, legal, pv) for p, pv in places.items()]
+    together = [anchor(c + f, cv, fv) for c, cv in contacts.items() for f, fv in fields.items()]
+    together += [anchor(c + "l", cv, legal) for c, cv in contacts.items()]
+    together += [anchor("l" + p, legal, pv) for p, pv in places.items()]
     keys = [
-        with_words([anchor(p, v) for p, v in places.items()], _rare(shares["none"])),
-        with_words([anchor(c, v) for c, v in contacts.items()], _rare(shares["contact"])),
-        with_words([anchor("l", legal)], _rare(shares["legal"])),
-        with_words(placed, F.col("sorted_words")),
-        F.array_compact(F.array(anchor("a", legal, *places.values(), F.col("street"), F.col("city")))),
+        crossed([anchor(p, v) for p, v in places.items()], _rare(shares["none"], side)),
+        crossed([anchor(c, v) for c, v in contacts.items()], _rare(shares["contact"], side)),
+        crossed([anchor("l", legal)], _rare(shares["legal"], side)),
+        crossed(together, F.col("sorted_words")),
+        F.array_compact(F.array(anchor("a", legal, *fields.values()))),
     ]
     return df.select("profile_id", F.explode(F.array_distinct(F.flatten(F.array(*keys)))).alias("block"))
 
@@ -195,8 +216,8 @@ def candidate_pairs(
         F.map_from_entries(F.collect_list(F.struct("w", "n"))).alias("m")
     ).scalar()
 
-    keys_a = _keys(a, frequent, shares).withColumnRenamed("profile_id", "profile_a")
-    keys_b = _keys(b, frequent, shares).withColumnRenamed("profile_id", "profile_b")
+    keys_a = _keys(a, frequent, shares, "a").withColumnRenamed("profile_id", "profile_a")
+    keys_b = _keys(b, frequent, shares, "b").withColumnRenamed("profile_id", "profile_b")
     return keys_a.join(keys_b, "block").select("profile_a", "profile_b").distinct()
 
 
@@ -236,11 +257,14 @@ def field_scores(pairs: DataFrame) -> DataFrame:
             "fm_mean_legal_id": _same(a("legal_id"), b("legal_id")),
         }
     )
+    agrees = F.coalesce(
+        F.greatest(*[a(c) == b(c) for c in ("zip", "street_no", "street", "city")]), F.lit(False)
+    )
     parts = ("fm_mean_zip", "fm_mean_street_no", "fm_mean_street", "fm_mean_city")
     return one.withColumns(
         {
             "fm_mean_name": F.when(F.col("fm_words") > 0, (F.col("fm_words") + F.col("fm_edit")) / 2).otherwise(F.lit(0.0)),
-            "fm_mean_address": sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / len(parts),
+            "fm_mean_address": F.when(agrees, sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / len(parts)).otherwise(F.lit(0.0)),
             "fm_max_contact": F.greatest("fm_mean_email", "fm_mean_phone", "fm_mean_website"),
         }
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import VALID_UNTIL, ts
 from tidemark.functions.hashing import KEYHASH, ROWHASH
+from tidemark.operators.joins import join_unique
 from tidemark.operators.scd import current
 
 # Thresholds of the quality alert.
@@ -62,7 +63,7 @@ def history_gaps(hist: DataFrame, as_of: date | datetime) -> DataFrame:
 def orphans(hist: DataFrame, id_col: str, source: DataFrame, source_key: str) -> DataFrame:
     """Active versions that point to an id the source does not hold."""
     known = source.select(F.col(source_key).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    return current(hist).where(F.col(id_col).isNotNull()).join(known, id_col, "left_anti")
+    return join_unique(current(hist).where(F.col(id_col).isNotNull()), known, [id_col], "left_anti")
 
 
 def dq_report(
@@ -116,14 +117,13 @@ def change_summary(staging: DataFrame, hist: DataFrame, quality: str | None = No
     pairs = active.select(KEYHASH, ROWHASH).distinct().withColumn("_p", F.lit(True))
     value = F.lit(None).cast("double") if quality is None else F.col(quality).cast("double")
     staged = (
-        staging.join(pairs, [KEYHASH, ROWHASH], "left")
-        .join(keys, KEYHASH, "left")
+        join_unique(join_unique(staging, pairs, [KEYHASH, ROWHASH]), keys, [KEYHASH])
         .select(
             F.when(F.col("_p"), "unchanged").when(F.col("_k"), "changed").otherwise("new").alias("change"),
             value.alias("q"),
         )
     )
-    gone = active.join(staging.select(KEYHASH).distinct(), KEYHASH, "left_anti").select(
+    gone = join_unique(active, staging.select(KEYHASH).distinct(), [KEYHASH], "left_anti").select(
         F.lit("deleted").alias("change"), value.alias("q")
     )
     return staged.unionByName(gone).groupBy("change").agg(

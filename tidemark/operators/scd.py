@@ -26,7 +26,7 @@ from tidemark.functions.clock import (
     ts,
 )
 from tidemark.functions.hashing import KEYHASH, ROWHASH
-from tidemark.operators.joins import versions_not_in
+from tidemark.operators.joins import join_unique, versions_not_in
 from tidemark.operators.ordering import lag_in_key
 
 VERSION = (KEYHASH, ROWHASH)
@@ -62,7 +62,7 @@ def hash_delta(today: DataFrame, hist: DataFrame, revert_aware: bool = False) ->
         return versions_not_in(today, current(hist))
     keys = _marked(hist, [KEYHASH], "_known_key")
     rows = _marked(hist, [ROWHASH], "_known_row")
-    joined = today.join(keys, KEYHASH, "left").join(rows, ROWHASH, "left")
+    joined = join_unique(join_unique(today, keys, [KEYHASH]), rows, [ROWHASH])
     return joined.where(F.col("_known_key").isNull() | F.col("_known_row").isNull()).select(*today.columns)
 
 
@@ -76,7 +76,7 @@ def expire_superseded(
     is_active = F.coalesce(F.col(VALID_FLAG), F.lit(False))
     keys = _marked(today, [KEYHASH], "_key_seen")
     rows = _marked(today, VERSION, "_row_seen")
-    active = hist.where(is_active).join(keys, KEYHASH, "left").join(rows, list(VERSION), "left")
+    active = join_unique(join_unique(hist.where(is_active), keys, [KEYHASH]), rows, VERSION)
     ended = F.col("_key_seen").isNotNull() & F.col("_row_seen").isNull()
     closed = _close(active, ended, close_at(as_of, close), as_of).select(*hist.columns)
     return hist.where(~is_active).unionByName(closed)
@@ -97,7 +97,7 @@ def delta_cycle(
 
 def in_scope(hist: DataFrame, staging: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Rows of ``hist`` whose scope values occur in ``staging``."""
-    return hist.join(staging.select(*scope).distinct(), list(scope), "left_semi").select(*hist.columns)
+    return join_unique(hist, staging.select(*scope).distinct(), scope, "left_semi").select(*hist.columns)
 
 
 def scd2_merge(
@@ -125,7 +125,7 @@ def scd2_merge(
     active = hist.where(owned)
     pairs = _marked(staging, VERSION, "_still_there")
     scopes = _marked(staging, scope, "_in_scope")
-    judged = active.join(pairs, list(VERSION), "left").join(scopes, list(scope), "left")
+    judged = join_unique(join_unique(active, pairs, VERSION), scopes, scope)
     ended = F.col("_in_scope").isNotNull() & F.col("_still_there").isNull()
     updated = _close(judged, ended, close_at(as_of, close), as_of).select(*hist.columns)
 
@@ -179,7 +179,7 @@ def repair_duplicates(hist: DataFrame) -> DataFrame:
     """
     is_active = F.coalesce(F.col(VALID_FLAG), F.lit(False))
     newest = hist.where(is_active).groupBy(KEYHASH).agg(F.max(VALID_FROM).alias("_newest"))
-    active = hist.where(is_active).join(newest, KEYHASH, "left")
+    active = join_unique(hist.where(is_active), newest, [KEYHASH])
     older = F.col(VALID_FROM) < F.col("_newest")
     demoted = active.withColumns(
         {

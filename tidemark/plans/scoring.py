@@ -16,6 +16,7 @@ from tidemark.functions.clean import (
 )
 from tidemark.functions.clock import day, stamp_scd
 from tidemark.functions.hashing import with_hashes
+from tidemark.operators.joins import join_unique
 from tidemark.operators.reshape import union_positional
 from tidemark.plans.delta import delta_payload
 
@@ -136,7 +137,7 @@ def scoring_snapshot(
         .select("country", F.col("unique_metro_id").alias("metro_id"), "first_name", "last_name")
         .distinct()
     )
-    joined = combined.join(white, ["country", "metro_id"], "left_semi").join(contact, ["country", "metro_id"])
+    joined = join_unique(combined, white, ["country", "metro_id"], "left_semi").join(contact, ["country", "metro_id"])
     payload = joined.where(F.col("bundle_recommendation").isNotNull()).select(
         "metro_id",
         F.col("sfdc_establishment_id").alias("establishment_id"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import drop_blank, exclude_status
+from tidemark.operators.joins import join_unique
 
 # Settings groups that may be stored.
 ALLOWED_SETTINGS = (
@@ -133,7 +134,7 @@ def terminal_inventory(
     """The flat tables of one inventory run, and the settings counts."""
     flat = flatten_terminals(terminals)
     wanted = settings_targets(flat).select("terminal_id").distinct()
-    mine = settings.withColumn("terminal_id", F.trim("terminal_id")).join(wanted, "terminal_id", "left_semi")
+    mine = join_unique(settings.withColumn("terminal_id", F.trim("terminal_id")), wanted, ["terminal_id"], "left_semi")
     kept, counts = filter_settings(mine)
     return {
         "merchants": flatten_merchants(merchants),

@@ -112,8 +112,8 @@ def lead_inputs(t: Tables) -> dict[str, DataFrame]:
         F.lit("1").alias("company_postal_code"), F.lit("city").alias("company_city"), none.alias("company_street"),
         none.alias("establishment_postal_code"), none.alias("establishment_city"), none.alias("establishment_street"),
         F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("store"), F.col("c_name").alias("establishment"),
-        F.lit("DE").alias("primary_language"), F.lit("HD").alias("lead_source"), F.lit("DISH").alias("channel_v2"),
-        F.lit("owner").alias("role"), F.lit("mccde").alias("merchant"), F.lit("nobody").alias("reseller"),
+        F.when(seg == "BUILDING", "xx").otherwise("DE").alias("primary_language"), F.when(seg == "MACHINERY", "HD").otherwise("none").alias("lead_source"), F.when(seg == "FURNITURE", "DISH").otherwise("HD").alias("channel_v2"),
+        F.lit("owner").alias("role"), F.when(seg != "BUILDING", "mccde").otherwise("x").alias("merchant"), F.lower(seg).alias("reseller"),
         F.when(F.col("c_acctbal") > 0, seg).alias("vat_id"), F.col("c_custkey").alias("metro_id"),
         F.when(F.col("c_acctbal") < 5000, F.lit("POS_L_Package; None;NoneWEB;unknown")).otherwise("none").alias("product_codes"),
         F.lit(1).alias("last_modified"), F.lit(date(2024, 1, 30)).alias("load_date"),
@@ -133,7 +133,9 @@ def lead_inputs(t: Tables) -> dict[str, DataFrame]:
     "lead_payload",
     """select c_custkey as metro_id, case when c_acctbal > 0 then 'Ann ' else '' end || c_name as contact_name,
     case c_mktsegment when 'BUILDING' then '1' when 'MACHINERY' then '2' when 'FURNITURE' then '3' end as country_id,
-    cast(case when n_regionkey < 3 then n_nationkey + 10 else 0 end as varchar) as store_id, '4' as lang_id, '5' as source_id, '6' as medium_id, '7' as reseller_id,
+    cast(case when n_regionkey < 3 then n_nationkey + 10 else 0 end as varchar) as store_id,
+    case when c_mktsegment <> 'BUILDING' then '4' end as lang_id, case when c_mktsegment = 'MACHINERY' then '5' end as source_id,
+    case when c_mktsegment = 'FURNITURE' then '6' else '5' end as medium_id, case when c_mktsegment <> 'BUILDING' then '7' end as reseller_id,
     cast(null as varchar) as partner_assigned_id, 'Company VAT ID: ' || case when c_acctbal > 0 then c_mktsegment else '' end || ', Product codes: '
       || case when c_acctbal < 5000 then 'POS_L_Package; None;NoneWEB;unknown' else 'none' end as description,
     case when c_acctbal < 5000 then case when c_mktsegment in ('BUILDING', 'FURNITURE') then '[12,13]' else '[11,13]' end end as product_ids,
@@ -162,10 +164,10 @@ def opportunity_inputs(t: Tables) -> dict:
         F.lit("none").alias("account_id"), text("o_custkey").alias("company_id"), F.lit("none").alias("establishment_id"),
         F.when(F.col("o_orderstatus") != "F", 3).alias("stage_id"), F.lit(4).alias("user_id"),
         F.col("o_totalprice").alias("expected_revenue"), F.lit(10.0).alias("probability"),
-        F.col("o_orderdate").cast("date").alias("close_date"), F.lit("Mr.").alias("salutation"),
-        F.lit("Email").alias("utm_medium"), F.lit("Web").alias("utm_source"),
+        F.col("o_orderdate").cast("date").alias("close_date"), F.when(F.col("o_orderstatus") == "P", "Mr.").otherwise("Ms.").alias("salutation"),
+        F.when(F.col("o_orderstatus") == "P", "Email").alias("utm_medium"), F.lower("o_orderpriority").alias("utm_source"),
         F.when(F.col("o_orderstatus") == "O", "DE").otherwise("YY").alias("country_code"),
-        F.lit("cafe").alias("est_type"), F.col("o_orderdate").alias("last_modified"),
+        F.when(F.col("o_orderstatus") == "F", "cafe").otherwise("nightclub").alias("est_type"), F.col("o_orderdate").alias("last_modified"),
     )
     contact = t.customer.select(
         F.col("c_custkey").alias("id"), text("c_custkey").alias("partner_uuid"), (F.col("c_acctbal") > 0).alias("is_company"),
@@ -179,8 +181,8 @@ def opportunity_inputs(t: Tables) -> dict:
 
 
 _OPPORTUNITY = """select cast(o_orderkey as varchar) as opportunity_id, 'Deal ' || o_orderkey as name, case when c_acctbal > 0 then cast(c_custkey as varchar) end as partner_id,
-  case when o_orderstatus <> 'F' then '3' end as stage_id, cast(cast(o_orderdate as date) as varchar) as date_deadline, '1' as title_id, '2' as medium_id,
-  cast(null as varchar) as source_id, case when o_orderstatus = 'O' then '5' end as country_id, '6' as establishment_type
+  case when o_orderstatus <> 'F' then '3' end as stage_id, cast(cast(o_orderdate as date) as varchar) as date_deadline, case when o_orderstatus = 'P' then '1' end as title_id, case when o_orderstatus = 'P' then '2' end as medium_id,
+  cast(null as varchar) as source_id, case when o_orderstatus = 'O' then '5' end as country_id, case when o_orderstatus = 'F' then '6' else '7' end as establishment_type
   from {} join customer on c_custkey = o_custkey"""
 
 
