@@ -19,7 +19,7 @@ from tidemark.session import checkpointed
 _COPY = "_copy_no"
 _POS = "_range_pos"
 _PART = "_range_part"
-_COPIES_PER_TASK = 10_000
+_MANY = 10_000
 
 
 def _columns(order: Sequence[Column | str]) -> list[Column]:
@@ -27,42 +27,38 @@ def _columns(order: Sequence[Column | str]) -> list[Column]:
 
 
 def number_copies(df: DataFrame) -> DataFrame:
-    """Number identical rows 0, 1, 2 ... in ``_copy_no``.
+    """Add ``_copy_no``, which tells masses of identical rows apart.
 
-    Copies are first counted (combined on the map side), so a row repeated a billion
-    times travels as one row per map task. Its copies are then made again in blocks that
-    are spread over the cluster.
+    Rows are counted by their hash first (8 bytes per row, combined on the map side). Only
+    rows with more than ``_MANY`` copies are numbered: they travel as one row with a count
+    and are made again in blocks that are spread over the cluster.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    few = counted.where(F.col("_copies") <= _COPIES_PER_TASK).select(
-        *cols, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias(_COPY)
+    hashed = df.withColumn("_row_hash", F.xxhash64(*cols))
+    sizes = hashed.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = checkpointed(sizes.where(F.col("_n") > _MANY).select("_row_hash"))
+    plain = df.withColumn(_COPY, F.lit(0).cast("bigint"))
+    if heavy.isEmpty():
+        return plain
+    light = hashed.join(heavy, "_row_hash", "left_anti").withColumn(_COPY, F.lit(0).cast("bigint"))
+    counted = hashed.join(heavy, "_row_hash", "left_semi").groupBy(*cols).agg(
+        F.count(F.lit(1)).alias("_copies")
     )
-    blocks = counted.where(F.col("_copies") > _COPIES_PER_TASK).select(
-        *cols,
-        "_copies",
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(_COPIES_PER_TASK).cast("bigint"))
-        ).alias("_block"),
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(_MANY).cast("bigint"))
+    blocks = counted.select(*cols, "_copies", F.explode(starts).alias("_block"))
+    last = F.least(F.col("_block") + (_MANY - 1), F.col("_copies") - 1)
+    made = blocks.repartition(F.col("_block"), *cols).select(
+        *cols, F.explode(F.sequence(F.col("_block"), last)).alias(_COPY)
     )
-    many = blocks.repartition(F.col("_block"), *cols).select(
-        *cols,
-        F.explode(
-            F.sequence(
-                F.col("_block"),
-                F.least(F.col("_block") + (_COPIES_PER_TASK - 1), F.col("_copies") - 1),
-            )
-        ).alias(_COPY),
-    )
-    return few.unionByName(many)
+    return light.select(*plain.columns).unionByName(made)
 
 
 def range_ordered(df: DataFrame, order: Sequence[Column | str], unique: bool = False) -> DataFrame:
     """``df`` in global order with ``_range_part`` and ``_range_pos`` (from 0).
 
     ``unique=True`` promises that ``order`` already tells all rows apart. Otherwise ties
-    are broken by the row's own hash and identical rows by a copy number, so no set of
-    equal rows has to share a task.
+    are broken by the row's own hash and masses of identical rows by a copy number, so no
+    large set of equal rows has to share a task.
     """
     keys = _columns(order)
     if not unique:

@@ -49,29 +49,30 @@ def resolve_lines(
 
     ``invoices`` has ``line_items``: an array of (product_code, description, quantity,
     unit_price, account_id, tax_names). An unknown product leaves a null id; unknown tax
-    names vanish and are counted in ``unresolved_taxes`` of the invoice. Elements are joined
-    one by one and put together per invoice and position, so no group outgrows its row.
+    names vanish and are counted in ``unresolved_taxes`` of the invoice. Lines and tax names
+    are joined one by one, then placed by invoice once for both steps of nesting; no group
+    outgrows the invoice it came from.
     """
     lines = invoices.select(key, F.posexplode("line_items").alias("_pos", "_line"))
     flat = lines.select(key, "_pos", F.col("_line.*"))
     coded = lookup(flat, catalogue, [("product_code", "name")], "res_id", "product_id")
-    taxed = array_lookup(coded, [key, "_pos"], "tax_names", taxes, "name", "id", "tax_ids", "unresolved_taxes")
-    nested = taxed.groupBy(key).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "_pos",
-                    F.struct(
-                        F.col("description").alias("name"), "product_id", "quantity",
-                        F.col("unit_price").alias("price_unit"), "tax_ids", "account_id",
-                    ).alias("line"),
-                )
-            )
-        ).alias("_lines"),
-        F.sum("unresolved_taxes").alias("unresolved_taxes"),
+    line = F.struct(
+        F.col("description").alias("name"), "product_id", "quantity", F.col("unit_price").alias("price_unit"), "account_id"
     )
-    return nested.select(
-        key, F.transform("_lines", lambda s: s["line"]).alias("invoice_line_ids"), "unresolved_taxes"
+    taxed = coded.select(key, "_pos", line.alias("_line"), F.posexplode_outer("tax_names").alias("_tax_no", "_tax"))
+    known = lookup(taxed, taxes, [("_tax", "name")], "id", "_tax_id")
+    found = F.when(F.col("_tax_id").isNotNull(), F.struct("_tax_no", "_tax_id"))
+    per_line = known.repartition(key).groupBy(key, "_pos").agg(
+        F.first("_line").alias("_line"),
+        F.sort_array(F.collect_list(found)).alias("_taxes"),
+        F.count(F.when(F.col("_tax_no").isNotNull() & F.col("_tax_id").isNull(), 1)).alias("_misses"),
+    )
+    full = F.col("_line").withField("tax_ids", F.transform("_taxes", lambda x: x["_tax_id"]))
+    return per_line.groupBy(key).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_pos", full.alias("line")))), lambda x: x["line"]).alias(
+            "invoice_line_ids"
+        ),
+        F.sum("_misses").alias("unresolved_taxes"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +25,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate tables.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Only where that is unset
-    (tests, a laptop) a temporary one is made.
+    It is ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, a laptop)
+    a temporary one is made.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder; reading it has no lineage.
+
+    Written as Parquet rather than with ``DataFrame.checkpoint``: later steps often need a
+    few of its columns only, and read just those. The files live as long as the folder.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
