@@ -181,6 +181,11 @@ def sparse_payload(*cols: Column | str) -> Column:
     return F.to_json(F.struct(*cols))
 
 
+def json_text(col: Column | str, language: str = "en_US") -> Column:
+    """One language of a translated name stored as a JSON object."""
+    return F.get_json_object(_col(col), f"$.{language}")
+
+
 def normalise_type(col: Column | str) -> Column:
     """Establishment-type label to the key used by lookups."""
     col = _col(col)

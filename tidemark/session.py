@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,6 +45,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Written as Parquet rather than with ``DataFrame.checkpoint``: later steps often need a
     few of its columns only, and read just those. The files live as long as the folder.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    folder = shared_folder(df.sparkSession)
+    if any(isinstance(f.dataType, T.NullType) for f in df.schema.fields):
+        return df.checkpoint(eager=True)  # untyped nulls have no Parquet form
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

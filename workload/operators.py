@@ -153,6 +153,40 @@ def int_list_parse(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "json_by_language",
+    "select n_nationkey, n_name as en, cast(null as varchar) as fr, case when n_regionkey < 2 then lower(n_name) end as de from nation",
+)
+def json_by_language(t: Tables) -> DataFrame:
+    german = F.when(F.col("n_regionkey") < 2, F.lower("n_name"))
+    names = F.to_json(F.struct(F.col("n_name").alias("en_US"), german.alias("de_DE")))
+    n = t.nation.select("n_nationkey", names.alias("name"))
+    return n.select(
+        "n_nationkey", clean.json_text("name").alias("en"), clean.json_text("name", "fr_FR").alias("fr"), clean.json_text("name", "de_DE").alias("de")
+    )
+
+
+@query(
+    "safe_ratios",
+    """select l_orderkey, l_partkey, l_linenumber, l_extendedprice / nullif(l_tax, 0) as per_tax, case when l_discount = 0 then null else l_quantity / l_discount end as per_discount from lineitem""",
+)
+def safe_ratios(t: Tables) -> DataFrame:
+    return t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        clean.safe_ratio(F.col("l_extendedprice"), F.col("l_tax")).alias("per_tax"),
+        clean.safe_ratio(F.col("l_quantity"), F.col("l_discount")).alias("per_discount"),
+    )
+
+
+@query(
+    "type_names",
+    """select distinct p_type, case p_type when 'PROMO' then 'cafe' when 'LARGE' then 'nightclub' else lower(p_type) end as kind from part""",
+)
+def type_names(t: Tables) -> DataFrame:
+    label = F.when(F.col("p_type") == "PROMO", "Café").when(F.col("p_type") == "LARGE", "Night Club").otherwise(F.col("p_type"))
+    return t.part.select("p_type", clean.normalise_type(label).alias("kind")).distinct()
+
+
 @query(
     "partner_keys",
     """select c_custkey, replace(lower(c_name), ' ', '') || c_nationkey || case when c_acctbal < 0 then '/' else c_mktsegment end
