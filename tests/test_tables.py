@@ -58,8 +58,9 @@ def test_country_family_skips_missing_members_but_not_all(spark, tmp_path):
         tables.read_country_family(spark, family, str(tmp_path / "nothing_{}"))
 
 
-def test_batch_append_is_idempotent_per_day(spark, tmp_path):
-    path = str(tmp_path / "history")
+@pytest.mark.parametrize("named", [False, True])
+def test_batch_append_is_idempotent_per_day(spark, tmp_path, named):
+    path = "batch_history" if named else str(tmp_path / "history")
     for n, day in ((3, 1), (2, 2), (5, 1)):
         tables.append_batch(spark.range(n), path, date(2024, 1, day))
     got = {r["batch_date"]: r["count"] for r in tables.read_table(spark, path).groupBy("batch_date").count().collect()}

@@ -119,9 +119,22 @@ def write_append(df: DataFrame, target: str) -> None:
 
 def append_batch(df: DataFrame, target: str, batch_date: date) -> None:
     """Append one day's batch; running the day again replaces it instead of doubling it."""
+    spark = df.sparkSession
     dated = df.withColumn(BATCH_DATE, F.lit(batch_date))
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    _save(writer.partitionBy(BATCH_DATE), target)
+    if _is_path(target):
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BATCH_DATE).parquet(target)
+    elif not spark.catalog.tableExists(target):
+        dated.write.partitionBy(BATCH_DATE).saveAsTable(target)
+    else:
+        # saveAsTable would replace the whole table; an insert replaces its partitions.
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            dated.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
 
 
 def fan_out(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
