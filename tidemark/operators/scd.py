@@ -37,6 +37,21 @@ def _marked(df: DataFrame, cols: Sequence[str], mark: str) -> DataFrame:
     return df.select(*cols).distinct().withColumn(mark, F.lit(True))
 
 
+def _split_active(hist: DataFrame, source_col: str | None = None, source: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(active rows of the source, all other rows).
+
+    Both predicates are plain comparisons that Parquet can use to skip row groups; a null
+    flag or source counts as "other".
+    """
+    flag = F.col(VALID_FLAG)
+    mine, others = flag, flag.isNull() | ~flag
+    if source is not None:
+        owner = F.col(source_col)
+        mine = mine & (owner == source)
+        others = others | owner.isNull() | (owner != source)
+    return hist.where(mine), hist.where(others)
+
+
 def _close(df: DataFrame, ended: Column, until: datetime, as_of: date | datetime) -> DataFrame:
     """End the versions for which ``ended`` holds."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -73,13 +88,13 @@ def expire_superseded(
 
     Keys that vanished from ``today`` stay active; :func:`scd2_merge` closes those.
     """
-    is_active = F.coalesce(F.col(VALID_FLAG), F.lit(False))
+    opened, others = _split_active(hist)
     keys = _marked(today, [KEYHASH], "_key_seen")
     rows = _marked(today, VERSION, "_row_seen")
-    active = join_unique(join_unique(hist.where(is_active), keys, [KEYHASH]), rows, VERSION)
+    active = join_unique(join_unique(opened, keys, [KEYHASH]), rows, VERSION)
     ended = F.col("_key_seen").isNotNull() & F.col("_row_seen").isNull()
     closed = _close(active, ended, close_at(as_of, close), as_of).select(*hist.columns)
-    return hist.where(~is_active).unionByName(closed)
+    return others.unionByName(closed)
 
 
 def delta_cycle(
@@ -119,10 +134,7 @@ def scd2_merge(
     closed ones stay as they are. ``clean`` names columns in which null texts become nulls
     on insert.
     """
-    owned = F.coalesce(F.col(VALID_FLAG), F.lit(False))
-    if source is not None:
-        owned = owned & F.coalesce(F.col(source_col) == source, F.lit(False))
-    active = hist.where(owned)
+    active, others = _split_active(hist, source_col, source)
     pairs = _marked(staging, VERSION, "_still_there")
     scopes = _marked(staging, scope, "_in_scope")
     judged = join_unique(join_unique(active, pairs, VERSION), scopes, scope)
@@ -135,7 +147,7 @@ def scd2_merge(
     opened = stamp_scd(fresh, hour_floor(as_of), far_future)
     kinds = {f.name: f.dataType for f in hist.schema.fields}
     opened = opened.select(*[F.col(c).cast(kinds[c]).alias(c) for c in hist.columns])
-    return hist.where(~owned).unionByName(updated).unionByName(opened)
+    return others.unionByName(updated).unionByName(opened)
 
 
 def current(hist: DataFrame) -> DataFrame:
@@ -177,9 +189,9 @@ def repair_duplicates(hist: DataFrame) -> DataFrame:
 
     Active versions that share the newest start stay, since neither is older.
     """
-    is_active = F.coalesce(F.col(VALID_FLAG), F.lit(False))
-    newest = hist.where(is_active).groupBy(KEYHASH).agg(F.max(VALID_FROM).alias("_newest"))
-    active = join_unique(hist.where(is_active), newest, [KEYHASH])
+    opened, others = _split_active(hist)
+    newest = opened.groupBy(KEYHASH).agg(F.max(VALID_FROM).alias("_newest"))
+    active = join_unique(opened, newest, [KEYHASH])
     older = F.col(VALID_FROM) < F.col("_newest")
     demoted = active.withColumns(
         {
@@ -187,7 +199,7 @@ def repair_duplicates(hist: DataFrame) -> DataFrame:
             VALID_FLAG: F.when(older, F.lit(False)).otherwise(F.col(VALID_FLAG)),
         }
     )
-    return hist.where(~is_active).unionByName(demoted.select(*hist.columns))
+    return others.unionByName(demoted.select(*hist.columns))
 
 
 demote_older = repair_duplicates
