@@ -112,6 +112,8 @@ def test_versions_with_a_hot_key_are_all_kept(spark):
 def test_checkpoints_go_to_the_folder_the_session_names(spark):
     from tidemark.session import checkpointed
 
-    checkpointed(spark.range(3))
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert named.rstrip("/") in spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    files = checkpointed(spark.range(3)).inputFiles()
+    assert files and all(named in f for f in files)
+    untyped = spark.range(3).withColumn("hole", F.lit(None))
+    assert checkpointed(untyped).count() == 3

@@ -30,13 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 
     It is ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, a laptop)
-    a temporary one is made.
+    the context's own checkpoint folder is used, or a temporary one made.
     """
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
