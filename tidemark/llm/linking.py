@@ -27,18 +27,21 @@ def _moved(name: str) -> Column:
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """(band, key, id) of buckets with several items, with the smallest as ``pivot``; written once.
+    """(band, key, id, pivot) of buckets with several items; ``pivot`` is the smallest. Written once.
 
-    The lookup of the pivot joins on a value that the grouping has not arranged, so a very
-    large bucket can be split over tasks at run time.
+    Most keys occur once. They are found by counting keys alone, so that the wide shuffle has
+    the fewest bytes and what goes on is small. Lookups join on a value that the grouping has
+    not arranged, so a very large bucket can be split over tasks at run time.
     """
+    often = buckets.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select(_moved("key"))
+    met = checkpointed(buckets.join(often, F.col("key").bitwiseXOR(F.lit(1)) == F.col("_moved")).select("band", "key", "id"))
     several = (
-        buckets.groupBy("key")
+        met.groupBy("key")
         .agg(F.min("id").alias("pivot"), F.max("id").alias("_last"))
         .where("pivot < _last")
         .select(_moved("key"), "pivot")
     )
-    found = buckets.join(several, F.col("key").bitwiseXOR(F.lit(1)) == F.col("_moved"))
+    found = met.join(several, F.col("key").bitwiseXOR(F.lit(1)) == F.col("_moved"))
     return checkpointed(found.select("band", "key", "id", "pivot"))
 
 

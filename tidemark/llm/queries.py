@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import circulant, importance
+from tidemark.llm import circulant, importance, lines
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,14 @@ def _query(build: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable
     return build
 
 
+@_query
+def op4_fuzzy_lines(table):
+    deduped = lines.dedup_lines(table("documents"))
+    return deduped.select(
+        "doc_id", "n_lines", "n_kept", F.crc32("text").alias("text_crc32"), F.length("text").alias("n_chars")
+    )
+
+
 @_query
 def op9_circulant_minhash(table):
     return circulant.near_duplicates(table("documents"))
