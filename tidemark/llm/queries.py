@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import circulant, importance, lines
+from tidemark.llm import circulant, importance, lines, packing
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,11 @@ def op4_fuzzy_lines(table):
     )
 
 
+@_query
+def op5_configuration_packing(table):
+    return packing.pack_documents(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @_query
 def op9_circulant_minhash(table):
     return circulant.near_duplicates(table("documents"))
