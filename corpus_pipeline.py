@@ -7,9 +7,11 @@ folder, and its decisions take effect there. All but the last return the columns
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import importance
+from tidemark.llm import circulant, importance, lines, packing, pfair
 from tidemark.session import checkpointed, configure
 
 
@@ -19,7 +21,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("selected").select(docs.columns)
 
 
-STAGES = [("quality", quality)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each kind of line stays once; documents all of whose lines stand elsewhere go.
+
+    ``n_chars`` is counted anew for the text that is left.
+    """
+    deduped = lines.dedup_lines(docs).where("n_kept is null or n_kept > 0 or n_lines = 0")
+    return deduped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, that of the smallest id."""
+    found = circulant.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, laid out in files in the order of the mixture."""
+    mixed = pfair.mix(docs).repartitionByRange("slot", "slot_part").sortWithinPartitions("slot", "slot_part")
+    return mixed.select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every token of every document stands in the training sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing_stage),
+]
 
 #: Hashed models, signatures and the linear program have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

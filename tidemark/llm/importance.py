@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrays import SpanHash, mix64, small_batches, text_chunks, word_spans
+from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.select import at_least_kth
 from tidemark.session import checkpointed
 
@@ -130,7 +131,8 @@ def resample(
     their text. With fewer than ``LEAST`` held-out documents no cut can be set and all
     documents stay. An empty table gives an empty table.
     """
-    docs = docs.drop("n_ngrams", "log_weight", "score", "selected")
+    given, new = docs, ["n_ngrams", "log_weight", "score", "selected"]
+    docs = folded(given, ["doc_id", "text"], new)
     good = labelled_good(labels, target_rows)
     held = np.arange(len(good)) % 4 == 3
     scored = weighed(docs, log_ratios(docs, good[~held])).withColumn(
@@ -145,6 +147,10 @@ def resample(
     cut = -math.inf
     if n >= LEAST:
         cut = at_least_kth(narrow.select("_score"), narrow.where(F.col("_weight") >= floor).count())
-    return scored.withColumn("selected", F.col("_score") >= F.lit(cut)).withColumnsRenamed(
-        {"_ngrams": "n_ngrams", "_log_weight": "log_weight", "_score": "score"}
+    return scored.select(
+        *unfolded(given, ["doc_id", "text"], new),
+        F.col("_ngrams").alias("n_ngrams"),
+        F.col("_log_weight").alias("log_weight"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= F.lit(cut)).alias("selected"),
     )

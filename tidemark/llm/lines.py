@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import linking
 from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, small_batches, sorted_sets, text_bytes, text_chunks
+from tidemark.llm.columns import folded, unfolded
 from tidemark.session import checkpointed
 
 WIDTH = 7
@@ -225,7 +226,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A document may lose all its lines; what then remains of its text is blank. An empty table
     gives an empty table.
     """
-    docs = docs.drop("n_lines", "n_kept")
+    given, new = docs, ["n_lines", "n_kept"]
+    docs = folded(given, ["doc_id", "text"], new)
     kinds = checkpointed(line_kinds(docs))
     # every occurrence of a line must learn whether it is the kept place: by document
     keep = kinds.select(F.col("at.doc_id").alias("_doc"), F.col("at.line").alias("_line")).distinct()
@@ -257,4 +259,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     # a document none of whose lines is a first place has no row in per_doc
     joined = docs.join(per_doc, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
-    return joined.mapInArrow(rewrite, schema)
+    return joined.mapInArrow(rewrite, schema).select(*unfolded(given, ["doc_id", "text"], new), *new)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import circulant, importance, lines, packing
+from tidemark.llm import circulant, importance, lines, packing, pfair, sharding
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,26 @@ def _query(build: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable
     return build
 
 
+@_query
+def op2_histogram_sort(table):
+    docs = table("documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    sharded = sharding.shard_by_bytes(docs, shards=8)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query
+def op3_pfair_mixing(table):
+    return pfair.mix(table("documents")).select("doc_id", "source", "block", "slot", "slot_part")
+
+
 @_query
 def op4_fuzzy_lines(table):
     deduped = lines.dedup_lines(table("documents"))
