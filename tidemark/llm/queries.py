@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import circulant, importance, lines, packing, pfair, secrets, sharding
+from tidemark.llm import adaptive, circulant, impact, importance, lines, packing, pfair, secrets, sharding
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,11 +57,21 @@ def op5_configuration_packing(table):
     return packing.pack_documents(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query
+def op6_adaptive_scan(table):
+    return adaptive.nearest(table("embeddings"))
+
+
 @_query
 def op7_multipart_credentials(table):
     return secrets.scan(table("documents").select("doc_id", "text")).drop("text")
 
 
+@_query
+def op8_impact_ordered(table):
+    return impact.exact_top(table("embeddings"))
+
+
 @_query
 def op9_circulant_minhash(table):
     return circulant.near_duplicates(table("documents"))
