@@ -130,20 +130,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, least_agreement: float =
     )
     items = checkpointed(items)
     shared = linking.shared_buckets(buckets(items))
-    involved = shared.select("id").distinct()
+    involved = linking.sized(shared.select("id").distinct(), 32)
     texts = checkpointed(
         docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(involved, "id").dropDuplicates(["id", "text"])
     )
     links = linking.verified(linking.pivot_pairs(shared), texts, shingle_sets, percent)
     parts = linking.components(links)
 
-    members = linking.open_members(shared, parts).join(items.select("id", F.col("n_shingles").alias("size"), "signature"), "id")
+    whole = texts.join(items.select("id", F.col("n_shingles").alias("size"), "signature"), "id")
+    members = linking.open_members(shared, parts, whole)
 
-    def signature(pdf):
-        return np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(-1, COORDINATES)
+    def signature(block: pa.RecordBatch) -> np.ndarray:
+        return np.frombuffer(b"".join(block.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
-    pairs = checkpointed(linking.cross_pairs(members, signature, BANDS, ROWS, least_agreement, percent / 100))
-    more = linking.verified(pairs, texts, shingle_sets, percent)
+    more = linking.cross_links(members, signature, shingle_sets, BANDS, ROWS, least_agreement, percent)
     groups = linking.components(links.union(more).union(same_id))
     classed = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         *prints, F.coalesce("component", "id").alias("_component")

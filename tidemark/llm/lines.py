@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -180,8 +179,8 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _signature(pdf: pd.DataFrame) -> np.ndarray:
-    data, bounds = text_bytes(pa.array(pdf["text"], pa.string()))
+def _signature(block: pa.RecordBatch) -> np.ndarray:
+    data, bounds = text_bytes(block.column("text"))
     data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
     return signatures(*character_shingles(SpanHash(data), data, bounds[:-1], bounds[1:]))
 
@@ -196,9 +195,9 @@ def line_kinds(docs: DataFrame) -> DataFrame:
     texts = _line_texts(docs, wanted)
     links = linking.verified(linking.pivot_pairs(shared), texts, shingle_sets, PERCENT)
     parts = linking.components(links)
-    members = linking.open_members(shared, parts).join(texts, "id").withColumn("size", F.length("text") + 0)
-    pairs = checkpointed(linking.cross_pairs(members, _signature, BANDS, ROWS, 0.5, PERCENT / 100 * 0.9))
-    groups = linking.components(links.union(linking.verified(pairs, texts, shingle_sets, PERCENT)))
+    members = linking.open_members(shared, parts, texts.withColumn("size", F.lit(1)))
+    more = linking.cross_links(members, _signature, shingle_sets, BANDS, ROWS, 0.45, PERCENT)
+    groups = linking.components(links.union(more))
     named = firsts.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("component", "id").alias("kind"), "at"
     )

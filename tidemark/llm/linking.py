@@ -3,7 +3,8 @@
 A bucket may hold any number of items, so no bucket is expanded into all its pairs at once.
 First every member meets the bucket's smallest member; verified links are joined into
 components. Only buckets that still hold several components are compared further, in blocks
-of bounded size, and there only pairs across components whose signatures leave a link open.
+of bounded size. There only pairs across components are confirmed whose signatures leave a
+link open, likeliest first, and only links that join components come out.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +19,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import jaccard_counts
 from tidemark.session import checkpointed
 
-BLOCK = 2048
+BLOCK = 1024
+BROADCAST_BYTES = 64 << 20
 
 
 def _moved(name: str) -> Column:
     return F.col(name).bitwiseXOR(F.lit(1)).alias("_moved")
 
 
+def sized(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """``rows`` written once, and marked for broadcast if their count shows them to be small."""
+    rows = checkpointed(rows)
+    return F.broadcast(rows) if rows.count() * row_bytes <= BROADCAST_BYTES else rows
+
+
 def shared_buckets(buckets: DataFrame) -> DataFrame:
     """(band, key, id, pivot) of buckets with several items; ``pivot`` is the smallest. Written once.
 
@@ -50,9 +57,10 @@ def pivot_pairs(shared: DataFrame) -> DataFrame:
     return shared.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def open_members(shared: DataFrame, parts: DataFrame) -> DataFrame:
-    """(band, key, id, part) of buckets that still span several components.
+def open_members(shared: DataFrame, parts: DataFrame, items: DataFrame) -> DataFrame:
+    """``items`` (id, size, text, ...) in buckets that still span several components.
 
+    Each row has band, key, part and the number of ``blocks`` its bucket is compared in.
     ``parts`` is (node, component) of linked items; any other item is its own component.
     """
     labelled = shared.join(parts, shared["id"] == parts["node"], "left").select(
@@ -61,66 +69,117 @@ def open_members(shared: DataFrame, parts: DataFrame) -> DataFrame:
     labelled = checkpointed(labelled)
     split = (
         labelled.groupBy("key")
-        .agg(F.min("part").alias("_least"), F.max("part").alias("_most"), F.count("*").alias("_size"))
+        .agg(F.min("part").alias("_least"), F.max("part").alias("_most"), F.count("*").alias("_n"))
         .where("_least < _most")
-        .select(_moved("key"), "_size")
+        .select(_moved("key"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
     )
-    return labelled.join(split, F.col("key").bitwiseXOR(F.lit(1)) == F.col("_moved")).select(
-        "band", "key", "id", "part", F.ceil(F.col("_size") / BLOCK).cast("int").alias("blocks")
-    )
-
-
-def cross_pairs(
+    still = labelled.join(split, F.col("key").bitwiseXOR(F.lit(1)) == F.col("_moved"))
+    return still.select("band", "key", "id", "part", "blocks").join(items, "id")
+
+
+class _Parts:
+    """Union-find over the components that meet in one block."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while self.above.get(x, x) != x:
+            x = self.above[x]
+        return x
+
+
+def _links_in_block(block: pa.RecordBatch, signature, sets, bands: int, rows: int, share: float, percent: int) -> list:
+    ids = block.column("id").to_numpy(zero_copy_only=False)
+    _, once = np.unique(ids, return_index=True)
+    if len(once) < len(ids):
+        block, ids = block.take(pa.array(once)), ids[once]
+    part, size, own = (block.column(c).to_numpy(zero_copy_only=False) for c in ("part", "size", "_own"))
+    if part.min() == part.max():
+        return []
+    sig = signature(block)
+    band, cross = block.column("band")[0].as_py(), block.column("_low")[0].as_py() != block.column("_high")[0].as_py()
+    near = []
+    step = max(1, (1 << 16) // len(ids))
+    for at in range(0, len(ids), step):
+        mine = slice(at, at + step)
+        fits = (part[mine, None] != part[None]) & (ids[mine, None] < ids[None])
+        if cross:
+            fits &= own[mine, None] != own[None]
+        fits &= 100 * np.minimum(size[mine, None], size[None]) >= percent * np.maximum(size[mine, None], size[None])
+        i, j = np.nonzero(fits)
+        i += at
+        for cut in range(0, len(i), 1 << 14):
+            x, y = i[cut : cut + (1 << 14)], j[cut : cut + (1 << 14)]
+            equal = sig[x] == sig[y]
+            agree = equal.mean(axis=1)
+            good = agree >= share
+            x, y, equal, agree = x[good], y[good], equal[good], agree[good]
+            whole = equal[:, : bands * rows].reshape(len(x), bands, rows).all(axis=2)
+            first = whole.argmax(axis=1) == band
+            near += zip((-agree[first]).tolist(), x[first].tolist(), y[first].tolist(), strict=True)
+    joined, known, links = _Parts(), {}, []
+    for _, x, y in sorted(near):
+        a, b = joined.find(int(part[x])), joined.find(int(part[y]))
+        if a == b:  # already linked through others
+            continue
+        for k in (x, y):
+            if k not in known:
+                known[k] = sets(block.column("text").slice(k, 1))[0]
+        both, union = jaccard_counts(known[x], known[y])
+        if union and 100 * both >= percent * union:
+            links.append((int(ids[x]), int(ids[y])))
+            joined.above[max(a, b)] = min(a, b)
+    return links
+
+
+def cross_links(
     members: DataFrame,
-    signature: Callable[[pd.DataFrame], np.ndarray],
+    signature: Callable[[pa.RecordBatch], np.ndarray],
+    sets: Callable[[pa.Array], list[np.ndarray]],
     bands: int,
     rows: int,
     share: float,
-    ratio: float,
+    percent: int,
 ) -> DataFrame:
-    """(a, b), a < b, of different components that may be links.
+    """Verified (a, b) across the components of open buckets, enough to join all that are linked.
 
-    ``members`` has band, key, id, part, blocks, size and what ``signature`` reads. A pair goes
-    on if at least ``share`` of its signature agrees, the smaller size is at least ``ratio`` of
-    the larger, and no earlier band holds both (that band's bucket emits it).
+    ``members`` comes from :func:`open_members`. Large buckets are compared block by block. A
+    pair is confirmed on whole sets if its sizes allow a link, at least ``share`` of its
+    signature agrees, and no earlier band holds both (that band's bucket has them).
     """
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
         members.withColumn("_own", F.expr("int(pmod(xxhash64(id), blocks))"))
-        .withColumn("_other", other)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("_low", F.least("_own", "_other"))
         .withColumn("_high", F.greatest("_own", "_other"))
     )
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("id").sort_values("id")
-        sig = signature(pdf)
-        ids, part, size, own = (pdf[c].to_numpy() for c in ("id", "part", "size", "_own"))
-        band, low, high = int(pdf["band"].iloc[0]), pdf["_low"].iloc[0], pdf["_high"].iloc[0]
-        left, right = [], []
-        step = max(1, (4 << 20) // max(1, sig.size))
-        for at in range(0, len(ids), step):
-            rest = slice(at, None)
-            block = slice(at, at + step)
-            fits = (part[block, None] != part[None, rest]) & (ids[block, None] < ids[None, rest])
-            if low != high:
-                fits &= own[block, None] != own[None, rest]
-            small, large = np.minimum(size[block, None], size[None, rest]), np.maximum(size[block, None], size[None, rest])
-            fits &= small >= ratio * large - 1e-9
-            i, j = np.nonzero(fits)
-            for cut in range(0, len(i), 1 << 14):
-                x, y = i[cut : cut + (1 << 14)] + at, j[cut : cut + (1 << 14)] + at
-                equal = sig[x] == sig[y]
-                near = equal.mean(axis=1) >= share
-                x, y, equal = x[near], y[near], equal[near]
-                whole = equal[:, : bands * rows].reshape(len(x), bands, rows).all(axis=2)
-                first = whole.argmax(axis=1) == band
-                left.append(ids[x[first]])
-                right.append(ids[y[first]])
-        empty = np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.concatenate([empty, *left]), "b": np.concatenate([empty, *right])})
-
-    return dealt.groupBy("key", "_low", "_high").applyInPandas(compare, "a long, b long").distinct()
+    names = ["key", "_low", "_high"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def groups() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
+                cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+                for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                    if held and any(held[0].column(c)[0] != batch.column(c)[low] for c in names):
+                        yield pa.concat_batches(held)
+                        held.clear()
+                    held.append(batch.slice(low, high - low))
+            if held:
+                yield pa.concat_batches(held)
+
+        for block in groups():
+            links = _links_in_block(block, signature, sets, bands, rows, share, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
+
+    arranged = dealt.repartition(*names).sortWithinPartitions(*names)
+    return checkpointed(arranged.mapInArrow(compare, "a long, b long"))
 
 
 def verified(
