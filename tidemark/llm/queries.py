@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adaptive, circulant, impact, importance, lines, packing, pfair, secrets, sharding
+from tidemark.llm import adaptive, circulant, impact, importance, lines, lm, packing, pfair, secrets, sharding
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def _query(build: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable
     return build
 
 
+@_query
+def op1_cross_entropy_difference(table):
+    scored = lm.score(table("documents"), table("labels"))
+    return scored.select("doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference")
+
+
 @_query
 def op2_histogram_sort(table):
     docs = table("documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
