@@ -24,10 +24,10 @@ from tidemark.llm.arrays import small_batches
 from tidemark.llm.tokens import encoder
 from tidemark.session import checkpointed
 
-STEP = 0.25
-RATE = 8.0
-LEFT_OVER = 10_000
+ROUNDS = 1500
+MOST_STEP, MOST_RATE = 0.2, 200.0
 RUN_ROWS = 250_000
+Plan = list[tuple[tuple[int, ...], int]]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
@@ -88,56 +88,81 @@ def best_configuration(prices: np.ndarray, most: np.ndarray, capacity: int) -> l
     return out
 
 
-def fill(out: list[int], left: np.ndarray, capacity: int) -> list[int]:
-    """``out`` with the longest lengths still left that fit its free room."""
-    room = capacity - sum(out)
-    used = Counter(out)
-    while room > 0:
-        fits = [x for x in np.flatnonzero(left[: room + 1]).tolist()[::-1] if used[x] < left[x]]
-        if not fits:
+def best_fit(counts: np.ndarray, capacity: int) -> Plan:
+    """Best-fit decreasing on the histogram: all sequences of one filling move together."""
+    open_bins: dict[int, Plan] = {}  # by free room
+    for length in range(capacity, 0, -1):
+        left = int(counts[length])
+        for room in range(length, capacity) if left else ():
+            groups = open_bins.get(room)
+            while left and groups:
+                held, n = groups.pop()
+                moved = min(left, n)
+                if n > moved:
+                    groups.append((held, n - moved))
+                open_bins.setdefault(room - length, []).append(((*held, length), moved))
+                left -= moved
+        each = capacity // length
+        for times, n in ((each, left // each), (left % each, 1)):
+            if times and n:
+                open_bins.setdefault(capacity - times * length, []).append(((length,) * times, n))
+    return [group for groups in open_bins.values() for group in groups]
+
+
+def linear_program(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], float]:
+    """How often each filling is used in a near-optimal fractional cover of ``counts``.
+
+    Starting from the lengths themselves, the price of a length falls exponentially with its
+    coverage. Every round takes the best filling under the prices, as often as covers the
+    share ``step`` of one of its lengths.
+    """
+    lengths = np.flatnonzero(counts)
+    used: dict[tuple[int, ...], float] = {}
+    if not len(lengths):
+        return used
+    rounds = min(ROUNDS, 50 + int(counts.sum()) // 8)  # with few pieces the rounding decides
+    step = min(MOST_STEP, len(lengths) / rounds)
+    rate = min(MOST_RATE, 1 / step)
+    covered = np.zeros(len(counts))
+    prices = np.zeros(len(counts))
+    need = counts.astype(float)
+    size = lengths.astype(float)
+    for _ in range(2 * rounds):
+        share = covered[lengths] / need[lengths]
+        if (size * need[lengths] * np.minimum(share, 1)).sum() >= (size * need[lengths]).sum() * (1 - step):
             break
-        out.append(fits[0])
-        used[fits[0]] += 1
-        room -= fits[0]
-    return out
+        prices[lengths] = size * np.exp(-rate * (share - share.min()))
+        chosen = tuple(best_configuration(prices, counts, capacity))
+        times = min(step * need[x] / k for x, k in Counter(chosen).items())
+        used[chosen] = used.get(chosen, 0.0) + times
+        for x in chosen:
+            covered[x] += times
+    scale = max(1.0, float((covered[lengths] / need[lengths]).mean()))
+    return {held: times / scale for held, times in used.items()}
 
 
-def configurations(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, times) that cover every length exactly ``counts`` times."""
+def configurations(counts: dict[int, int], capacity: int) -> Plan:
+    """(lengths, times) that cover every length exactly ``counts`` times.
+
+    The program is rounded down and what it leaves is placed best-fit. Where many lengths make
+    that a little worse than placing everything best-fit, the latter is the plan.
+    """
     total = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         total[length] = n
-    left, used = total.copy(), []
-    if left[capacity]:
-        used.append(((capacity,), int(left[capacity])))
-        left[capacity] = 0
-    size = np.arange(capacity + 1)
-    while left.sum() > LEFT_OVER:
-        open_share = left / np.maximum(total, 1)
-        prices = np.where(left > 0, size * np.exp(RATE * (open_share - open_share[left > 0].max())), 0.0)
-        chosen = fill(best_configuration(prices, left, capacity), left, capacity)
-        need = Counter(chosen)
-        whole = min(left[x] // k for x, k in need.items())
-        part = min(STEP * total[x] / k for x, k in need.items())
-        times = int(max(1, min(whole, part)))
-        used.append((tuple(chosen), times))
-        for x, k in need.items():
-            left[x] -= k * times
-    bins: list[list[tuple[int, ...]]] = [[] for _ in range(capacity + 1)]  # by free room
-    free = np.zeros(capacity + 1, np.int64)
-    for length in range(capacity, 0, -1):
-        for _ in range(int(left[length])):
-            room = np.flatnonzero(free[length:])
-            at = length + int(room[0]) if len(room) else capacity
-            held = bins[at].pop() if len(room) else ()
-            free[at] -= bool(len(room))
-            bins[at - length].append((*held, length))
-            free[at - length] += 1
-    placed = Counter(held for some in bins for held in some)
-    return used + sorted(placed.items())
-
-
-def _slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
+    left, rounded = total.copy(), []
+    for held, times in sorted(linear_program(total, capacity).items(), key=lambda x: -x[1]):
+        need = Counter(held)
+        n = min([int(times), *(int(left[x]) // k for x, k in need.items())])
+        if n:
+            rounded.append((held, n))
+            for x, k in need.items():
+                left[x] -= n * k
+    plans = [rounded + best_fit(left, capacity), best_fit(total, capacity)]
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
+def _slots(plan: Plan) -> dict[str, np.ndarray]:
     """Ranges of ranks within a length: which sequences they fill, and where."""
     length, times, first, offset, sequence = [], [], [], [], 0
     for held, n in plan:
