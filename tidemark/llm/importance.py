@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, mix64, small_batches, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, small_batches, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.select import at_least_kth
 from tidemark.session import checkpointed
@@ -97,7 +97,7 @@ def weighed(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             sizes, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
             for _, _, data, bounds in text_chunks(batch.column("text")):
                 values, rows = ngram_buckets(data, bounds, len(table.value))
-                sums.append(np.diff(np.concatenate(([0.0], np.cumsum(table.value[values])))[rows]))
+                sums.append(reduce_rows(np.add, table.value[values], rows, 0.0))  # the same for equal texts
                 sizes.append(np.diff(rows))
             more = [pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sums), pa.float64())]
             yield pa.RecordBatch.from_arrays(batch.columns + more, batch.schema.names + ["_ngrams", "_log_weight"])

@@ -136,11 +136,11 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(describe, "id long, doc_id long, line int, keys array<long>")
 
 
-def _sized(lists: DataFrame, column: str) -> DataFrame:
+def _sized(lists: DataFrame, column: str, item_bytes: int) -> DataFrame:
     """``lists`` written once, and marked for broadcast if it is known to be small."""
     lists = checkpointed(lists)
     rows, items = lists.agg(F.count("*"), F.coalesce(F.sum(F.size(column)), F.lit(0))).first()
-    return F.broadcast(lists) if rows * 64 + items * 32 <= BROADCAST_BYTES else lists
+    return F.broadcast(lists) if rows * 64 + items * item_bytes <= BROADCAST_BYTES else lists
 
 
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -161,7 +161,7 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("_at"))  # lines of one document
-    places = _sized(places, "_at")
+    places = _sized(places, "_at", 32)
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(places, "doc_id")
     cuts = joined.select(F.col("_at.id").alias("id"), F.col("_at.line").alias("line"), "text").mapInArrow(
         cut, "id long, text string"
@@ -230,7 +230,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     kinds = checkpointed(line_kinds(docs))
     # every occurrence of a line must learn whether it is the kept place: by document
     keep = kinds.select(F.col("at.doc_id").alias("_doc"), F.col("at.line").alias("_line")).distinct()
-    per_doc = _sized(keep.groupBy("_doc").agg(F.collect_set("_line").alias("_keep")), "_keep")  # lines of one document
+    per_doc = _sized(keep.groupBy("_doc").agg(F.collect_set("_line").alias("_keep")), "_keep", 4)  # lines of one document
     schema = T.StructType(docs.schema.fields + [T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())])
 
     names = docs.columns

@@ -89,48 +89,61 @@ class _Parts:
         return x
 
 
-def _links_in_block(block: pa.RecordBatch, signature, sets, bands: int, rows: int, share: float, percent: int) -> list:
-    ids = block.column("id").to_numpy(zero_copy_only=False)
-    _, once = np.unique(ids, return_index=True)
-    if len(once) < len(ids):
-        block, ids = block.take(pa.array(once)), ids[once]
-    part, size, own = (block.column(c).to_numpy(zero_copy_only=False) for c in ("part", "size", "_own"))
-    if part.min() == part.max():
-        return []
-    sig = signature(block)
-    band, cross = block.column("band")[0].as_py(), block.column("_low")[0].as_py() != block.column("_high")[0].as_py()
-    near = []
-    step = max(1, (1 << 16) // len(ids))
-    for at in range(0, len(ids), step):
-        mine = slice(at, at + step)
-        fits = (part[mine, None] != part[None]) & (ids[mine, None] < ids[None])
-        if cross:
-            fits &= own[mine, None] != own[None]
-        fits &= 100 * np.minimum(size[mine, None], size[None]) >= percent * np.maximum(size[mine, None], size[None])
-        i, j = np.nonzero(fits)
-        i += at
-        for cut in range(0, len(i), 1 << 14):
-            x, y = i[cut : cut + (1 << 14)], j[cut : cut + (1 << 14)]
-            equal = sig[x] == sig[y]
-            agree = equal.mean(axis=1)
-            good = agree >= share
-            x, y, equal, agree = x[good], y[good], equal[good], agree[good]
-            whole = equal[:, : bands * rows].reshape(len(x), bands, rows).all(axis=2)
-            first = whole.argmax(axis=1) == band
-            near += zip((-agree[first]).tolist(), x[first].tolist(), y[first].tolist(), strict=True)
-    joined, known, links = _Parts(), {}, []
-    for _, x, y in sorted(near):
-        a, b = joined.find(int(part[x])), joined.find(int(part[y]))
-        if a == b:  # already linked through others
-            continue
-        for k in (x, y):
-            if k not in known:
-                known[k] = sets(block.column("text").slice(k, 1))[0]
-        both, union = jaccard_counts(known[x], known[y])
-        if union and 100 * both >= percent * union:
-            links.append((int(ids[x]), int(ids[y])))
-            joined.above[max(a, b)] = min(a, b)
-    return links
+class _Block:
+    """Columns of a batch of open members as arrays, from which groups of rows are compared."""
+
+    def __init__(self, batch: pa.RecordBatch, signature, sets, bands: int, rows: int, share: float, percent: int):
+        self.batch, self.sets, self.bands, self.rows, self.share, self.percent = batch, sets, bands, rows, share, percent
+        names = ("key", "_low", "_high", "band", "id", "part", "size", "_own")
+        self.cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names}
+        self.sig = signature(batch)
+
+    def groups(self) -> list[int]:
+        """Where groups of equal key and block pair start, and the end."""
+        change = np.zeros(max(0, self.batch.num_rows - 1), bool)
+        for c in ("key", "_low", "_high"):
+            change |= self.cols[c][1:] != self.cols[c][:-1]
+        return [0, *(np.flatnonzero(change) + 1).tolist(), self.batch.num_rows]
+
+    def links(self, low: int, high: int) -> list[tuple[int, int]]:
+        """Confirmed links that join components in rows ``low`` to ``high``, sorted by id."""
+        ids, part, size, own = (self.cols[c][low:high] for c in ("id", "part", "size", "_own"))
+        if high - low < 2 or (part == part[0]).all():
+            return []
+        cross, near = self.cols["_low"][low] != self.cols["_high"][low], []
+        step = max(1, (1 << 16) // len(ids))
+        for at in range(0, len(ids), step):
+            mine = slice(at, at + step)
+            fits = (part[mine, None] != part[None]) & (ids[mine, None] < ids[None])
+            if cross:
+                fits &= own[mine, None] != own[None]
+            fits &= 100 * np.minimum(size[mine, None], size[None]) >= self.percent * np.maximum(size[mine, None], size[None])
+            i, j = np.nonzero(fits)
+            i += at
+            for cut in range(0, len(i), 1 << 14):
+                near += self._candidates(low, i[cut : cut + (1 << 14)], j[cut : cut + (1 << 14)])
+        joined, known, links = _Parts(), {}, []
+        for _, x, y in sorted(near):
+            a, b = joined.find(int(part[x])), joined.find(int(part[y]))
+            if a == b:  # the same id twice, or already linked through others
+                continue
+            for k in (x, y):
+                if k not in known:
+                    known[k] = self.sets(self.batch.column("text").slice(low + k, 1))[0]
+            both, union = jaccard_counts(known[x], known[y])
+            if union and 100 * both >= self.percent * union:
+                links.append((int(ids[x]), int(ids[y])))
+                joined.above[max(a, b)] = min(a, b)
+        return links
+
+    def _candidates(self, low: int, x: np.ndarray, y: np.ndarray) -> list[tuple[float, int, int]]:
+        equal = self.sig[low + x] == self.sig[low + y]
+        agree = equal.mean(axis=1)
+        good = agree >= self.share
+        x, y, equal, agree = x[good], y[good], equal[good], agree[good]
+        whole = equal[:, : self.bands * self.rows].reshape(len(x), self.bands, self.rows).all(axis=2)
+        first = whole.argmax(axis=1) == self.cols["band"][low]
+        return list(zip((-agree[first]).tolist(), x[first].tolist(), y[first].tolist(), strict=True))
 
 
 def cross_links(
@@ -157,28 +170,27 @@ def cross_links(
     names = ["key", "_low", "_high"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: pa.RecordBatch | None = None  # the last group, which may go on in the next batch
 
-        def groups() -> Iterator[pa.RecordBatch]:
+        def blocks() -> Iterator[tuple[_Block, list[int]]]:
+            nonlocal held
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
-                cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-                for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                    if held and any(held[0].column(c)[0] != batch.column(c)[low] for c in names):
-                        yield pa.concat_batches(held)
-                        held.clear()
-                    held.append(batch.slice(low, high - low))
-            if held:
-                yield pa.concat_batches(held)
-
-        for block in groups():
-            links = _links_in_block(block, signature, sets, bands, rows, share, percent)
+                if batch.num_rows:
+                    whole = batch if held is None else pa.concat_batches([held, batch])
+                    block = _Block(whole, signature, sets, bands, rows, share, percent)
+                    cuts = block.groups()
+                    held = whole.slice(cuts[-2])
+                    yield block, cuts[:-1]
+            if held is not None:
+                block = _Block(held, signature, sets, bands, rows, share, percent)
+                yield block, block.groups()
+
+        for block, cuts in blocks():
+            links = [pair for low, high in zip(cuts[:-1], cuts[1:], strict=True) for pair in block.links(low, high)]
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
 
-    arranged = dealt.repartition(*names).sortWithinPartitions(*names)
+    arranged = dealt.repartition(*names).sortWithinPartitions(*names, "id")
     return checkpointed(arranged.mapInArrow(compare, "a long, b long"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, small_batches, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, reduce_rows, small_batches, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.importance import TARGET_ROWS, labelled_good
 from tidemark.session import checkpointed
@@ -173,8 +173,7 @@ def score(
             for _, _, data, bounds in text_chunks(batch.column("text")):
                 start, stop, words = word_spans(data, bounds)
                 losses = models.value.losses(SpanHash(data)(start, stop), words)
-                run = np.concatenate((np.zeros((2, 1)), np.cumsum(losses, axis=1)), axis=1)
-                sums.append(np.diff(run[:, words], axis=1))
+                sums.append(np.stack([reduce_rows(np.add, one, words, 0.0) for one in losses]))
                 sizes.append(np.diff(words))
             n, total = np.concatenate(sizes), np.concatenate(sums, axis=1)
             none = n == 0
