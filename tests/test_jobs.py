@@ -112,6 +112,18 @@ def test_commission_measures_of_one_group(spark):
     assert r["total_commission_one_shot_MFR"] == 0.0
 
 
+def test_commission_shares_are_rounded_once(spark):
+    """20,000 lines of a cent at a share of a third: rounding each line first would give 66.00."""
+    lines = spark.range(20_000).select(
+        *[F.lit("k").alias(k) for k in commission.KEYS],
+        F.lit(False).alias("is_promo"), F.lit(False).alias("is_setup"), F.lit(1.0).alias("unit_price"),
+        F.lit(1.0).alias("line_quantity"), F.lit(0.01).alias("net"), F.lit(1.0).alias("platform_list"),
+        F.lit(1.0).alias("partner_list"), F.lit(3.0).alias("customer_list"),
+    )
+    got = commission.commission_measures(lines).first()
+    assert float(got["theoretical_MFR_commission_oneshot"]) == 66.67 == float(got["total_monthly_DISH"])
+
+
 def test_commission_without_price_or_regular_line(spark):
     late = commission_of(spark, [line(at=datetime(2024, 2, 1))]).first()
     assert late["theoretical_MFR_commission_monthly"] == 0.0 and late["theoretical_MFR_commission_oneshot"] is None

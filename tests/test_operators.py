@@ -190,6 +190,14 @@ def test_nested_lines_are_ordered_and_paged(spark):
     assert sizes[("hot", 0)] == list(range(500)) and len(sizes[("hot", 2)]) == 200 and len(sizes) == 4
 
 
+def test_nested_lines_are_one_row_a_key_at_any_size(spark):
+    df = spark.range(1501).select(F.when(F.col("id") < 1500, "hot").otherwise("small").alias("k"), (F.col("id") % 3).alias("o"), "id")
+    got = {r["k"]: [x["id"] for x in r["lines"]] for r in reshape.nest_lines(df, ["k"], ["o"], ["id"]).collect()}
+    assert got["small"] == [1500] and got["hot"] == sorted(range(1500), key=lambda i: (i % 3, i))
+    with pytest.raises(ValueError, match="hot"):
+        reshape.nest_lines(df, ["k"], ["o"], ["id"], max_lines=1000)
+
+
 # --- measures --------------------------------------------------------------------------------------
 
 

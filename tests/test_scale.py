@@ -42,9 +42,9 @@ def test_closed_versions_are_not_shuffled_by_a_merge(spark, tmp_path, no_broadca
         [(f"k{i}", f"r{i}", datetime(2024, 1, 1), datetime(2099, 12, 31), i % 2 == 0) for i in range(20)], HASHED
     ).withColumn("iso_code", F.substring("_keyhash", 2, 1))
     tables.write_scd(hist, str(tmp_path / "h"))
-    stored = tables.read_table(spark, str(tmp_path / "h"))
+    stored = tables.read_scd(spark, str(tmp_path / "h"))
     staging = hist.limit(5).select("_keyhash", "_rowhash", "iso_code")
-    merged = scd.scd2_merge(stored.drop("version_state", "valid_day"), staging, datetime(2024, 2, 1), scope=["iso_code"])
+    merged = scd.scd2_merge(stored, staging, datetime(2024, 2, 1), scope=["iso_code"])
     plan = plan_of(merged)
     assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
     first_child = re.split(r"\n   :- ", plan[plan.index("Union"):])[1]
@@ -53,6 +53,19 @@ def test_closed_versions_are_not_shuffled_by_a_merge(spark, tmp_path, no_broadca
     assert "EqualTo(_valid_flag,true)" in plan
 
 
+def test_an_update_opens_no_file_of_closed_versions(spark, tmp_path):
+    hist = spark.createDataFrame(
+        [(f"k{i}", f"r{i}", datetime(2024, 1, 1), datetime(2024, 1, 9 + i % 2), i % 2 == 0) for i in range(20)], HASHED
+    ).withColumn("iso_code", F.substring("_keyhash", 2, 1))
+    tables.write_scd(hist, str(tmp_path / "h"))
+    active = tables.read_scd(spark, str(tmp_path / "h"), "active")
+    closed, opened = scd.scd2_changes(active, hist.limit(5), datetime(2024, 2, 1), scope=["iso_code"])
+    for part in (closed, opened):
+        assert re.search(r"PartitionFilters: \[.*version_state#\d+ = active", plan_of(part))
+    read = {r[0] for r in active.select(F.input_file_name()).distinct().collect()}
+    assert read and all("version_state=active" in f for f in read)
+
+
 def test_delta_is_hash_joins_not_nested_loops(spark, no_broadcast):
     hist = spark.createDataFrame([("k", "r", datetime(2024, 1, 1), datetime(2099, 1, 1), True)], HASHED)
     plan = plan_of(scd.hash_delta(hist, hist))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from tidemark.operators import scd
 from tidemark.plans.lifecycle import dual_export
 from tidemark.sources import tables
 
@@ -96,12 +97,50 @@ def test_scd_layout_prunes_closed_rows(spark, tmp_path):
     path = str(tmp_path / "scd")
     df = spark.createDataFrame(
         [("k1", "DE", datetime(2024, 1, 1), True), ("k2", "FR", datetime(2024, 1, 2), False)],
-        "_keyhash string, iso_code string, _valid_from timestamp_ntz, _valid_flag boolean")
+        "_keyhash string, iso_code string, _valid_until timestamp_ntz, _valid_flag boolean")
     tables.write_scd(df, path)
-    got = tables.read_table(spark, path)
-    assert rows(got, "_keyhash", "_valid_flag") == [("k1", True), ("k2", False)]
-    active = got.where("version_state = 'active'")
-    assert len(active.inputFiles()) <= 2 and rows(active, "_keyhash") == [("k1",)]
+    got = tables.read_scd(spark, path)
+    assert got.columns == df.columns and rows(got, "_keyhash", "_valid_flag") == [("k1", True), ("k2", False)]
+    active = tables.read_scd(spark, path, "active")
+    assert active.select(F.input_file_name()).distinct().count() == 1 and rows(active, "_keyhash") == [("k1",)]
+    assert tables.read_scd(spark, path, closed_since=date(2024, 1, 3)).count() == 1
+
+
+CYCLE = "_keyhash string, _rowhash string, iso_code string, _valid_from timestamp_ntz, _valid_until timestamp_ntz, _valid_flag boolean"
+
+
+def _today(spark, pairs, at):
+    return spark.createDataFrame([(k, r, "DE", at, datetime(2099, 12, 31), True) for k, r in pairs], CYCLE)
+
+
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet") if "version_state=closed" in str(p)}
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_two_cycles_through_storage(spark, tmp_path, merge):
+    """write, read, merge, update, twice: as the same cycles in memory, and closed files stay."""
+    path, days = tmp_path / "h", [datetime(2024, 1, d, 10) for d in (1, 2, 3)]
+    staged = [[("a", "1"), ("b", "1"), ("c", "1")], [("a", "2"), ("b", "1"), ("d", "1")], [("a", "3"), ("d", "1")]]
+    memory = _today(spark, staged[0], days[0])
+    tables.write_scd(memory, str(path))
+    seen = {}
+    for pairs, day in zip(staged[1:], days[1:], strict=True):
+        today = _today(spark, pairs, day)
+        if merge:
+            active = tables.read_scd(spark, str(path), "active")
+            closed, active = scd.scd2_changes(active, today, day, scope=["iso_code"])
+            memory = scd.scd2_merge(memory, today, day, scope=["iso_code"])
+        else:
+            _, closed, active = scd.delta_changes(today, tables.read_scd(spark, str(path)), day)
+            _, memory = scd.delta_cycle(today, memory, day)
+        tables.update_scd(closed, active, str(path), day.isoformat())
+        now = _files(path)
+        assert seen.items() <= now.items()
+        seen = now
+        assert rows(tables.read_scd(spark, str(path)), *memory.columns) == rows(memory)
+    again = tables.read_scd(spark, str(path)).where("not _valid_flag").count()
+    assert again == (4 if merge else 2)
 
 
 @pytest.mark.parametrize("n", [0, 1, 500, 501])

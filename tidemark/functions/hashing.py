@@ -17,12 +17,17 @@ def canonical(name: str, dtype: T.DataType) -> str:
     """SQL of the text a column contributes to a hash; null contributes ''.
 
     Floating point goes through a decimal with four places, because the text of a raw
-    double differs between engines (``1``, ``1.0``, ``1.0E10``). Values a decimal cannot
-    hold (NaN, infinities) fall back to their own text.
+    double differs between engines (``1``, ``1.0``, ``1.0E10``). A value that needs more adds
+    itself with 15 significant digits, as many as every double holds: the smallest true change
+    shows, and noise in the last bit of a computed amount does not. Values a decimal cannot
+    hold (NaN, infinities) are their own text alone.
     """
     col = f"`{name}`"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return f"coalesce(string(try_cast({col} as decimal(38,4))), string({col}), '')"
+        short = f"try_cast({col} as decimal(38,4))"
+        digits, kept = (f"format_string('%.14e', double({x}))" for x in (col, short))
+        more = f"if(double({short}) = double({col}) or {kept} = {digits}, '', '~' || {digits})"
+        return f"coalesce(string({short}) || {more}, string({col}), '')"
     if isinstance(dtype, T.BinaryType):
         return f"coalesce(hex({col}), '')"
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):

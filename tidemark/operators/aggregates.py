@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import in_window, iso_week_start
+from tidemark.functions.clock import in_window, iso_week_start, ts
 
 UNIT = 10_000
 
@@ -52,6 +52,15 @@ def money_sum(value: str, when: str | None = None, zero: bool = False) -> Column
     return amount(f"coalesce({total}, 0L)" if zero else total)
 
 
+def exact_sum(value: str, when: str, places: int = 2) -> Column:
+    """Sum of a fractional amount (a SQL expression) where a condition holds, rounded once.
+
+    For quotients and products, whose parts must not be rounded before the sum. Ten decimals
+    are kept, so the sum does not depend on the order of partitions. Overflow is an error.
+    """
+    return F.expr(f"round(sum(cast({value} as decimal(28,10))) filter (where {when}), {places})")
+
+
 def week_counts(sales: DataFrame, keys: Sequence[str], ts_col: str, count_col: str) -> DataFrame:
     """Units per key and ISO week (named by its Monday)."""
     return sales.groupBy(*keys, iso_week_start(ts_col).alias("week_start")).agg(
@@ -66,11 +75,16 @@ def week_lags(
     count_col: str,
     as_of: date,
     lags: Mapping[int, str],
+    window_days: int | None = None,
 ) -> DataFrame:
     """Units of single earlier weeks as columns, e.g. ``{1: "one_week_ago"}``.
 
-    Weeks are told apart by their Monday, so week 1 of a year has a predecessor.
+    Weeks are told apart by their Monday, so week 1 of a year has a predecessor. With
+    ``window_days`` only that many days before ``as_of`` count, and keys without a sale in
+    them have no row.
     """
+    if window_days is not None:
+        sales = sales.where(F.col(ts_col) >= ts(as_of - timedelta(days=window_days)))
     monday = as_of - timedelta(days=as_of.weekday())
     weekly = week_counts(sales, keys, ts_col, count_col)
     columns = [

@@ -19,53 +19,33 @@ from tidemark.session import checkpointed
 _COPY = "_copy_no"
 _POS = "_range_pos"
 _PART = "_range_part"
-_MANY = 10_000
+ROWS_PER_TASK = 1_000_000
 
 
 def _columns(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def number_copies(df: DataFrame) -> DataFrame:
-    """Add ``_copy_no``, which tells masses of identical rows apart.
-
-    Rows are counted by their hash first (8 bytes per row, combined on the map side). Only
-    rows with more than ``_MANY`` copies are numbered: they travel as one row with a count
-    and are made again in blocks that are spread over the cluster.
-    """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn("_row_hash", F.xxhash64(*cols))
-    sizes = hashed.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = checkpointed(sizes.where(F.col("_n") > _MANY).select("_row_hash"))
-    plain = df.withColumn(_COPY, F.lit(0).cast("bigint"))
-    if heavy.isEmpty():
-        return plain
-    light = hashed.join(heavy, "_row_hash", "left_anti").withColumn(_COPY, F.lit(0).cast("bigint"))
-    counted = hashed.join(heavy, "_row_hash", "left_semi").groupBy(*cols).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(_MANY).cast("bigint"))
-    blocks = counted.select(*cols, "_copies", F.explode(starts).alias("_block"))
-    last = F.least(F.col("_block") + (_MANY - 1), F.col("_copies") - 1)
-    made = blocks.repartition(F.col("_block"), *cols).select(
-        *cols, F.explode(F.sequence(F.col("_block"), last)).alias(_COPY)
-    )
-    return light.select(*plain.columns).unionByName(made)
+def range_parts(df: DataFrame) -> int:
+    """Range partitions for ``df``: at least the session's, and one per ``ROWS_PER_TASK`` rows."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // ROWS_PER_TASK))
 
 
 def range_ordered(df: DataFrame, order: Sequence[Column | str], unique: bool = False) -> DataFrame:
     """``df`` in global order with ``_range_part`` and ``_range_pos`` (from 0).
 
     ``unique=True`` promises that ``order`` already tells all rows apart. Otherwise ties
-    are broken by the row's own hash and masses of identical rows by a copy number, so no
-    large set of equal rows has to share a task.
+    are broken by the row's own hash, and identical rows, which are interchangeable, by where
+    they were read; so no large set of equal rows has to share a task. The number of range
+    partitions follows the number of rows, as nothing splits them later.
     """
     keys = _columns(order)
     if not unique:
         payload = [F.col(f"`{c}`") for c in df.columns]
-        df = number_copies(df)
+        df = df.withColumn(_COPY, F.monotonically_increasing_id())
         keys = keys + [F.xxhash64(*payload), F.col(_COPY)]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_parts(df)
     placed = (
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
@@ -100,7 +80,7 @@ def global_rank(
 ) -> DataFrame:
     """Rank from 1 in the global order; optionally the total number of rows too."""
     placed = range_ordered(df, order, unique)
-    # Safe to broadcast: at most spark.sql.shuffle.partitions rows of three numbers.
+    # Safe to broadcast: one row of three numbers per range partition.
     ranked = placed.join(F.broadcast(_part_offsets(placed)), _PART)
     out = ranked.withColumn(name, F.col("_before") + F.col(_POS) + 1)
     if total is not None:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import null_safe_join
 from tidemark.operators.ordering import global_rank
-from tidemark.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -72,33 +71,29 @@ def nest_lines(
     order: Sequence[str],
     fields: Sequence[str],
     out: str = "lines",
-    page_size: int = 500,
-    unique: bool = False,
+    page_size: int | None = None,
+    max_lines: int = 1_000_000,
 ) -> DataFrame:
-    """Lines nested per key as an ordered array, in pages of at most ``page_size``.
+    """Lines nested per key as an array ordered by ``order``, then by the line itself.
 
-    An ordinary document is one page (``page_no`` 0). A key that holds a large part of the
-    table becomes many pages instead of one array that no task could hold. Only keys with
-    more than one page are put into global order; the others are nested directly.
+    One row per key, whatever its size. A key with more than ``max_lines`` lines is an error
+    that names it: such a document does not fit a row, keep it flat. With ``page_size`` every
+    key is cut into pages of that many lines instead, numbered from 0 in ``page_no``; pages
+    follow the global order, so a key of any size is spread over many tasks.
     """
     line = F.struct(*fields).alias("line")
-    sizes = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = checkpointed(sizes.where(F.col("_n") > page_size).select(*key))
-    short = null_safe_join(lines, long_keys, key, "left_anti").groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("by"), line))).alias("_sorted")
-    )
-    nested = short.withColumn("page_no", F.lit(0))
-    if not long_keys.isEmpty():
-        ranked = global_rank(null_safe_join(lines, long_keys, key, "left_semi"), [*key, *order], "_rank", unique)
-        firsts = ranked.groupBy(*key).agg(F.min("_rank").alias("_first"))
-        placed = null_safe_join(ranked, firsts, key, "inner")
-        paged = placed.withColumn("page_no", F.expr(f"int((_rank - _first) div {int(page_size)})"))
-        pages = paged.groupBy(*key, "page_no").agg(
-            F.sort_array(F.collect_list(F.struct("_rank", line))).alias("_sorted")
+    if page_size is None:
+        sizes = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        too_long = sizes.where(F.col("_n") > max_lines).limit(1).collect()
+        if too_long:
+            raise ValueError(f"{tuple(too_long[0])[:-1]} has {too_long[0]['_n']} lines, more than {max_lines}")
+        nested = lines.groupBy(*key).agg(
+            F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("by"), line))).alias("_sorted")
         )
-        return _lines_only(nested, key, out).unionByName(_lines_only(pages, key, out))
-    return _lines_only(nested, key, out)
-
-
-def _lines_only(nested: DataFrame, key: Sequence[str], out: str) -> DataFrame:
-    return nested.select(*key, "page_no", F.transform("_sorted", lambda s: s["line"]).alias(out))
+        return nested.select(*key, F.transform("_sorted", lambda s: s["line"]).alias(out))
+    ranked = global_rank(lines, [*key, *order, *fields], "_rank")
+    firsts = ranked.groupBy(*key).agg(F.min("_rank").alias("_first"))
+    placed = null_safe_join(ranked, firsts, key, "inner")
+    paged = placed.withColumn("page_no", F.expr(f"int((_rank - _first) div {int(page_size)})"))
+    pages = paged.groupBy(*key, "page_no").agg(F.sort_array(F.collect_list(F.struct("_rank", line))).alias("_sorted"))
+    return pages.select(*key, "page_no", F.transform("_sorted", lambda s: s["line"]).alias(out))

@@ -103,11 +103,24 @@ def delta_cycle(
     """(delta, new history): delta against the previous history, append, then expire.
 
     Both results are planned from the same immutable inputs, so the history cannot move
-    between sending and appending.
+    between sending and appending. Rows of the delta are today's own and never end here, so
+    only the old history is searched for ended versions.
     """
     delta = hash_delta(today, hist, revert_aware)
-    appended = hist.unionByName(delta.select(*hist.columns))
-    return delta, expire_superseded(appended, today, as_of, close)
+    return delta, expire_superseded(hist, today, as_of, close).unionByName(delta.select(*hist.columns))
+
+
+def delta_changes(
+    today: DataFrame, hist: DataFrame, as_of: date | datetime, revert_aware: bool = False, close: str = "day"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(delta, newly closed, active afterwards): a delta cycle for :func:`tables.update_scd`.
+
+    Of the closed part of ``hist`` only the hashes are read.
+    """
+    delta = hash_delta(today, hist, revert_aware)
+    judged = expire_superseded(current(hist), today, as_of, close)
+    ended = ~F.col(VALID_FLAG)
+    return delta, judged.where(ended), judged.where(~ended).unionByName(delta.select(*hist.columns))
 
 
 def in_scope(hist: DataFrame, staging: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -135,19 +148,53 @@ def scd2_merge(
     on insert.
     """
     active, others = _split_active(hist, source_col, source)
+    updated, opened = _merged(active, staging, as_of, scope, close, far_future, clean)
+    return others.unionByName(updated).unionByName(opened)
+
+
+def scd2_changes(
+    active: DataFrame,
+    staging: DataFrame,
+    as_of: date | datetime,
+    scope: Sequence[str] = ("original_request", "iso_code"),
+    source: str | None = None,
+    source_col: str = "_sourcesystem",
+    close: str = "hour",
+    far_future: datetime = FAR_FUTURE_MIDNIGHT,
+    clean: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """(newly closed, active afterwards): :func:`scd2_merge` for :func:`tables.update_scd`.
+
+    ``active`` holds the active rows only; closed ones are neither read nor written again.
+    """
+    mine, others = _split_active(active, source_col, source)
+    updated, opened = _merged(mine, staging, as_of, scope, close, far_future, clean)
+    ended = ~F.col(VALID_FLAG)
+    return updated.where(ended), others.unionByName(updated.where(~ended)).unionByName(opened)
+
+
+def _merged(
+    active: DataFrame,
+    staging: DataFrame,
+    as_of: date | datetime,
+    scope: Sequence[str],
+    close: str,
+    far_future: datetime,
+    clean: Sequence[str],
+) -> tuple[DataFrame, DataFrame]:
+    """(active rows, those that ended closed; rows that open)."""
     pairs = _marked(staging, VERSION, "_still_there")
     scopes = _marked(staging, scope, "_in_scope")
     judged = join_unique(join_unique(active, pairs, VERSION), scopes, scope)
     ended = F.col("_in_scope").isNotNull() & F.col("_still_there").isNull()
-    updated = _close(judged, ended, close_at(as_of, close), as_of).select(*hist.columns)
+    updated = _close(judged, ended, close_at(as_of, close), as_of).select(*active.columns)
 
     fresh = versions_not_in(staging, active)
     if clean:
         fresh = clean_string_nulls(fresh, clean)
     opened = stamp_scd(fresh, hour_floor(as_of), far_future)
-    kinds = {f.name: f.dataType for f in hist.schema.fields}
-    opened = opened.select(*[F.col(c).cast(kinds[c]).alias(c) for c in hist.columns])
-    return others.unionByName(updated).unionByName(opened)
+    kinds = {f.name: f.dataType for f in active.schema.fields}
+    return updated, opened.select(*[F.col(c).cast(kinds[c]).alias(c) for c in active.columns])
 
 
 def current(hist: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clean import first_times, iso_country, rounded_long
 from tidemark.functions.clock import day, stamp_scd, ts
 from tidemark.functions.hashing import with_hashes
-from tidemark.operators.aggregates import amount, money_sum, units
+from tidemark.operators.aggregates import UNIT, exact_sum, money_sum, units
 from tidemark.operators.joins import price_lookup
 
 # Which invoice lines take part.
@@ -116,15 +116,15 @@ def priced_lines(lines: DataFrame, prices: DataFrame, customers: DataFrame, coun
 
 
 def commission_measures(lines: DataFrame) -> DataFrame:
-    """22 conditional measures per :data:`KEYS`, exact to the cent."""
+    """22 conditional measures per :data:`KEYS`, exact to the cent: shares are rounded once, as sums."""
     share = "try_divide(double({}), nullif(double(customer_list), 0D)) * double(net)"
     exact = lines.select(
         *KEYS, "is_promo", "is_setup", "unit_price",
         units("line_quantity").alias("line_quantity"),
         units("net").alias("net"),
-        units("partner_list").alias("partner_list"),
-        units(share.format("partner_list")).alias("partner_share"),
-        units(share.format("platform_list")).alias("platform_share"),
+        F.expr("cast(partner_list as decimal(28,10))").alias("partner_list"),
+        F.expr(share.format("partner_list")).alias("partner_share"),
+        F.expr(share.format("platform_list")).alias("platform_share"),
     )
     regular, promo = "not is_promo", "is_promo"
     setup, recurring = "is_setup", "not is_setup"
@@ -133,18 +133,18 @@ def commission_measures(lines: DataFrame) -> DataFrame:
         "price_per_unit": F.expr(f"max(unit_price) filter (where {regular})"),
         "theoretica_oneshot_amount": money_sum("net", regular),
         "actual_oneshot_amount": money_sum("net"),
-        "theoretical_MFR_commission_oneshot": money_sum("partner_share", regular),
+        "theoretical_MFR_commission_oneshot": exact_sum("partner_share", regular),
         "promotions_amount_oneshot": money_sum("net", promo, zero=True),
         "net_group_oneshot": money_sum("net", regular),
         "net_MFR_oneshot": money_sum("net"),
         "monthly_invoiced_subscription": money_sum("net", recurring, zero=True),
-        "theoretical_MFR_commission_monthly": money_sum("partner_list", regular),
+        "theoretical_MFR_commission_monthly": exact_sum("partner_list", regular),
         "amount_promotions_recurring": money_sum("net", f"{recurring} and {promo}", zero=True),
         "net_group_monthly": money_sum("net", f"{recurring} and {regular}", zero=True),
         # Null when the group has no regular line, like its first part.
-        "net_MFR_monthly": amount(
-            f"sum(partner_list) filter (where {regular})"
-            f" + coalesce(sum(net) filter (where {recurring} and {promo}), 0L)"
+        "net_MFR_monthly": F.expr(
+            f"round(sum(partner_list) filter (where {regular})"
+            f" + cast(coalesce(sum(net) filter (where {recurring} and {promo}), 0L) as decimal(19,0)) / {UNIT}, 2)"
         ),
         "total_theoretical_reccuring_monthly_MFR": money_sum("net", f"{recurring} and {regular}", zero=True),
         "total_theoretical_one_shot_monthly_MFR": money_sum("net", f"{setup} and {regular}", zero=True),
@@ -153,7 +153,7 @@ def commission_measures(lines: DataFrame) -> DataFrame:
         "total_commission_reccuring_MFR": money_sum("net", recurring, zero=True),
         "total_commission_one_shot_MFR": money_sum("net", setup, zero=True),
         "total_monthly_promo": money_sum("net", promo, zero=True),
-        "total_monthly_DISH": money_sum("platform_share", regular),
+        "total_monthly_DISH": exact_sum("platform_share", regular),
         "total_invoiced": money_sum("net"),
     }
     return exact.groupBy(*KEYS).agg(*[measures[m].alias(m) for m in MEASURES])

@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clock import VALID_FLAG, VALID_FROM
+from tidemark.functions.clock import VALID_FLAG, VALID_UNTIL
 from tidemark.functions.contracts import conform
 from tidemark.functions.hashing import KEYHASH
 from tidemark.operators.joins import null_safe_join
-from tidemark.operators.ordering import global_rank
+from tidemark.operators.ordering import global_rank, range_parts
 from tidemark.operators.reshape import union_all
+from tidemark.session import checkpointed, scratch
 
 BATCH_DATE = "batch_date"
+STATE, CLOSED_DAY, RUN = LAYOUT = ("version_state", "closed_day", "closing_run")
+OPEN_DAY = "9999-12-31"
 
 
 _ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
@@ -138,13 +141,15 @@ def append_batch(df: DataFrame, target: str, batch_date: date) -> None:
 
 
 def fan_out(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
-    """The same rows to several sinks from one read, in the given order."""
-    kept = df.persist()
-    try:
+    """The same rows to several sinks, in the given order.
+
+    They are computed once and written to the shared folder, so that the sinks agree even if
+    executors are lost or the source moves on.
+    """
+    with scratch(df.sparkSession):
+        kept = checkpointed(df)
         for sink in sinks:
             sink(kept)
-    finally:
-        kept.unpersist()
 
 
 def land_raw(df: DataFrame, folder: str, entity: str, load_date: date) -> None:
@@ -173,21 +178,64 @@ def write_rejects(df: DataFrame, path: str) -> None:
     df.select(*flat).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _laid_out(df: DataFrame, run: str, iso_col: str) -> DataFrame:
+    """``df`` with its layout columns, range-partitioned and sorted for the Parquet statistics."""
+    active = F.coalesce(F.col(VALID_FLAG), F.lit(False))
+    laid = df.withColumns(
+        {
+            STATE: F.when(active, "active").otherwise("closed"),
+            CLOSED_DAY: F.when(active, F.lit(OPEN_DAY).cast("date")).otherwise(F.to_date(VALID_UNTIL)),
+            RUN: F.when(active, "open").otherwise(run),
+        }
+    )
+    order = [c for c in (iso_col, KEYHASH) if c in df.columns]
+    # Key hashes are spread evenly, so a day that holds most rows is split over many tasks.
+    spread = laid.repartitionByRange(range_parts(df), *LAYOUT, *order)
+    return spread.sortWithinPartitions(*LAYOUT, *order)
+
+
 def write_scd(df: DataFrame, target: str, iso_col: str = "iso_code") -> None:
-    """A versioned table laid out for its reads.
+    """A complete versioned table, replacing what is there.
 
-    Folders split active from closed rows and closed rows by day, so a merge rewrites and
-    reads only what it must; inside, rows are sorted for the Parquet min/max statistics.
+    Folders split active from closed rows, and closed rows by the day they ended and the run
+    that closed them. :func:`read_scd` uses these columns and drops them;
+    :func:`update_scd` writes the next state without touching the closed rows.
     """
-    laid_out = df.withColumns(
-        {"version_state": F.when(F.col(VALID_FLAG), "active").otherwise("closed"), "valid_day": F.to_date(VALID_FROM)}
-    )
-    order = [c for c in (iso_col, VALID_FLAG, KEYHASH) if c in df.columns]
-    parts = ["version_state", "valid_day"]
-    # Key hashes are spread evenly, so a day that holds most rows is split over many tasks.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = laid_out.repartitionByRange(tasks, *parts, *order)
-    _save(spread.sortWithinPartitions(*parts, *order).write.mode("overwrite").partitionBy(*parts), target)
+    _save(_laid_out(df, "first", iso_col).write.mode("overwrite").partitionBy(*LAYOUT), target)
+
+
+def read_scd(
+    spark: SparkSession, target: str, state: str | None = None, closed_since: date | None = None
+) -> DataFrame:
+    """A table of :func:`write_scd` without its layout columns.
+
+    ``state`` (``"active"`` or ``"closed"``) and ``closed_since`` (active rows, and rows closed
+    on that day or later) name folders, so other files are not opened.
+    """
+    stored = read_table(spark, target)
+    if state is not None:
+        stored = stored.where(F.col(STATE) == state)
+    if closed_since is not None:
+        stored = stored.where(F.col(CLOSED_DAY) >= F.lit(closed_since))
+    return stored.drop(*LAYOUT)
+
+
+def update_scd(closed: DataFrame, active: DataFrame, target: str, run: str, iso_col: str = "iso_code") -> None:
+    """The next state of a stored versioned table (a path): append ``closed``, replace the active rows.
+
+    ``run`` names the run, e.g. its hour. Rows closed by earlier runs stay in their files. Both
+    frames may be derived from ``target``: they are computed and written to the shared folder
+    before anything changes. A run that broke off can be repeated from the same inputs, as
+    its closed rows have folders of their own.
+    """
+    if not _is_path(target):
+        raise ValueError("update_scd needs a path")
+    with scratch(active.sparkSession):
+        closed, active = checkpointed(closed), checkpointed(active)
+        writer = _laid_out(closed, run, iso_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*LAYOUT).parquet(target)
+        folder = f"{target.rstrip('/')}/{STATE}=active/{CLOSED_DAY}={OPEN_DAY}/{RUN}=open"
+        _laid_out(active, run, iso_col).drop(*LAYOUT).write.mode("overwrite").parquet(folder)
 
 
 def event_batches(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import configure
+from tidemark.session import configure, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder of the session's shared folder, for queries that write and read back."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of :class:`Tables`; ``sql`` is the same result in ANSI SQL."""
 

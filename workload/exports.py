@@ -218,15 +218,15 @@ _D = "cast({} as decimal(18,4))"
 _MEASURES = {
     "theoretica_oneshot_amount": "sum(net) filter (where not promo)",
     "actual_oneshot_amount": "sum(net)",
-    "theoretical_MFR_commission_oneshot": "sum(cast(partner_list / nullif(customer_list, 0) * cast(net as double) as decimal(18,4))) filter (where not promo)",
+    "theoretical_MFR_commission_oneshot": "sum(cast(partner_list / nullif(customer_list, 0) * cast(net as double) as decimal(28,10))) filter (where not promo)",
     "promotions_amount_oneshot": "sum(case when promo then net else 0 end)",
     "net_group_oneshot": "sum(net) filter (where not promo)",
     "net_MFR_oneshot": "sum(net)",
     "monthly_invoiced_subscription": "sum(case when not setup then net else 0 end)",
-    "theoretical_MFR_commission_monthly": "sum(cast(partner_list as decimal(18,4))) filter (where not promo)",
+    "theoretical_MFR_commission_monthly": "sum(cast(partner_list as decimal(28,10))) filter (where not promo)",
     "amount_promotions_recurring": "sum(case when not setup and promo then net else 0 end)",
     "net_group_monthly": "sum(case when not setup and not promo then net else 0 end)",
-    "net_MFR_monthly": "sum(cast(partner_list as decimal(18,4))) filter (where not promo) + sum(case when not setup and promo then net else 0 end)",
+    "net_MFR_monthly": "sum(cast(partner_list as decimal(28,10))) filter (where not promo) + sum(case when not setup and promo then net else 0 end)",
     "total_theoretical_reccuring_monthly_MFR": "sum(case when not setup and not promo then net else 0 end)",
     "total_theoretical_one_shot_monthly_MFR": "sum(case when setup and not promo then net else 0 end)",
     "total_promotion_one_shot": "sum(case when setup and promo then net else 0 end)",
@@ -234,7 +234,7 @@ _MEASURES = {
     "total_commission_reccuring_MFR": "sum(case when not setup then net else 0 end)",
     "total_commission_one_shot_MFR": "sum(case when setup then net else 0 end)",
     "total_monthly_promo": "sum(case when promo then net else 0 end)",
-    "total_monthly_DISH": "sum(cast(platform_list / nullif(customer_list, 0) * cast(net as double) as decimal(18,4))) filter (where not promo)",
+    "total_monthly_DISH": "sum(cast(platform_list / nullif(customer_list, 0) * cast(net as double) as decimal(28,10))) filter (where not promo)",
     "total_invoiced": "sum(net)",
 }
 _KEYS = ", ".join(commission.KEYS)

@@ -28,11 +28,9 @@ def invoice_inputs(t: Tables) -> dict[str, DataFrame]:
     )
     fields = ["product_code", "description", "quantity", "unit_price", "account_id", "tax_names"]
     nested = nest_lines(lines, ["l_orderkey"], ["l_linenumber"], fields, "line_items")
-    # One invoice per page of lines: an order with more than 500 lines is billed in parts.
     billed = nested.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    page = F.when(F.col("page_no") > 0, F.concat(F.lit("/"), F.col("page_no").cast("string"))).otherwise("")
     invoices = billed.select(
-        F.concat(F.lit("INV"), F.col("o_orderkey").cast("string"), page).alias("move_name"),
+        F.concat(F.lit("INV"), F.col("o_orderkey").cast("string")).alias("move_name"),
         F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("partner_uuid"),
         F.col("o_orderdate").cast("date").alias("invoice_date"),
         F.date_add(F.col("o_orderdate").cast("date"), 30).alias("invoice_date_due"),
@@ -66,9 +64,10 @@ INVOICE_SQL = """inv as (select o.*, case when c_mktsegment = 'BUILDING' then c_
 @query(
     "invoice_nesting",
     f"""with {INVOICE_SQL}, l as (select l_orderkey, count(*) as n, count(case when p_type <> 'PROMO' then 1 end) as known,
-      sum(case when p_type <> 'PROMO' then p_partkey + 500 else 0 end) as id_sum, round(sum(l_quantity), 4) as quantity, sum(ascii(l_returnflag)) as tax_sum from lineitem join part on p_partkey = l_partkey group by 1)
+      sum(case when p_type <> 'PROMO' then p_partkey + 500 else 0 end) as id_sum, round(sum(l_quantity), 4) as quantity, sum(ascii(l_returnflag)) as tax_sum,
+      string_agg(case when p_type <> 'PROMO' then p_partkey + 500 end, ',' order by l_linenumber, 'P' || l_partkey, l_quantity, l_extendedprice) as line_order from lineitem join part on p_partkey = l_partkey group by 1)
     select 'INV' || o_orderkey as name, partner_id, cast(o_orderdate as date) as invoice_date, cast(o_orderdate as date) + 30 as invoice_date_due,
-      o_orderpriority as ref, cast(n as integer) as n_lines, cast(id_sum as bigint) as id_sum, quantity, cast(tax_sum as bigint) as tax_sum, cast(2 * n as bigint) as unresolved_taxes
+      o_orderpriority as ref, cast(n as integer) as n_lines, cast(id_sum as bigint) as id_sum, quantity, cast(tax_sum as bigint) as tax_sum, cast(2 * n as bigint) as unresolved_taxes, coalesce(line_order, '') as line_order
     from inv join l on l_orderkey = o_orderkey where partner_id is not null""",
 )
 def invoice_nesting(t: Tables) -> DataFrame:
@@ -82,6 +81,7 @@ def invoice_nesting(t: Tables) -> DataFrame:
         F.round(F.aggregate(lines, F.lit(0.0), lambda a, x: a + x["quantity"]), 4).alias("quantity"),
         F.aggregate(F.flatten(F.transform(lines, lambda x: x["tax_ids"])), zero, lambda a, x: a + x).alias("tax_sum"),
         "unresolved_taxes",
+        F.array_join(F.transform(lines, lambda x: x["product_id"].cast("string")), ",").alias("line_order"),
     )
 
 

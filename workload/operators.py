@@ -209,13 +209,13 @@ def partner_keys(t: Tables) -> DataFrame:
 
 @query(
     "full_outer_coalesce",
-    """with a as (select c_nationkey as nation, c_mktsegment as segment, max(c_acctbal) as best, count(*) as customers from customer where c_acctbal > 9000 group by 1, 2),
+    """with a as (select c_nationkey as nation, c_mktsegment as segment, max(c_acctbal) as best, count(*) as customers from customer group by 1, 2),
     b as (select s_nationkey as nation, case when s_acctbal > 0 then 'BUILDING' else 'DEBT' end as segment, max(s_acctbal) as best, count(*) as suppliers from supplier group by 1, 2)
     select coalesce(a.nation, b.nation) as nation, coalesce(a.segment, b.segment) as segment, coalesce(a.best, b.best) as best, customers, suppliers
     from a full join b on a.nation = b.nation and a.segment = b.segment""",
 )
 def full_outer_coalesce(t: Tables) -> DataFrame:
-    a = t.customer.where(F.col("c_acctbal") > 9000).groupBy(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")).agg(
+    a = t.customer.groupBy(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")).agg(
         F.max("c_acctbal").alias("best"), F.count(F.lit(1)).alias("customers")
     )
     kind = F.when(F.col("s_acctbal") > 0, "BUILDING").otherwise("DEBT")
@@ -313,12 +313,11 @@ def skip_loaded(t: Tables) -> DataFrame:
 
 @query(
     "restrict_lookup",
-    """with ids as (select cast(l_partkey as varchar) as i from lineitem where l_quantity = 50 union select cast(l_suppkey as varchar) from lineitem where l_quantity = 50)
+    """with ids as (select cast(l_partkey as varchar) as i from lineitem union select cast(l_suppkey as varchar) from lineitem)
     select p_partkey, p_name from part where cast(p_partkey as varchar) in (select i from ids)""",
 )
 def restrict_lookup(t: Tables) -> DataFrame:
-    batch = t.lineitem.where(F.col("l_quantity") == 50)
-    return joins.restrict_dim(t.part.select("p_partkey", "p_name"), "p_partkey", batch, ["l_partkey", "l_suppkey"])
+    return joins.restrict_dim(t.part.select("p_partkey", "p_name"), "p_partkey", t.lineitem, ["l_partkey", "l_suppkey"])
 
 
 # --- one row per key, ranks, chunks --------------------------------------------------------------
@@ -427,10 +426,9 @@ def min_max_by_key(t: Tables) -> DataFrame:
 )
 def week_lags(t: Tables) -> DataFrame:
     # 2001-01-03 lies in ISO week 1, whose predecessor is week 52 of the year before.
-    sales = t.lineitem.where(F.col("l_shipdate") >= F.lit("2000-11-03").cast("timestamp_ntz")).select(
-        "l_partkey", "l_shipdate", F.col("l_quantity").cast("bigint").alias("n")
-    )
-    return aggregates.week_lags(sales, ["l_partkey"], "l_shipdate", "n", date(2001, 1, 3), {1: "one_ago", 2: "two_ago"})
+    sales = t.lineitem.select("l_partkey", "l_shipdate", F.col("l_quantity").cast("bigint").alias("n"))
+    lags = {1: "one_ago", 2: "two_ago"}
+    return aggregates.week_lags(sales, ["l_partkey"], "l_shipdate", "n", date(2001, 1, 3), lags, window_days=61)
 
 
 @query(

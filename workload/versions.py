@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import VALID_FLAG, VALID_FROM, VALID_UNTIL, ts
 from tidemark.functions.hashing import with_hashes
 from tidemark.operators import quality, scd
-from workload.base import Tables, query
+from tidemark.sources import tables
+from workload.base import ORACLES, Tables, fresh_folder, query
 
 AS_OF = datetime(2001, 8, 1, 10, 30)
 
@@ -122,6 +123,33 @@ def delta_cycle_hist(t: Tables) -> DataFrame:
     return hist
 
 
+@query(
+    "small_change_sent",
+    "select o_orderkey from orders where o_orderpriority = '1-URGENT'",
+)
+def small_change_sent(t: Tables) -> DataFrame:
+    """Scores that moved by three hundred-thousandths are new versions, all others are known."""
+    scored = t.orders.select("o_orderkey", "o_orderpriority", (F.col("o_totalprice") / 500000).alias("q"))
+    moved = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("q") + 0.00003).otherwise(F.col("q"))
+    today = with_hashes(scored.withColumn("q", moved), ["o_orderkey"], ["o_orderkey", "q"])
+    return scd.hash_delta(today, with_hashes(scored, ["o_orderkey"], ["o_orderkey", "q"])).select("o_orderkey")
+
+
+@query(
+    "stored_delta_cycles",
+    f"with {CUSTOMER_CTES}, delta as ({LITERAL_DELTA}), appended as (select * from hist union all by name select * from delta)"
+    f" select * exclude (gone) from ({EXPIRED.format(source='appended')})",
+)
+def stored_delta_cycles(t: Tables) -> DataFrame:
+    """Two delta cycles through a stored table; the second finds nothing to do."""
+    path = fresh_folder(t.spark)
+    tables.write_scd(customer_hist(t), path)
+    for run in ("first", "again"):
+        _, closed, active = scd.delta_changes(customer_today(t), tables.read_scd(t.spark, path), AS_OF)
+        tables.update_scd(closed, active, path, run)
+    return tables.read_scd(t.spark, path)
+
+
 # Orders as matches: the priority plays the market, the status the request, and dear orders
 # are manual entries that a run must not touch.
 
@@ -182,6 +210,21 @@ def scd2_merge_orders(t: Tables) -> DataFrame:
     return scd.scd2_merge(order_hist(t), order_staging(t), AS_OF, source="engine")
 
 
+@query("stored_merge_cycles", ORACLES["scd2_merge_orders"])
+def stored_merge_cycles(t: Tables) -> DataFrame:
+    """Two merges through a stored table, which read and write active rows only.
+
+    The second brings the engine's own rows once more and changes nothing.
+    """
+    path = fresh_folder(t.spark)
+    tables.write_scd(order_hist(t), path)
+    staging = order_staging(t)
+    for run, staged in (("first", staging), ("again", staging.where("_sourcesystem = 'engine'"))):
+        active = tables.read_scd(t.spark, path, "active")
+        tables.update_scd(*scd.scd2_changes(active, staged, AS_OF, source="engine"), path, run)
+    return tables.read_scd(t.spark, path)
+
+
 # Orders per customer as versions: closed ones ran for 90 days, open ones are active.
 
 
