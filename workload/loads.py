@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import drop_blank, exclude_status
 from tidemark.operators.aggregates import outcome_summary
-from tidemark.operators.reshape import nest_lines
+from tidemark.operators.reshape import nest_lines, union_all
 from tidemark.plans import loads, terminals
 from workload.base import Tables, query
 
@@ -307,6 +307,36 @@ def settings_counts(t: Tables) -> DataFrame:
     return terminals.filter_settings(settings_rows(t))[1]
 
 
+@query(
+    "terminal_inventory",
+    """with allowed as (select cast(event_id as varchar) as id, event_type as e from events),
+    wanted as (select cast(c_custkey as varchar) as id from customer where c_mktsegment <> 'BUILDING'),
+    mine as (select id, e from allowed where id in (select id from wanted))
+    select 'merchants' as part, count(*) as n, cast(sum(s_suppkey) as bigint) as ids from supplier
+    union all select 'stores', count(*), cast(sum(s_suppkey) as bigint) from supplier
+    union all select 'terminals', count(*), cast(sum(c_custkey) as bigint) from customer
+    union all select 'terminal_settings', count(*), cast(sum(cast(id as bigint)) as bigint) from mine where e not in ('click', 'error')
+    union all select 'settings_counts', (select count(*) from mine where e not in ('click', 'error')), count(*) from mine""",
+)
+def terminal_inventory(t: Tables) -> DataFrame:
+    """The whole run: its five tables, each by its rows and the sum of its ids.
+
+    Settings are those of the terminals that are in use; their counts give successes and total.
+    """
+    merchant = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"))
+    read = lambda df, kind: df.select(F.from_json(F.to_json(F.struct("*")), kind).alias("r")).select("r.*")
+    run = terminals.terminal_inventory(
+        read(merchant, terminals.MERCHANT), read(merchant.select("id"), terminals.STORE), terminal_json(t), settings_rows(t)
+    )
+    keys = {"merchants": "merchant_id", "stores": "store_id", "terminals": "terminal_id", "terminal_settings": "terminal_id"}
+    sums = [
+        run[name].agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.sum(F.col(key).cast("bigint")).alias("ids"))
+        for name, key in keys.items()
+    ]
+    counts = run["settings_counts"].select(F.lit("settings_counts").alias("part"), F.col("success").alias("n"), F.col("total").alias("ids"))
+    return union_all([*sums, counts])
+
+
 def action_rows(t: Tables) -> DataFrame:
     e = F.col("event_type")
     return t.events.select(
