@@ -24,7 +24,8 @@ WIDTH = 7
 BANDS, ROWS = 10, 4
 COORDINATES = BANDS * ROWS
 PERCENT = 80
-SEEN_ROWS = 500_000
+LEAST_AGREEMENT = 0.55  # of 40 coordinates: four deviations below 0.8
+SEEN_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BLANK = np.zeros(256, bool)
@@ -144,27 +145,32 @@ def _sized(lists: DataFrame, column: str, item_bytes: int) -> DataFrame:
 
 
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, text) of the lines in ``wanted`` (id, doc_id, line), text as compared."""
+    """(id, text, size of its set) of the lines in ``wanted`` (id, doc_id, line), text as compared."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_pylist()
             lines = batch.column("line").to_pylist()
-            for first, _, data, start, stop, before, _, whole in _columns(batch.column("text")):
-                found, texts = [], []
+            for first, _, data, start, stop, before, hashed, whole in _columns(batch.column("text")):
+                found, at = [], []
                 for row in range(len(before) - 1):
                     for k, line in zip(ids[first + row], lines[first + row], strict=True):
-                        at = before[row] + line
-                        if at < before[row + 1] and whole[at] == k:
+                        place = before[row] + line
+                        if place < before[row + 1] and whole[place] == k:
                             found.append(k)
-                            texts.append(data[start[at] : stop[at]].tobytes().lower().decode())
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+                            at.append(place)
+                values, rows = character_shingles(hashed, data, start[at], stop[at])
+                _, bounds = sorted_sets(values, rows)
+                texts = [data[a:b].tobytes().lower().decode() for a, b in zip(start[at].tolist(), stop[at].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), pa.array(texts, pa.string()), pa.array(np.diff(bounds))], ["id", "text", "size"]
+                )
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("_at"))  # lines of one document
     places = _sized(places, "_at", 32)
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(places, "doc_id")
     cuts = joined.select(F.col("_at.id").alias("id"), F.col("_at.line").alias("line"), "text").mapInArrow(
-        cut, "id long, text string"
+        cut, "id long, text string, size long"
     )
     return checkpointed(cuts.dropDuplicates(["id"]))
 
@@ -195,8 +201,8 @@ def line_kinds(docs: DataFrame) -> DataFrame:
     texts = _line_texts(docs, wanted)
     links = linking.verified(linking.pivot_pairs(shared), texts, shingle_sets, PERCENT)
     parts = linking.components(links)
-    members = linking.open_members(shared, parts, texts.withColumn("size", F.lit(1)))
-    more = linking.cross_links(members, _signature, shingle_sets, BANDS, ROWS, 0.45, PERCENT)
+    members = linking.open_members(shared, parts, texts)
+    more = linking.cross_links(members, _signature, shingle_sets, BANDS, ROWS, LEAST_AGREEMENT, PERCENT)
     groups = linking.components(links.union(more))
     named = firsts.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("component", "id").alias("kind"), "at"

@@ -97,6 +97,7 @@ class _Block:
         names = ("key", "_low", "_high", "band", "id", "part", "size", "_own")
         self.cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names}
         self.sig = signature(batch)
+        self.known: dict[int, np.ndarray] = {}  # sets by id, as an item is in several groups
 
     def groups(self) -> list[int]:
         """Where groups of equal key and block pair start, and the end."""
@@ -122,20 +123,24 @@ class _Block:
             i += at
             for cut in range(0, len(i), 1 << 14):
                 near += self._candidates(low, i[cut : cut + (1 << 14)], j[cut : cut + (1 << 14)])
-        joined, known, links = _Parts(), {}, []
+        joined, links = _Parts(), []
         for _, x, y in sorted(near):
             a, b = joined.find(int(part[x])), joined.find(int(part[y]))
             if a == b:  # the same id twice, or already linked through others
                 continue
-            for k in (x, y):
-                if k not in known:
-                    known[k] = self.sets(self.batch.column("text").slice(low + k, 1))[0]
-            both, union = jaccard_counts(known[x], known[y])
+            both, union = jaccard_counts(self._set(int(ids[x]), low + x), self._set(int(ids[y]), low + y))
             if union and 100 * both >= self.percent * union:
                 links.append((int(ids[x]), int(ids[y])))
                 joined.above[max(a, b)] = min(a, b)
         return links
 
+    def _set(self, item: int, row: int) -> np.ndarray:
+        if item not in self.known:
+            if len(self.known) >= BLOCK:
+                self.known.clear()
+            self.known[item] = self.sets(self.batch.column("text").slice(row, 1))[0]
+        return self.known[item]
+
     def _candidates(self, low: int, x: np.ndarray, y: np.ndarray) -> list[tuple[float, int, int]]:
         equal = self.sig[low + x] == self.sig[low + y]
         agree = equal.mean(axis=1)

@@ -20,8 +20,8 @@ from tidemark.llm.arrays import mix64, text_bytes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_PIECES = 400_000
-CHUNK = 1 << 20
+CACHE_PIECES = 300_000
+CHUNK = 1 << 19
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 _BASE = 0xD1342543DE82EF95
 _LOADED: dict[str, "Encoder"] = {}
