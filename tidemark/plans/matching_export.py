@@ -16,6 +16,7 @@ from tidemark.operators.aggregates import min_max_by
 from tidemark.operators.joins import full_outer_coalesce, null_safe_join, propagate_active
 from tidemark.operators.reshape import Flag, unpivot_flags
 from tidemark.operators.select import best_per_key
+from tidemark.session import checkpointed
 
 # Accept threshold (lower is a stronger match), open end, the two match
 # requests, and the offset of codes of customers without an active establishment.
@@ -130,7 +131,8 @@ def service_rows(customers: DataFrame, footprint: DataFrame, catalogue: Sequence
     b = footprint.withColumn("booking_key", F.lower("booq_id")).drop("booq_id")
     joined = null_safe_join(a, b, ["UID__c", "booking_key"])
     flags = [Flag(p.flag, p.label, p.code, p.created, p.ended) for p in catalogue]
-    rows = unpivot_flags(joined, flags, [*CUSTOMER, *ACTIVITY], "w360_service_desc", "_code")
+    # Read four times from here on: computed once, in the shared folder.
+    rows = checkpointed(unpivot_flags(joined, flags, [*CUSTOMER, *ACTIVITY], "w360_service_desc", "_code"))
     marked = propagate_active(
         rows, ["country", "unique_metro_id"], ["country", "UID__c"], F.col("establishment_active") == 1, "_active"
     )

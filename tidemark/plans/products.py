@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import since, ts
-from tidemark.operators.aggregates import amount, units, week_lags
+from tidemark.functions.clock import ts
+from tidemark.operators.aggregates import amount, units
 from tidemark.operators.joins import unseen
 
 SALE_KEY = ["branch_office_id", "product_id", "family_group_id"]
@@ -94,28 +94,30 @@ def product_overview(
 ) -> DataFrame:
     """Sales per outlet and product with recent weeks and the predicted category.
 
-    Sales are summed per (outlet, product, group) before any dimension is joined, so the
-    large table is shuffled once, in combined form.
+    Sales are read once and summed per (outlet, product, group), totals and weeks together,
+    before any dimension is joined, so the large table is shuffled once, in combined form.
     """
-    sold = sales.where(F.col("count") > 0).groupBy(*SALE_KEY).agg(
-        F.min("timestamp").cast("date").alias("first_sale"),
-        F.max("timestamp").cast("date").alias("last_sale"),
-        F.sum("count").alias("total_count"),
-        F.sum(units("total_money")).alias("_money"),
-    )
-    lags = week_lags(since(sales, "timestamp", as_of, months=2), SALE_KEY, "timestamp", "count", as_of, LAGS)
-    week = (
-        since(sales, "timestamp", as_of, days=7, include_today=False)
-        .groupBy(*SALE_KEY)
-        .agg(F.sum("count").alias("sale_current_week"))
-    )
+    monday = as_of - timedelta(days=as_of.weekday())
+    sold, at = F.col("count") > 0, F.col("timestamp")
+    recent = (at >= ts(as_of - timedelta(days=7))) & (at < ts(as_of))
+    # Sums of whole weeks: week lags of the same read, by the Monday they start on.
+    weeks = {
+        name: F.sum(F.when((at >= ts(monday - timedelta(weeks=n))) & (at < ts(monday - timedelta(weeks=n - 1))), F.col("count")))
+        for n, name in LAGS.items()
+    }
+    summed = sales.withColumn("_units", units("total_money")).groupBy(*SALE_KEY).agg(
+        F.min(F.when(sold, at)).cast("date").alias("first_sale"),
+        F.max(F.when(sold, at)).cast("date").alias("last_sale"),
+        F.sum(F.when(sold, F.col("count"))).alias("total_count"),
+        F.sum(F.when(sold, F.col("_units"))).alias("_money"),
+        F.sum(F.when(recent, F.col("count"))).alias("sale_current_week"),
+        *[total.alias(name) for name, total in weeks.items()],
+    ).where("total_count is not null")
     offices = real_outlets(outlets).select("branch_office_id", F.col("name").alias("outlet_name"))
     families = groups.select("branch_office_id", "family_group_id", F.col("name").alias("family_group"))
     named = products.select("branch_office_id", "product_id", F.col("name").alias("product"))
     wide = (
-        sold.join(lags, SALE_KEY, "left")
-        .join(week, SALE_KEY, "left")
-        .join(offices, "branch_office_id")
+        summed.join(offices, "branch_office_id")
         .join(families, ["branch_office_id", "family_group_id"])
         .join(named, ["branch_office_id", "product_id"])
         .withColumn("_name", F.concat("family_group", F.lit(" "), "product"))
