@@ -7,7 +7,9 @@ prefix sums modulo 2**64 and then mixed; no per-row Python touches the character
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,17 @@ EXACT, FOLDED = _BYTE_CODES, _BYTE_CODES[_LOWER]
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of bounded size: rows may be very long."""
+def python_ready(spark: SparkSession) -> None:
+    """Arrow batches of bounded size, as rows may be very long, and this package on the workers' path.
+
+    Where the package is installed or shipped in another way, the path changes nothing.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

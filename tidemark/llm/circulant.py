@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import linking
-from tidemark.llm.arrays import mix32, mix64, reduce_rows, small_batches, text_chunks, word_shingles
+from tidemark.llm.arrays import mix32, mix64, reduce_rows, python_ready, text_chunks, word_shingles
 from tidemark.session import checkpointed
 
 BANDS, ROWS = 26, 5
@@ -47,7 +47,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     The two fingerprints are sums of differently mixed shingles, so equal sets agree in both.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

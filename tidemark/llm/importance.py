@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, small_batches, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, python_ready, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.select import at_least_kth
 from tidemark.session import checkpointed
@@ -61,7 +61,7 @@ def log_ratios(docs: DataFrame, target: np.ndarray, buckets: int = BUCKETS, smoo
     Both are smoothed with ``smoothing`` pseudo-counts a bucket, at the target model's size, so
     rare buckets lean to ratio one.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     wanted = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def log_ratios(docs: DataFrame, target: np.ndarray, buckets: int = BUCKETS, smoo
 
 def weighed(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """``docs`` with ``_ngrams`` and ``_log_weight`` (0 without words)."""
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(ratios)
     schema = T.StructType(docs.schema.fields + [T.StructField("_ngrams", T.LongType()), T.StructField("_log_weight", T.DoubleType())])
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import linking
-from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, small_batches, sorted_sets, text_bytes, text_chunks
+from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, python_ready, sorted_sets, text_bytes, text_chunks
 from tidemark.llm.columns import folded, unfolded
 from tidemark.session import checkpointed
 
@@ -95,7 +95,7 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 
     A task leaves out lines it has lately seen; each line's first place is found afterwards.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple] = {}

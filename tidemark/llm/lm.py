@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, reduce_rows, small_batches, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, reduce_rows, python_ready, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.importance import TARGET_ROWS, labelled_good
 from tidemark.session import checkpointed
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, target: np.ndarray, vocabulary: int, bigrams: int) -> M
     The vocabulary is the most frequent words, the bigrams are all at or above the least count
     (2 or more, in steps of an eighth of an octave) that leaves at most ``bigrams`` of them.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     counts = checkpointed(_tally(docs, target, lambda hashes, words: hashes.view(np.int64)))
     top = counts.orderBy(F.desc("background"), "key").limit(vocabulary).toPandas().sort_values("key")
     words = top["key"].to_numpy(np.int64)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.arrays import small_batches
+from tidemark.llm.arrays import python_ready
 from tidemark.llm.tokens import encoder
 from tidemark.session import checkpointed
 
@@ -36,7 +36,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
     Pieces are full but for the first, which takes the remainder. ``tokenizer`` is a path that
     every task can read.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -27,12 +27,12 @@ from pairs qualify rank <= 5
 ORACLES["op9_circulant_minhash"] = r"""
 with recursive w as (select doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
-s as (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+s as materialized (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
     else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as shingles from w),
 sized as (select doc_id, cast(len(shingles) as bigint) as n from s),
-one as (select doc_id, unnest(shingles) as shingle from s),
-met as (select a.doc_id as x, b.doc_id as y, count(*) as both from one a join one b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
-links as (select x, y from met join sized a on a.doc_id = x join sized b on b.doc_id = y where 100 * both >= 85 * (a.n + b.n - both)),
+one as (select doc_id, md5_number_lower(unnest(shingles)) as shingle from s),
+met as (select a.doc_id as x, b.doc_id as y, count(*) as shared from one a join one b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+links as materialized (select x, y from met join sized a on a.doc_id = x join sized b on b.doc_id = y where 100 * shared >= 85 * (a.n + b.n - shared)),
 reach(origin, doc_id) as (select doc_id, doc_id from s union select origin, y from reach join links on x = doc_id),
 parts as (select origin as doc_id, min(doc_id) as component_id from reach group by 1)
 select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from sized join parts using (doc_id)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import small_batches, text_chunks
+from tidemark.llm.arrays import python_ready, text_chunks
 from tidemark.llm.columns import folded, unfolded
 
 SCOPE = 400
@@ -142,7 +142,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     Null and empty texts have no spans. Repeated rows are scanned each for itself. An empty
     table gives an empty table.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     new = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     given, docs = docs, folded(docs, ["text"], new)
     kinds = [T.LongType()] * 3 + [T.StringType()] * 2

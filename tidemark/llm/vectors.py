@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.arrays import small_batches
+from tidemark.llm.arrays import python_ready
 from tidemark.session import checkpointed
 
 
@@ -22,7 +22,7 @@ def usable(table: DataFrame, zero: bool, most: float | None = None) -> DataFrame
     not finite or exceeds ``most`` in size, and, unless ``zero``, vectors of zeros. Where rows
     share a vec_id the smallest vector counts.
     """
-    small_batches(table.sparkSession)
+    python_ready(table.sparkSession)
     vector = F.col("embedding").cast("array<double>")
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= (most or 1.7e308)))
     some = F.lit(True) if zero else F.exists("vector", lambda x: x != 0)
