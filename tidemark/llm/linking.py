@@ -20,6 +20,7 @@ from tidemark.llm.arrays import jaccard_counts
 from tidemark.session import checkpointed
 
 BLOCK = 1024
+FEW = 8
 BROADCAST_BYTES = 64 << 20
 
 
@@ -106,31 +107,58 @@ class _Block:
             change |= self.cols[c][1:] != self.cols[c][:-1]
         return [0, *(np.flatnonzero(change) + 1).tolist(), self.batch.num_rows]
 
-    def links(self, low: int, high: int) -> list[tuple[int, int]]:
-        """Confirmed links that join components in rows ``low`` to ``high``, sorted by id."""
-        ids, part, size, own = (self.cols[c][low:high] for c in ("id", "part", "size", "_own"))
-        if high - low < 2 or (part == part[0]).all():
-            return []
-        cross, near = self.cols["_low"][low] != self.cols["_high"][low], []
-        step = max(1, (1 << 16) // len(ids))
-        for at in range(0, len(ids), step):
-            mine = slice(at, at + step)
-            fits = (part[mine, None] != part[None]) & (ids[mine, None] < ids[None])
-            if cross:
-                fits &= own[mine, None] != own[None]
-            fits &= 100 * np.minimum(size[mine, None], size[None]) >= self.percent * np.maximum(size[mine, None], size[None])
-            i, j = np.nonzero(fits)
-            i += at
-            for cut in range(0, len(i), 1 << 14):
-                near += self._candidates(low, i[cut : cut + (1 << 14)], j[cut : cut + (1 << 14)])
-        joined, links = _Parts(), []
-        for _, x, y in sorted(near):
-            a, b = joined.find(int(part[x])), joined.find(int(part[y]))
-            if a == b:  # the same id twice, or already linked through others
+    def links(self, cuts: list[int]) -> list[tuple[int, int]]:
+        """Confirmed links that join components, of all groups between ``cuts``; ids are sorted in a group."""
+        sizes = np.diff(cuts)
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        near: list[tuple[int, float, int, int]] = []
+        few = np.append(sizes <= FEW, False)
+        for gap in range(1, FEW):  # small groups, which are most, all at once
+            x = np.flatnonzero((group[:-gap] == group[gap:]) & few[group[:-gap]])
+            near += self._candidates(group, x, x + gap)
+        for k in np.flatnonzero(sizes > FEW).tolist():
+            low, high = cuts[k], cuts[k + 1]
+            part = self.cols["part"][low:high]
+            if (part == part[0]).all():
                 continue
-            both, union = jaccard_counts(self._set(int(ids[x]), low + x), self._set(int(ids[y]), low + y))
+            step = max(1, (1 << 16) // (high - low))
+            for at in range(low, high, step):
+                x, y = np.nonzero(np.arange(low, high)[None] > np.arange(at, min(at + step, high))[:, None])
+                near += self._candidates(group, x + at, y + low)
+        return self._confirmed(sorted(near))
+
+    def _candidates(self, group: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """(group, disagreement, row, row) of those pairs of rows that may be links."""
+        c = self.cols
+        small, large = np.minimum(c["size"][x], c["size"][y]), np.maximum(c["size"][x], c["size"][y])
+        fits = (c["part"][x] != c["part"][y]) & (100 * small >= self.percent * large)
+        fits &= (c["_low"][x] == c["_high"][x]) | (c["_own"][x] != c["_own"][y])
+        x, y = x[fits], y[fits]
+        out: list[tuple[int, float, int, int]] = []
+        for cut in range(0, len(x), 1 << 14):
+            i, j = x[cut : cut + (1 << 14)], y[cut : cut + (1 << 14)]
+            equal = self.sig[i] == self.sig[j]
+            agree = equal.mean(axis=1)
+            good = agree >= self.share
+            i, j, equal, agree = i[good], j[good], equal[good], agree[good]
+            whole = equal[:, : self.bands * self.rows].reshape(len(i), self.bands, self.rows).all(axis=2)
+            first = whole.argmax(axis=1) == c["band"][i]
+            i, j, agree = i[first], j[first], agree[first]
+            out += zip(group[i].tolist(), (-agree).tolist(), i.tolist(), j.tolist(), strict=True)
+        return out
+
+    def _confirmed(self, near: list[tuple[int, float, int, int]]) -> list[tuple[int, int]]:
+        links, joined, current = [], _Parts(), -1
+        for group, _, x, y in near:
+            if group != current:
+                joined, current = _Parts(), group
+            a, b = joined.find(int(self.cols["part"][x])), joined.find(int(self.cols["part"][y]))
+            if a == b:  # already linked through others
+                continue
+            one, two = int(self.cols["id"][x]), int(self.cols["id"][y])
+            both, union = jaccard_counts(self._set(one, x), self._set(two, y))
             if union and 100 * both >= self.percent * union:
-                links.append((int(ids[x]), int(ids[y])))
+                links.append((one, two))
                 joined.above[max(a, b)] = min(a, b)
         return links
 
@@ -141,15 +169,6 @@ class _Block:
             self.known[item] = self.sets(self.batch.column("text").slice(row, 1))[0]
         return self.known[item]
 
-    def _candidates(self, low: int, x: np.ndarray, y: np.ndarray) -> list[tuple[float, int, int]]:
-        equal = self.sig[low + x] == self.sig[low + y]
-        agree = equal.mean(axis=1)
-        good = agree >= self.share
-        x, y, equal, agree = x[good], y[good], equal[good], agree[good]
-        whole = equal[:, : self.bands * self.rows].reshape(len(x), self.bands, self.rows).all(axis=2)
-        first = whole.argmax(axis=1) == self.cols["band"][low]
-        return list(zip((-agree[first]).tolist(), x[first].tolist(), y[first].tolist(), strict=True))
-
 
 def cross_links(
     members: DataFrame,
@@ -191,7 +210,7 @@ def cross_links(
                 yield block, block.groups()
 
         for block, cuts in blocks():
-            links = [pair for low, high in zip(cuts[:-1], cuts[1:], strict=True) for pair in block.links(low, high)]
+            links = block.links(cuts)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
 
@@ -250,7 +269,6 @@ def components(edges: DataFrame) -> DataFrame:
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v")
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.select(_moved("u"), "m"), F.col("u").bitwiseXOR(F.lit(1)) == F.col("_moved"))
