@@ -28,7 +28,7 @@ from tidemark.llm.importance import TARGET_ROWS, labelled_good
 from tidemark.session import checkpointed
 
 VOCABULARY = 1 << 15
-BIGRAMS = 1 << 20
+BIGRAMS = 1 << 18
 SMOOTHING = 20.0
 GATHER = 1 << 20
 
@@ -139,9 +139,10 @@ def fit(docs: DataFrame, target: np.ndarray, vocabulary: int, bigrams: int) -> M
         if kept > bigrams:
             least = r["_step"] + 1
             break
-    chosen = pairs.where(F.col("_step") >= least).drop("_step").toPandas().sort_values("key")
-    both = np.stack([chosen["target"].to_numpy(float), chosen["background"].to_numpy(float)])
-    return Models(words, singles, chosen["key"].to_numpy(np.int64), both)
+    chosen = pairs.where(F.col("_step") >= least).select("key", "target", "background").toArrow()
+    keys, *counted = (chosen.column(c).to_numpy() for c in ("key", "target", "background"))
+    order = np.argsort(keys)
+    return Models(words, singles, keys[order], np.stack([c[order].astype(float) for c in counted]))
 
 
 def score(
