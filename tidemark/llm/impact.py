@@ -26,17 +26,20 @@ class Postings:
 
     def __init__(self, data: np.ndarray):
         self.impacts = data.astype(np.int64)
-        self.order = np.argsort(-self.impacts, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.impacts, self.order, axis=0)
+        columns = np.ascontiguousarray(self.impacts.T)
+        self.order = np.argsort(columns, axis=1, kind="stable")
+        self.rising = np.take_along_axis(columns, self.order, axis=1)
 
-    def segment(self, d: int, weight: int, least: float, begun: int) -> tuple[np.ndarray, int]:
-        """Rows not yet taken of dimension ``d`` whose contribution is at least ``least``."""
+    def segment(self, d: int, weight: int, least: float, begun: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and impacts not yet taken of dimension ``d`` that contribute at least ``least``."""
+        rising, n = self.rising[d], self.rising.shape[1]
         if weight > 0:
-            end = int(np.searchsorted(-self.sorted[:, d], -np.ceil(least / weight), "right"))
-            return self.order[begun:end, d], max(begun, end)
-        rising = self.sorted[::-1, d]
-        end = int(np.searchsorted(rising, np.floor(least / weight), "right"))
-        return self.order[::-1, d][begun:end], max(begun, end)
+            end = max(begun, n - int(np.searchsorted(rising, np.ceil(least / weight), "left")))
+            part = slice(n - end, n - begun)
+        else:
+            end = max(begun, int(np.searchsorted(rising, np.floor(least / weight), "right")))
+            part = slice(begun, end)
+        return self.order[d, part], rising[part], end
 
 
 def top(q_id: int, q: np.ndarray, ids: np.ndarray, data: np.ndarray, state: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,19 +53,19 @@ def top(q_id: int, q: np.ndarray, ids: np.ndarray, data: np.ndarray, state: dict
     if other.sum() <= 4 * k:
         return _best(np.flatnonzero(other), index, weights, ids, k)
     used = np.flatnonzero(weights)
-    most = np.maximum(weights * index.sorted[0], weights * index.sorted[-1])
+    most = np.maximum(weights * index.rising[:, 0], weights * index.rising[:, -1])
     peak = int(most.max(initial=0))
-    total, seen = np.zeros(n, np.int64), np.zeros((n, dims), bool)
+    total, seen = np.zeros(n, np.int64), np.zeros((dims, n))  # 1 where a posting was taken
     begun = np.zeros(dims, np.int64)
     cut = None
     for level in LEVELS if peak > 0 else ():
         least = level * peak
         for d in used[most[used] >= least].tolist():
-            rows, begun[d] = index.segment(d, int(weights[d]), least, int(begun[d]))
-            total[rows] += weights[d] * index.impacts[rows, d]  # a row occurs once in a dimension
-            seen[rows, d] = True
+            rows, impacts, begun[d] = index.segment(d, int(weights[d]), least, int(begun[d]))
+            total[rows] += weights[d] * impacts  # a row occurs once in a dimension
+            seen[d, rows] = 1.0
         rest = np.minimum(most, np.floor(least))  # no posting still to come adds more
-        bound = total + rest.sum() - seen @ rest
+        bound = total + rest.sum() - rest @ seen
         sample = np.argpartition(-np.where(other, total, total.min() - 1), 4 * k)[: 4 * k]
         exact = np.sort(index.impacts[sample[other[sample]]] @ weights)[::-1]
         if len(exact) >= k:
