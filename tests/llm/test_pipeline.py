@@ -43,3 +43,14 @@ def test_stages(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(whole.columns) == sorted(kept["packing"].columns)
     assert whole.select("doc_id").distinct().count() == len(ids["packing"])
+
+
+def test_near_copies_from_80_percent_go(spark, tmp_path):
+    plain = [f"w{k}" for k in range(105)]  # 101 shingles
+    rows = []
+    for base, changed in ((0, (20, 60)), (10, (20, 60, 97))):  # 91 of 111 shingles, then 86 of 116
+        for i, at in ((base, ()), (base + 1, changed)):
+            text = " ".join(f"x{base}_{k}" if k in at else f"{base}{w}" for k, w in enumerate(plain))
+            rows.append((i, text, "en", "s", len(text)))
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, COLUMNS), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 10, 11]
