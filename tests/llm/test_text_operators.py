@@ -247,6 +247,37 @@ def test_cross_entropy_difference(spark, docs, labels):
     assert lm.score(docs.limit(0), labels).count() == 0
 
 
+def test_cross_entropy_counts_every_word_and_bigram(spark, docs, labels):
+    got = lm.score(docs, labels)
+    carried(got, docs)
+    rows = [(i, words(t)) for i, t, _ in corpus()]
+    single, pair, context = ([Counter(), Counter()] for _ in range(3))
+    for i, ws in rows:
+        for m in (0, 1):
+            if m or i in range(60):
+                single[m].update(ws)
+                pair[m].update(zip(["<s>", *ws[:-1]], ws, strict=True) if ws else ())
+    for m in (0, 1):
+        for (h, _), n in pair[m].items():
+            context[m][h] += n
+    n, size = [sum(c.values()) for c in single], len(single[1])
+
+    def loss(m, h, w):
+        scale = 1.0 if m == 0 else n[0] / n[1]
+        prior = (single[m][w] * scale + 1) / (n[0] + size + 1)
+        return -math.log((pair[m][h, w] * scale + lm.SMOOTHING * prior) / (context[m][h] * scale + lm.SMOOTHING))
+
+    for r in got.collect():
+        chain = words(r["text"])
+        assert r["n_tokens"] == len(chain)
+        if not chain:
+            assert r["ce_target"] is None and r["ce_difference"] is None
+            continue
+        both = [sum(loss(m, h, w) for h, w in zip(["<s>", *chain[:-1]], chain, strict=True)) / len(chain) for m in (0, 1)]
+        assert r["ce_target"] == pytest.approx(both[0]) and r["ce_difference"] == pytest.approx(both[0] - both[1])
+    assert lm.score(docs.limit(0), labels).count() == 0
+
+
 def test_sharding(spark, docs):
     got = sharding.shard_by_bytes(docs, shards=4)
     carried(got.withColumnRenamed("shard", "_s"), docs)

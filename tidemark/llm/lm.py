@@ -5,9 +5,13 @@ one set of bigrams and one smoothing. Background counts are scaled to the target
 models are matched. Every token of a document has a loss under either; the mean of their
 differences is the document's score, and the lower it is, the more the text is like the target.
 
-A word outside the vocabulary is one symbol, the start of a text another. With c and C the kept
-bigrams' counts, ``p(w | h) = (c(h, w) + m p(w)) / (C(h) + m)`` and
-``p(w) = (c(w) + 1) / (N + V + 1)``.
+The start of a text is a symbol. With c and C the bigrams' counts,
+``p(w | h) = (c(h, w) + m p(w)) / (C(h) + m)`` and ``p(w) = (c(w) + 1) / (N + V + 1)``.
+
+The vocabulary is every word and the bigrams are all there are, as tables in the shared folder:
+each text's bigrams meet their losses in a join, and only totals reach the driver. With bounds
+given, a model of the most frequent words (any other is one symbol) and bigrams is gathered
+and sent to the tasks instead.
 """
 
 from __future__ import annotations
@@ -22,15 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, reduce_rows, python_ready, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, python_ready, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.importance import TARGET_ROWS, labelled_good
+from tidemark.llm.linking import sized
 from tidemark.session import checkpointed
 
-VOCABULARY = 1 << 15
-BIGRAMS = 1 << 18
 SMOOTHING = 20.0
 GATHER = 1 << 20
+START = np.uint64(0x5354415254)  # the context of a text's first word
 
 
 def _tally(docs: DataFrame, target: np.ndarray, symbols: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
@@ -145,26 +149,128 @@ def fit(docs: DataFrame, target: np.ndarray, vocabulary: int, bigrams: int) -> M
     return Models(words, singles, keys[order], np.stack([c[order].astype(float) for c in counted]))
 
 
+def _bigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Context, word and a key of both for every word of a run of texts, and the row bounds."""
+    start, stop, words = word_spans(data, bounds)
+    hashes = SpanHash(data)(start, stop)
+    context = np.empty_like(hashes)
+    context[1:] = hashes[:-1]
+    context[words[:-1][words[:-1] < words[1:]]] = START
+    return context, hashes, mix64(context * np.uint64(3) + hashes), words
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """(context, word, background, target) of every bigram of ``docs`` (text, _good)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def emit() -> pa.RecordBatch:
+            context, word, key, good = map(np.concatenate, zip(*held, strict=True))
+            held.clear()
+            _, first, back, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            target = np.bincount(back, weights=good, minlength=len(first)).astype(np.int64)
+            columns = [context[first].view(np.int64), word[first].view(np.int64), n, target]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "background", "target"])
+
+        for batch in batches:
+            good = batch.column("_good").to_numpy(zero_copy_only=False)
+            for first, end, data, bounds in text_chunks(batch.column("text")):
+                context, word, key, words = _bigrams(data, bounds)
+                held.append((context, word, key, np.repeat(good[first:end], np.diff(words))))
+                if sum(len(h[0]) for h in held) > GATHER:
+                    yield emit()
+        if held:
+            yield emit()
+
+    tallied = docs.mapInArrow(count, "context long, word long, background long, target long")
+    return tallied.groupBy("context", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def _text_bigrams(docs: DataFrame) -> DataFrame:
+    """(_text, context, word, n): each bigram of every row of ``docs`` (_text, text), once with its count."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("_text").to_numpy(zero_copy_only=False)
+            for first, end, data, bounds in text_chunks(batch.column("text")):
+                context, word, key, words = _bigrams(data, bounds)
+                row = np.repeat(np.arange(first, end), np.diff(words))
+                own = mix64(key + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                _, at, n = np.unique(own, return_index=True, return_counts=True)
+                order = np.argsort(at)
+                at = at[order]
+                columns = [ids[row[at]], context[at].view(np.int64), word[at].view(np.int64), n[order]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_text", "context", "word", "n"])
+
+    return docs.mapInArrow(split, "_text long, context long, word long, n long")
+
+
+def _losses(counts: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
+    """(_pair, loss_target, loss_background) of every bigram, in nats.
+
+    Lookups are written first, so that a frequent word's rows can be split over tasks.
+    """
+    sums = [F.sum("target").alias("_target"), F.sum("background").alias("_background")]
+    words = checkpointed(counts.groupBy("word").agg(*sums))
+    contexts = counts.groupBy("context").agg(F.sum("target").alias("_of_target"), F.sum("background").alias("_of_background"))
+    contexts = checkpointed(contexts)
+    size, *total = words.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("_target", "_background"))).first()
+    met = counts.join(words, "word").join(contexts, "context")
+    losses = []
+    for name, n, scale in (("target", total[0], 1.0), ("background", total[1], total[0] / max(1, total[1]))):
+        prior = (F.col(f"_{name}") * scale + 1) / F.lit(float(n * scale + size + 1))
+        share = (F.col(name) * scale + smoothing * prior) / (F.col(f"_of_{name}") * scale + smoothing)
+        losses.append((-F.log(share)).alias(f"loss_{name}"))
+    return met.select(F.xxhash64("context", "word").alias("_pair"), *losses)
+
+
+def _score_whole(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """``docs`` with the four columns of :func:`score`, under models of all words and bigrams.
+
+    Texts are told apart by 64-bit hashes, and so are words and bigrams. Rows of one text add
+    up to the same means.
+    """
+    python_ready(docs.sparkSession)
+    marked = docs.select("doc_id", "text").join(sized(good, 16).withColumn("_good", F.lit(True)), "doc_id", "left")
+    counts = checkpointed(_counted(marked.select("text", F.coalesce("_good", F.lit(False)).alias("_good"))))
+    text = F.xxhash64("text").alias("_text")
+    pairs = _text_bigrams(docs.select(text, "text")).select("_text", F.xxhash64("context", "word").alias("_pair"), "n")
+    weighed = pairs.join(_losses(counts), "_pair").groupBy("_text").agg(
+        F.sum("n").alias("_n"), *(F.sum(F.col("n") * F.col(f"loss_{c}")).alias(f"_{c}") for c in ("target", "background"))
+    )
+    means = checkpointed(weighed.select("_text", *((F.col(f"_{c}") / F.col("_n")).alias(f"ce_{c}") for c in ("target", "background"))))
+    n_tokens = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    scored = docs.withColumns({"_text": F.xxhash64("text"), "n_tokens": n_tokens}).join(means, "_text", "left")
+    return scored.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
-    vocabulary: int = VOCABULARY,
-    bigrams: int = BIGRAMS,
+    vocabulary: int | None = None,
+    bigrams: int | None = None,
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """``docs`` with n_tokens, ce_target, ce_background and ce_difference (nats a token).
 
     ``docs`` needs doc_id and text; other columns pass through, but for those that bear one of
-    the four names. Target texts are those of at most ``target_rows`` documents labelled good,
-    whole; both models count every document they are given, target documents included. A word
-    is a run without ASCII white space, A-Z taken as a-z.
+    the four names. Target texts are those of all documents labelled good, whole; both models
+    count every document they are given, target documents included. A word is a run without
+    ASCII white space, A-Z taken as a-z. ``vocabulary`` and ``bigrams``, given together, bound
+    the models; then at most ``target_rows`` documents are target text.
 
     Null, empty and blank texts have no tokens and null entropies. Rows with a null doc_id are
     background only. Repeated rows count as often as they stand there and score alike. Without
     labels both models are smoothing alone for the target. An empty table gives an empty table.
     """
     new = ["n_tokens", "ce_target", "ce_background", "ce_difference"]
+    if (vocabulary is None) != (bigrams is None):
+        raise ValueError("vocabulary and bigrams are given together")
     given, docs = docs, folded(docs, ["doc_id", "text"], new)
+    if vocabulary is None:
+        good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+        return _score_whole(docs, good).select(*unfolded(given, ["doc_id", "text"], new), *new)
     models = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled_good(labels, target_rows), vocabulary, bigrams))
     schema = T.StructType(docs.schema.fields + [T.StructField("n_tokens", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in new[1:]])
 
