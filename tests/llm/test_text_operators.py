@@ -410,6 +410,13 @@ def test_secrets(spark):
         "only Zx9Qw8Er7Ty6Ui5Op4As3Df2 here" + " la" * 400 + " https://api.example.org/v1",
         "see https://example.org/page for more",
         "İ token=abcdefgh",
+        "client_id=webapp " + "Zx9Qw8Er7T" * 20,
+        "client_id=" + "w" * 199 + " Zx9Qw8Er7Ty6Ui5Op4As",
+        "https://example.org/" + "long-path/" * 40 + " Zx9Qw8Er7Ty6Ui5Op4As",
+        "client_id=webapp zx9qw8er7ty6ui5op4as3d",
+        "client_id=webapp ZX9QW8ER7TY6UI5OP4AS3D",
+        "client_id=zx9qw8er7ty6ui5op4as3d",
+        "see https://example.org/2024/another-page-with-words",
     ]
     rows += [(500 + k, t, "x") for k, t in enumerate(extra)]
     docs = table(spark, rows)
@@ -429,6 +436,11 @@ def test_secrets(spark):
         spans[r["doc_id"]] = r["spans"]
     assert [x.split(":")[0] for x in spans[502].split(",")] == ["identifier", "endpoint", "secret"]
     assert spans[503] == "" == spans[504]
+    assert spans[506] == "identifier:0:16,secret:17:217"  # no part has a greatest length
+    assert spans[507] == "identifier:0:209,secret:210:230"
+    assert spans[508] == f"endpoint:0:{len(extra[8]) - 21},secret:{len(extra[8]) - 20}:{len(extra[8])}"
+    assert spans[509] == "identifier:0:16,secret:17:39" and spans[510] == "identifier:0:16,secret:17:39"
+    assert spans[511] == "" == spans[512]  # what stands in an identifier or endpoint is not its own secret
     assert secrets.scan(docs.limit(0)).count() == 0
 
 

@@ -33,12 +33,12 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 IDENTIFIER = re.compile(
-    r"""(?:access_?key(?:_?id)?|key_?id|client_?id|account|user(?:name)?|login)["']?[\x20\t]*[:=][\x20\t]*["']?[A-Za-z0-9_.@-]{3,128}""",
+    r"""(?:access_?key(?:_?id)?|key_?id|client_?id|account|user(?:name)?|login)["']?[\x20\t]*[:=][\x20\t]*["']?[A-Za-z0-9_.@-]{3,}""",
     re.IGNORECASE | re.ASCII,
 )
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,128}(?![A-Za-z0-9+/_=-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
-    r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{3,256}|(?:endpoint|host(?:name)?|server)["']?[\x20\t]*[:=][\x20\t]*["']?[A-Za-z0-9.-]{3,128}(?::[0-9]{1,5})?""",
+    r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{3,}|(?:endpoint|host(?:name)?|server)["']?[\x20\t]*[:=][\x20\t]*["']?[A-Za-z0-9.-]{3,}(?::[0-9]{1,5})?""",
     re.IGNORECASE | re.ASCII,
 )
 IDENTIFIER_WORDS = ("key", "client", "account", "user", "login")
@@ -56,28 +56,38 @@ def base_spans(text: str, low: str) -> list[Span]:
     return found
 
 
-def _mixed(token: str) -> bool:
-    """Whether a run of characters looks made by a machine: digits, and letters of both cases."""
-    return (
-        any("0" <= c <= "9" for c in token) and any("a" <= c <= "z" for c in token) and any("A" <= c <= "Z" for c in token)
-    )
+def _made(token: str) -> tuple[bool, bool]:
+    """Whether a run looks made by a machine, with digits and letters, and whether these have both cases."""
+    digit, small, large = (any(a <= c <= z for c in token) for a, z in ("09", "az", "AZ"))
+    return digit and (small or large), small and large
+
+
+def _apart(found: list[Span], taken: list[Span]) -> list[Span]:
+    """Those of ``found`` that overlap none of ``taken``."""
+    if not found or not taken:
+        return found
+    held = sorted(taken)
+    starts, ends = np.array([s[0] for s in held]), np.maximum.accumulate([s[2] for s in held])
+    at = np.searchsorted(starts, [f[2] for f in found]) - 1  # the last one that starts before its end
+    return [f for f, k in zip(found, at.tolist(), strict=True) if k < 0 or ends[k] <= f[0]]
 
 
 def weak_spans(text: str, low: str, taken: list[Span], runs: bool) -> list[Span]:
-    """Candidates for parts that stand apart from all strong findings; ``runs``: long runs exist."""
+    """Candidates for parts that stand apart from all strong findings; ``runs``: long runs exist.
+
+    A run of one case is a secret only apart from identifiers and endpoints, of whose names,
+    values and paths it would be a piece.
+    """
     found: list[Span] = []
     if any(w in low for w in IDENTIFIER_WORDS):
         found += [(m.start(), 3, m.end()) for m in IDENTIFIER.finditer(text)]
-    if runs:
-        found += [(m.start(), 4, m.end()) for m in SECRET.finditer(text) if _mixed(m[0])]
     if any(w in low for w in ENDPOINT_WORDS):
         found += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
-    if not found or not taken:
-        return found
-    held = sorted(taken)
-    starts, ends = np.array([s[0] for s in held]), np.maximum.accumulate([s[2] for s in held])
-    at = np.searchsorted(starts, [f[2] for f in found]) - 1  # the last strong one that starts before its end
-    return [f for f, k in zip(found, at.tolist(), strict=True) if k < 0 or ends[k] <= f[0]]
+    if runs:
+        secrets = [((m.start(), 4, m.end()), *_made(m[0])) for m in SECRET.finditer(text)]
+        plain = _apart([s for s, made, both in secrets if made and not both], found)
+        found += [s for s, made, both in secrets if made and both] + plain
+    return _apart(found, taken)
 
 
 def linked(strong: list[Span], weak: list[Span], scope: int) -> list[Span]:
