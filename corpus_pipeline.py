@@ -8,6 +8,7 @@ folder, and its decisions take effect there. All but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +51,18 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every token of every document stands in the training sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Where every token of every document stands in the training sequences.
+
+    Sequences follow the order in which the mixture was laid out: files by their number, rows as
+    they stand in a file. Documents that are not read from files are laid out first.
+    """
+    try:
+        placed = docs.select("*", "_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        placed = checkpointed(mixing(spark, docs, sf_dir)).select("*", "_metadata.file_name", "_metadata.row_index")
+    number = "cast(regexp_extract(file_name, '^part-([0-9]+)', 1) as bigint)"
+    ordered = placed.select("doc_id", "text", F.expr(number).alias("_file"), F.col("row_index").cast("long").alias("_row"))
+    return packing.pack_documents(ordered, public_tokenizers.path("byte_bpe_50k.json"), order=["_file", "_row"])
 
 
 STAGES = [

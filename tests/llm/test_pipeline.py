@@ -54,3 +54,26 @@ def test_near_copies_from_80_percent_go(spark, tmp_path):
             rows.append((i, text, "en", "s", len(text)))
     kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, COLUMNS), str(tmp_path))
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 10, 11]
+
+
+def test_sequences_follow_the_mixture(spark, tmp_path):
+    import random
+
+    rng, rows = random.Random(7), []
+    for source, n in (("hot", 420), ("small", 35)):  # bytes about 12 to 1, target shares 12 ** 0.7 to 1
+        rows += [(len(rows) + k, prose(rng, rng.randint(200, 1000)), "en", source, 0) for k in range(n)]
+    size = {s: sum(len(r[1]) for r in rows if r[3] == s) ** 0.7 for s in ("hot", "small")}
+    target = size["small"] / sum(size.values())
+    docs = spark.createDataFrame(rows, COLUMNS)
+    corpus_pipeline.mixing(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/mixed")
+    packed = corpus_pipeline.packing_stage(spark, spark.read.parquet(f"{tmp_path}/mixed"), str(tmp_path))
+    got = packed.join(docs.select("doc_id", "source"), "doc_id").collect()
+    count = 1 + max(r["sequence_id"] for r in got)
+    assert {r["sequence_id"] for r in got} == set(range(count)) and {r["doc_id"] for r in got} == {r[0] for r in rows}
+
+    def share(low, high):
+        held = [(r["source"], r["length"]) for r in got if low * count <= r["sequence_id"] < high * count]
+        return sum(n for s, n in held if s == "small") / sum(n for _, n in held)
+
+    assert abs(share(0, 0.4) - target) < 0.05
+    assert share(0.75, 1) < 0.01 < 0.05 < share(0, 1)  # the small source has run out by then

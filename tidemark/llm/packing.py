@@ -27,16 +27,20 @@ from tidemark.session import checkpointed
 ROUNDS = 1500
 MOST_STEP, MOST_RATE = 0.2, 200.0
 RUN_ROWS = 250_000
+TURNS = 64
 Plan = list[tuple[tuple[int, ...], int]]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): each document's ids and ``end_id``, cut to fit.
+def token_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, carried: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, *carried): each document's ids and ``end_id``, cut to fit.
 
     Pieces are full but for the first, which takes the remainder. ``tokenizer`` is a path that
     every task can read.
     """
     python_ready(docs.sparkSession)
+    carried = carried or []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,17 +57,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
                     length.append(high - low)
                     crc.append(zlib.crc32(raw[4 * low : 4 * high]))
                     low, high, k = high, high + capacity, k + 1
+            taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                    batch.column("doc_id").take(taken),
                     pa.array(piece, pa.int32()),
                     *(pa.array(x, pa.int64()) for x in (start, length, crc)),
+                    *(batch.column(c).take(taken) for c in carried),
                 ],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                ["doc_id", "piece", "start", "length", "ids_crc32", *carried],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    fields = [f"doc_id {kind}", "piece int", "start long", "length long", "ids_crc32 long", *(f"{c} long" for c in carried)]
+    return docs.select("doc_id", "text", *carried).mapInArrow(cut, ", ".join(fields))
 
 
 def best_configuration(prices: np.ndarray, most: np.ndarray, capacity: int) -> list[int]:
@@ -162,6 +169,16 @@ def configurations(counts: dict[int, int], capacity: int) -> Plan:
     return min(plans, key=lambda plan: sum(n for _, n in plan))
 
 
+def interleaved(plan: Plan) -> Plan:
+    """The same fillings, each in up to ``TURNS`` portions that take turns over the whole plan."""
+    portions = []
+    for held, n in plan:
+        turns = min(n, TURNS)
+        cuts = [n * k // turns for k in range(turns + 1)]
+        portions += [((low + high) / 2 / n, held, high - low) for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [(held, n) for _, held, n in sorted(portions)]
+
+
 def _slots(plan: Plan) -> dict[str, np.ndarray]:
     """Ranges of ranks within a length: which sequences they fill, and where."""
     length, times, first, offset, sequence = [], [], [], [], 0
@@ -183,19 +200,26 @@ def _slots(plan: Plan) -> dict[str, np.ndarray]:
     return table
 
 
-def pack(pieces: DataFrame, capacity: int) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, order: list[str] | None = None) -> DataFrame:
     """``pieces`` with sequence_id and offset; ``length`` lies in 1 to ``capacity``.
 
     Pieces of one length are interchangeable. They are ranked in runs of bounded size, and the
-    plan says which ranks go where.
+    plan says which ranks go where. ``order`` names a run of rows and a place in it, both long:
+    pieces of one length are then ranked so, the plan's fillings take turns, and sequences are
+    numbered by the mean place of their tokens, so that they follow the order of the rows. The
+    two columns are left out of the result.
     """
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    slots = pieces.sparkSession.sparkContext.broadcast(_slots(configurations(counts, capacity)))
+    plan = configurations(counts, capacity)
+    slots = pieces.sparkSession.sparkContext.broadcast(_slots(interleaved(plan) if order else plan))
     runs = 16 + sum(counts.values()) // RUN_ROWS
-    dealt = pieces.withColumn("_run", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(runs)))
+    if order:
+        dealt, last = pieces.withColumn("_run", F.col(order[0])), [order[1]]
+    else:
+        dealt, last = pieces.withColumn("_run", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(runs))), []
     sizes = dealt.groupBy("length", "_run").count()
     before = sizes.withColumn("_before", F.sum("count").over(Window.partitionBy("length").orderBy("_run")) - F.col("count"))
-    within = Window.partitionBy("length", "_run").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_run").orderBy(*last, "doc_id", "piece", "ids_crc32")
     ranked = dealt.withColumn("_rank", F.row_number().over(within) - 1).join(before.drop("count"), ["length", "_run"])
     ranked = ranked.select(*pieces.columns, (F.col("_rank") + F.col("_before")).alias("_rank"))
     schema = T.StructType(pieces.schema.fields + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
@@ -214,14 +238,41 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
                 [*names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, schema)
+    placed = ranked.mapInArrow(place, schema)
+    return _renumbered(checkpointed(placed), order).drop(*order) if order else placed
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def _renumbered(placed: DataFrame, order: list[str]) -> DataFrame:
+    """``placed`` with sequences numbered by the mean place of their tokens.
+
+    A place is a run's rows before it and the place in the run; sequences are counted in
+    ``RUN_ROWS`` // 8 rows of places, then within those.
+    """
+    run, at = order
+    lengths = placed.groupBy(run).agg((F.max(at) + 1).alias("_rows"))  # one row a run, that is a file
+    start = (F.sum("_rows").over(Window.orderBy(run)) - F.col("_rows")).alias("_start")
+    begun = placed.join(F.broadcast(lengths.select(run, start)), run)
+    mean = F.sum((F.col("_start") + F.col(at)) * F.col("length")) / F.sum("length")
+    sequences = checkpointed(begun.groupBy("sequence_id").agg(mean.alias("_mean")))
+    sequences = sequences.withColumn("_part", F.floor(F.col("_mean") / (RUN_ROWS // 8)))
+    sizes = sequences.groupBy("_part").count()
+    before = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy("_mean", "sequence_id")) - 1
+    numbered = sequences.withColumn("_within", within).join(before, "_part")
+    numbered = checkpointed(numbered.select("sequence_id", (F.col("_before") + F.col("_within")).alias("_new")))
+    return placed.join(numbered, "sequence_id").select(
+        *(F.col("_new").alias(c) if c == "sequence_id" else c for c in placed.columns)
+    )
+
+
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, order: list[str] | None = None
+) -> DataFrame:
     """Every piece of every document of ``docs`` (doc_id, text, ...) with its place in a sequence.
 
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null and empty texts
     are the end id alone. Repeated rows and equal texts are packed each for itself; a null
-    doc_id is carried as it is. Other columns are left out. An empty table gives an empty table.
+    doc_id is carried as it is. ``order`` names columns of ``docs``, as in :func:`pack`. Other
+    columns are left out. An empty table gives an empty table.
     """
-    return pack(checkpointed(token_pieces(docs, tokenizer, capacity, end_id)), capacity)
+    return pack(checkpointed(token_pieces(docs, tokenizer, capacity, end_id, order)), capacity, order)
