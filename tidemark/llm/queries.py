@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adaptive, circulant, impact, importance, lines, lm, packing, pfair, secrets, sharding
+from tidemark.llm import adaptive, circulant, collocations, impact, importance, lines, lm, packing, pfair, secrets, sharding
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,32 @@ def op9_circulant_minhash(table):
 def op10_importance_resampling(table):
     scored = importance.resample(table("documents"), table("labels"))
     return scored.select("doc_id", "n_ngrams", "log_weight", "score", "selected")
+
+
+ORACLES["op11_phrase_tiles"] = r"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+    from documents),
+p as (select lang, list_filter(string_split_regex(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda w: w <> '') as ws
+    from d),
+n as (select lang, sum(len(ws))::bigint as n from p group by 1),
+g as (select lang, ws[i:i + k - 1] as words, k from p, range(1, 6) as r(k), unnest(range(1, len(ws) - k + 2)) as u(i)),
+f as materialized (select lang, words, array_to_string(words, ' ') as phrase, any_value(k) as k, count(*)::bigint as f from g group by 1, 2
+    having count(*) >= 100),
+cut as (select c.lang, c.phrase, c.f as a, n.n, j, l.f as l, r.f as r,
+        ((1000::hugeint * c.f * n.n) // (l.f::hugeint * r.f))::bigint as score
+    from f c join n using (lang), range(1, 5) as s(j)
+    join f l on l.lang = c.lang and l.phrase = array_to_string(c.words[1:j], ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(c.words[j + 1:], ' ')
+    where c.k >= 2 and j < c.k),
+best as (select lang, phrase, a, n, arg_min(l, (score, j)) as l, arg_min(r, (score, j)) as r, min(score) as score from cut group by 1, 2, 3, 4),
+inside as (select lang, array_to_string(words[i:i + m - 1], ' ') as phrase, max(f) as longer
+    from f, range(2, 5) as s(m), unnest(range(1, k - m + 2)) as u(i) where m < k group by 1, 2),
+kept as (select b.* from best b left join inside i using (lang, phrase) where i.longer is null or i.longer < b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase::blob)::bigint as rank, phrase, a, l, r, n, score
+from kept qualify rank <= 2000
+"""
+
+
+@_query
+def op11_phrase_tiles(table):
+    return collocations.collocations(table("documents"))
