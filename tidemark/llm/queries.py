@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adaptive, circulant, collocations, impact, importance, lines, lm, packing, pfair, secrets, sharding
+from tidemark.llm import adaptive, circulant, collocations, impact, importance, lines, lm, packing, pfair, secrets, sharding, token_files
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,8 @@ from kept qualify rank <= 2000
 @_query
 def op11_phrase_tiles(table):
     return collocations.collocations(table("documents"))
+
+
+@_query
+def op12_zstd_token_files(table):
+    return token_files.round_trip(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
