@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adaptive, circulant, collocations, impact, importance, lines, lm, packing, pfair, secrets, sharding, token_files
+from tidemark.llm import adaptive, circulant, collocations, impact, importance, lines, lm, packing, pfair, prefix_trie, secrets, sharding, token_files
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,8 @@ def op11_phrase_tiles(table):
 @_query
 def op12_zstd_token_files(table):
     return token_files.round_trip(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op13_parentheses_trie(table):
+    return prefix_trie.prefix_trie(table("conversations"))
