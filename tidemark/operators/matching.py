@@ -2,29 +2,30 @@
 
 Score = weighted sum of four dimensions, each in 0..1:
 
-* name: mean of the edit-distance ratio and the share of common words; 0 when the two names
-  share no word. Common company forms are dropped from the words.
+* name: the best of the edit-distance ratio of the names written without blanks (so
+  "Bellavista" and "Bella Vista" agree), the share of common words, and the share of common
+  phonetic codes (Soundex of each word). Names are lower case, punctuation becomes a blank,
+  abbreviations are written out (:data:`ABBREVIATIONS`) and company forms are dropped.
 * address: mean of zip equality, street-number equality, and the edit-distance ratios of
-  street and city; 0 when none of the four is equal.
-* contact: 1 when the mail domain, the phone number or the website is the same.
+  street and city.
+* contact: 1 when the mail address, the phone number or the website is the same, 0.5 when
+  only the mail domain is.
 * legal: 1 when the legal id is the same.
 
-Pairs below ``threshold`` are not results. That allows pairs to be found by joins on
-conditions every result must meet, so nothing is lost and no block is expanded in full.
-An address score above 0.5 needs an equal zip or street number; a name score above 0 needs
-a common word, and a high one a large share ``s`` of common words. The latter is found by
-the prefix filter of set-similarity joins: two sets of ``n`` and ``m`` words with that share
-have ``o = ceil(s / (1 + s) * (n + m))`` words in common, hence one of the first
-``n - o + 1`` and ``m - o + 1`` when words are sorted from rare to frequent ("rare" below).
-With the default weights a pair that reaches 0.60 has at least one of:
+Pairs below ``threshold`` are not results. Candidates come from joins on keys, never from a
+block of all pairs: for every set S of exact fields (zip, number, strong contact, mail
+domain, legal id) that a pair can have equal, the weights give the least name score that
+pair needs, ``t(S)``. Its keys combine the values of S with name keys for ``t(S)``:
 
-* neither contact nor legal id equal: the same zip or number, and a rare word (s = 0.5);
-* equal contact: a rare word (s = 0.75), or a common word and an equal address field;
-* equal legal id: a rare word (s = 0.75), or a common word and the same zip or number;
-* both equal: a common word, or the whole address.
+* the edit ratio reaches t only if one of the tau + 1 segments of the longer name (tau =
+  floor((1 - t) * length)) stands in the shorter one within tau places (the partition
+  filter of edit-distance joins);
+* a share t of common words or codes needs one of the first ``n - o + 1`` of them when
+  they are sorted from rare to frequent (the prefix filter of set-similarity joins).
 
-So frequent words alone, or a frequent zip, mail domain or legal id alone, bring no pairs
-together.
+Where ``t(S)`` is below :data:`LEAST_NAME` the values of S alone are the key; S is then at
+least two fields or holds a strong one. Every result shares a key of its own S, so none is
+lost; weights that would need a key without any field and a loose name are refused.
 
 Copies are matched once: both sides are first reduced to distinct normalised profiles.
 """
@@ -43,24 +44,58 @@ from tidemark.session import checkpointed
 WEIGHTS = {"name": 0.40, "address": 0.30, "contact": 0.20, "legal": 0.10}
 THRESHOLD = 0.60
 
-# Words that only say what kind of company it is.
+# Words that only say what kind of company it is, and abbreviations written out.
 COMPANY_FORMS = ("gmbh", "ag", "kg", "ltd", "inc", "llc", "sarl", "sas", "srl", "spa", "bv", "the")
+ABBREVIATIONS = {
+    "co": "company", "corp": "corporation", "intl": "international", "bros": "brothers", "mfg": "manufacturing",
+    "rest": "restaurant", "ctr": "center", "svc": "service", "assoc": "associates", "dept": "department",
+    "univ": "university", "natl": "national", "mgmt": "management", "tech": "technology", "st": "saint", "mt": "mount",
+}
+STREET_ABBREVIATIONS = {
+    "st": "street", "str": "street", "rd": "road", "ave": "avenue", "blvd": "boulevard", "pl": "place", "sq": "square",
+    "ln": "lane", "dr": "drive",
+}
+
+#: Below this least name score a key is the equal fields alone (name keys would match nearly anything).
+LEAST_NAME = 0.6
+SLACK = 1e-5  # scores are rounded to 6 places
 
 FIELDS = ("name", "zip", "city", "street", "email", "phone", "website", "legal_id")
-PROFILE = ("iso_code", "name", "zip", "city", "street", "street_no", "domain", "phone", "website", "legal_id")
+PROFILE = ("iso_code", "name", "zip", "city", "street", "street_no", "email", "domain", "phone", "website", "legal_id")
 
 
 def plain(col: Column | str) -> Column:
     """Lower case, punctuation to blanks, single blanks; empty gives null."""
     col = F.col(col) if isinstance(col, str) else col
-    text = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]+", " ")
+    text = F.regexp_replace(F.regexp_replace(F.lower(col), "&", " and "), r"[^\p{L}\p{N}]+", " ")
     return F.nullif(F.trim(text), F.lit(""))
 
 
+def _written_out(col: Column, abbreviations: Mapping[str, str] = ABBREVIATIONS) -> Column:
+    """Abbreviated words of a plain name or street written out."""
+    table = F.create_map(*[F.lit(x) for pair in abbreviations.items() for x in pair])
+    parts = F.transform(F.split(col, " "), lambda w: F.coalesce(F.try_element_at(table, w), w))
+    return F.nullif(F.array_join(parts, " "), F.lit(""))
+
+
+def _name_words(col: Column) -> Column:
+    """Words of a normalised name in order, without company forms."""
+    return F.filter(F.split(F.coalesce(col, F.lit("")), " "), lambda w: (w != "") & ~w.isin(*COMPANY_FORMS))
+
+
 def words(col: Column) -> Column:
     """Distinct words of a normalised name without company forms."""
-    parts = F.array_distinct(F.split(F.coalesce(col, F.lit("")), " "))
-    return F.filter(parts, lambda w: (w != "") & ~w.isin(*COMPANY_FORMS))
+    return F.array_distinct(_name_words(col))
+
+
+def compact(col: Column) -> Column:
+    """The name's words without blanks; null where there are none."""
+    return F.nullif(F.array_join(_name_words(col), ""), F.lit(""))
+
+
+def codes(col: Column) -> Column:
+    """Distinct Soundex codes of the name's words."""
+    return F.array_distinct(F.transform(words(col), lambda w: F.soundex(w)))
 
 
 def street_number(col: Column) -> Column:
@@ -70,17 +105,19 @@ def street_number(col: Column) -> Column:
 
 def normalise(df: DataFrame) -> DataFrame:
     """Comparable form of the establishment columns ``iso_code`` and :data:`FIELDS`."""
-    street = plain("street")
+    street = _written_out(plain("street"), STREET_ABBREVIATIONS)
     host = F.regexp_replace(F.lower(F.col("website")), r"^(https?://)?(www\.)?|/.*$", "")
+    email = F.nullif(F.trim(F.lower("email")), F.lit(""))
     return df.select(
         "id",
         F.upper("iso_code").alias("iso_code"),
-        plain("name").alias("name"),
+        _written_out(plain("name")).alias("name"),
         F.nullif(F.regexp_replace(F.upper("zip"), r"[^0-9A-Z]", ""), F.lit("")).alias("zip"),
         plain("city").alias("city"),
         F.nullif(F.trim(F.regexp_replace(street, r"\d+\s*[a-z]?\b", "")), F.lit("")).alias("street"),
         street_number(street).alias("street_no"),
-        F.nullif(F.regexp_extract(F.lower("email"), r"@(.+)$", 1), F.lit("")).alias("domain"),
+        email.alias("email"),
+        F.nullif(F.regexp_extract(email, r"@(.+)$", 1), F.lit("")).alias("domain"),
         F.nullif(F.regexp_replace("phone", r"^(\+|00)|[^0-9]", ""), F.lit("")).alias("phone"),
         F.nullif(host, F.lit("")).alias("website"),
         F.nullif(F.regexp_replace(F.upper("legal_id"), r"[^0-9A-Z]", ""), F.lit("")).alias("legal_id"),
@@ -102,35 +139,40 @@ def members(df: DataFrame) -> DataFrame:
     return plain_rows.select("id", hash_of(plain_rows, PROFILE).alias("profile_id"))
 
 
-def _shares(weights: Mapping[str, float], threshold: float) -> dict[str, float]:
-    """Least share of common words of a result, by which of contact and legal id agree.
+#: Exact fields a pair can share; "c" is any strong contact (mail address, phone, website).
+EXACT = ("z", "n", "c", "d", "l")
 
-    Raises where the weights would allow results the candidate joins cannot see.
-    """
-    name, address = weights["name"], weights["address"]
-    contact, legal = weights["contact"], weights["legal"]
-    if threshold < address + contact + legal - 1e-9:
-        raise ValueError("threshold must not be below the weights of address, contact and legal together")
-    if threshold <= name + 0.5 * address:
-        raise ValueError("threshold must exceed the weight of name plus half that of address")
-    # Below this share of words a pair with equal contact needs some address score.
-    needs_address = 2 * (threshold - contact) / name - 1
-    shares = {
-        "none": 2 * (threshold - address) / name - 1,
-        "contact": min(0.75, needs_address - 0.05),
-        "legal": 2 * (threshold - legal - 0.5 * address) / name - 1,
-    }
-    if min(shares.values()) <= 0:
-        raise ValueError("threshold is too low for these weights")
-    return {k: min(v, 1.0) for k, v in shares.items()}
 
+def least_names(weights: Mapping[str, float], threshold: float) -> dict[frozenset, float]:
+    """For each set of equal exact fields that can reach ``threshold``: the least name score it needs.
 
-def _rare(share: float, side: str) -> Column:
-    """Hashes of the rare words of ``sorted_words``, one prefix per size a partner can have.
+    Raises where a pair with no equal field and a name score below :data:`LEAST_NAME` could
+    reach the threshold, as no key could find it.
+    """
+    out = {}
+    for mask in range(1 << len(EXACT)):
+        fields = frozenset(f for k, f in enumerate(EXACT) if mask >> k & 1)
+        if {"c", "d"} <= fields:
+            continue  # an equal mail address has an equal domain: the set without "d" needs the same
+        address = (("z" in fields) + ("n" in fields) + 2) / 4
+        contact = 1.0 if "c" in fields else 0.5 if "d" in fields else 0.0
+        legal = 1.0 if "l" in fields else 0.0
+        rest = weights["address"] * address + weights["contact"] * contact + weights["legal"] * legal
+        need = (threshold - rest) / weights["name"] - SLACK
+        if need > 1:
+            continue
+        if not fields and need < LEAST_NAME:
+            raise ValueError("a result could share no field and have a loose name: no key can find it")
+        out[fields] = max(need, 0.0)
+    return out
+
+
+def _rare(column: str, share: float, side: str) -> Column:
+    """Hashes of the rare items of sorted array ``column``, one prefix per size a partner can have.
 
     Both sizes are part of the hash, in the order (first source, second source).
     """
-    n = F.size("sorted_words")
+    n = F.size(column)
     least = F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
     most = F.floor(n / F.lit(share) + F.lit(1e-9)).cast("int")
 
@@ -138,8 +180,8 @@ def _rare(share: float, side: str) -> Column:
         common = F.ceil((n + m) * F.lit(share / (1 + share)) - F.lit(1e-9)).cast("int")
         first, second = (n, m) if side == "a" else (m, n)
         return F.transform(
-            F.slice("sorted_words", 1, F.greatest(n - common + 1, F.lit(0))),
-            lambda w: F.xxhash64(w, first, second),
+            F.slice(column, 1, F.greatest(n - common + 1, F.lit(0))),
+            lambda w: F.xxhash64(F.lit(column), w, first, second),
         )
 
     return F.when(n > 0, F.flatten(F.transform(F.sequence(least, most), prefix))).otherwise(
@@ -147,77 +189,136 @@ def _rare(share: float, side: str) -> Column:
     )
 
 
-def _keys(df: DataFrame, frequent: Column, shares: Mapping[str, float], side: str) -> DataFrame:
-    """Candidate keys of a profile: a hash of all values a result has in common.
+def _span(lo: Column, hi: Column) -> Column:
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
-    A hash collision only adds a candidate. Words may come in any order that both sides
-    use; the frequent ones come last, so that blocks stay small.
-    """
-    ordered = F.array_sort(
-        F.transform(
-            words(F.col("name")),
-            lambda w: F.struct(F.coalesce(F.try_element_at("_frequent", w), F.lit(0)).alias("f"), w.alias("w")),
-        )
+
+def _segments(length: Column, t: float) -> tuple[Column, Column, Column, Column]:
+    """tau, and for segment ``i``: functions of start (from 0) and length, of the even partition in tau + 1."""
+    tau = F.floor(length * F.lit(1 - t) + F.lit(1e-9)).cast("int")
+    k = tau + 1
+    base = F.floor(length / k).cast("int")
+    short = k - (length - base * k)  # segments of length base; the rest have base + 1
+    return tau, k, base, short
+
+
+def _edit_keys(t: float, own: str, other: str) -> Column:
+    """Partition-filter keys of the compact name: own segments tagged ``own``, probes for longer partners ``other``."""
+    s = F.col("compact")
+    length = F.coalesce(F.length(s), F.lit(0))
+    tau, k, base, short = _segments(length, t)
+
+    def start(i, b, sh):
+        return i * b + F.greatest(F.lit(0), i - sh)
+
+    def size(i, b, sh):
+        return b + F.when(i >= sh, 1).otherwise(0)
+
+    mine = F.transform(
+        _span(F.lit(0), k - 1),
+        lambda i: F.xxhash64(F.lit(own), length, i, F.substring(s, start(i, base, short) + 1, size(i, base, short))),
     )
-    df = df.withColumn("_frequent", frequent)
-    df = df.withColumn("sorted_words", F.transform(ordered, lambda s: s["w"])).drop("_frequent")
-
-    def anchor(tag: str, *cols: Column) -> Column:
-        present = F.lit(True)
-        for c in cols:
-            present = present & c.isNotNull()
-        return F.when(present, F.xxhash64(F.lit(tag), F.col("iso_code"), *cols))
-
-    def crossed(anchors: list[Column], array: Column) -> Column:
-        """Every anchor value that is present, combined with every word."""
-        return F.flatten(
+
+    def probes(longer: Column) -> Column:
+        tau2, k2, base2, short2 = _segments(longer, t)
+
+        def at(i):
+            first = start(i, base2, short2)
+            width = size(i, base2, short2)
+            places = _span(F.greatest(F.lit(0), first - tau2), F.least(length - width, first + tau2))
+            return F.transform(places, lambda p: F.xxhash64(F.lit(other), longer, i, F.substring(s, p + 1, width)))
+
+        return F.when(longer - length <= tau2, F.flatten(F.transform(_span(F.lit(0), k2 - 1), at))).otherwise(
+            F.array().cast("array<bigint>")
+        )
+
+    theirs = F.flatten(F.transform(_span(length, F.floor(length / F.lit(t) + F.lit(1e-9)).cast("int")), probes))
+    return F.when(length > 0, F.concat(mine, theirs)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _crossed(anchors: Column, name_keys: Column) -> Column:
+    """Every anchor combined with every name key."""
+    return F.flatten(F.transform(anchors, lambda x: F.transform(name_keys, lambda w: F.xxhash64(x, w))))
+
+
+def _keys(df: DataFrame, frequent: Column, needs: Mapping[frozenset, float], side: str) -> DataFrame:
+    """Candidate keys of a profile: for each set of equal fields, its values with keys of the name it needs.
+
+    A hash collision only adds a candidate. Words and codes are sorted from rare to frequent.
+    """
+    def by_rarity(items: Column, tag: str) -> Column:
+        ordered = F.array_sort(
             F.transform(
-                F.array_compact(F.array(*anchors)), lambda x: F.transform(array, lambda w: F.xxhash64(x, w))
+                items,
+                lambda w: F.struct(
+                    F.coalesce(F.try_element_at("_frequent", F.concat(F.lit(tag), w)), F.lit(0)).alias("f"), w.alias("w")
+                ),
             )
         )
+        return F.transform(ordered, lambda x: x["w"])
 
-    places = {"z": F.col("zip"), "n": F.col("street_no")}
-    fields = {**places, "s": F.col("street"), "c": F.col("city")}
-    contacts = {"d": F.col("domain"), "p": F.col("phone"), "w": F.col("website")}
-    legal = F.col("legal_id")
-    together = [anchor(c + f, cv, fv) for c, cv in contacts.items() for f, fv in fields.items()]
-    together += [anchor(c + "l", cv, legal) for c, cv in contacts.items()]
-    together += [anchor("l" + p, legal, pv) for p, pv in places.items()]
-    keys = [
-        crossed([anchor(p, v) for p, v in places.items()], _rare(shares["none"], side)),
-        crossed([anchor(c, v) for c, v in contacts.items()], _rare(shares["contact"], side)),
-        crossed([anchor("l", legal)], _rare(shares["legal"], side)),
-        crossed(together, F.col("sorted_words")),
-        F.array_compact(F.array(anchor("a", legal, *fields.values()))),
-    ]
+    df = df.withColumn("_frequent", frequent).select(
+        "*",
+        by_rarity(words(F.col("name")), "w:").alias("sorted_words"),
+        by_rarity(codes(F.col("name")), "c:").alias("sorted_codes"),
+        compact(F.col("name")).alias("compact"),
+    )
+    own, other = ("a", "b") if side == "a" else ("b", "a")
+    name_keys = {}
+    for t in sorted(set(needs.values())):
+        if t >= LEAST_NAME:
+            name_keys[t] = F.concat(
+                _rare("sorted_words", t, side), _rare("sorted_codes", t, side), _edit_keys(t, own, other)
+            )
+    values = {"z": F.col("zip"), "n": F.col("street_no"), "d": F.col("domain"), "l": F.col("legal_id")}
+    strong = {"e": F.col("email"), "p": F.col("phone"), "w": F.col("website")}
+    keys = []
+    for fields, t in needs.items():
+        tag = "".join(sorted(fields)) + f"|{t:.6f}"
+        plain_fields = [values[f] for f in sorted(fields) if f != "c"]
+        variants = [(c, v) for c, v in strong.items()] if "c" in fields else [("", None)]
+        anchors = []
+        for kind, value in variants:
+            cols = plain_fields + ([value] if value is not None else [])
+            present = F.lit(True)
+            for c in cols:
+                present = present & c.isNotNull()
+            anchors.append(F.when(present, F.xxhash64(F.lit(tag + kind), F.col("iso_code"), *cols)))
+        anchors = F.array_compact(F.array(*anchors))
+        if t < LEAST_NAME:
+            keys.append(anchors)
+        else:
+            keys.append(_crossed(anchors, name_keys[t]))
     return df.select("profile_id", F.explode(F.array_distinct(F.flatten(F.array(*keys)))).alias("block"))
 
 
 def frequent_words(*sides: DataFrame, least_share: float = 1e-3) -> DataFrame:
-    """Words that make up at least ``least_share`` of all words, with their number.
+    """Words ("w:" + word) and codes ("c:" + code) that make up at least ``least_share`` of their kind.
 
-    At most ``1 / least_share`` rows, whatever the size of the input.
+    At most ``2 / least_share`` rows, whatever the size of the input.
     """
     counted = None
     for s in sides:
-        one = s.select(F.explode(words(F.col("name"))).alias("w"))
+        one = s.select(F.explode(F.concat(
+            F.transform(words(F.col("name")), lambda w: F.concat(F.lit("w:"), w)),
+            F.transform(codes(F.col("name")), lambda w: F.concat(F.lit("c:"), w)),
+        )).alias("w"))
         counted = one if counted is None else counted.unionByName(one)
-    counted = counted.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
-    return counted.where(F.col("n") >= total * F.lit(least_share))
+    counted = counted.groupBy("w").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.substring("w", 1, 2))
+    totals = counted.groupBy("kind").agg(F.sum("n").alias("total"))
+    return counted.join(totals, "kind").where(F.col("n") >= F.col("total") * F.lit(least_share)).select("w", "n")
 
 
 def candidate_pairs(
     a: DataFrame, b: DataFrame, weights: Mapping[str, float] = WEIGHTS, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Distinct pairs of profile ids that can reach ``threshold``; a superset of all results."""
-    shares = _shares(weights, threshold)
+    needs = least_names(weights, threshold)
     frequent = frequent_words(a, b).agg(
         F.map_from_entries(F.collect_list(F.struct("w", "n"))).alias("m")
     ).scalar()
-
-    keys_a = _keys(a, frequent, shares, "a").withColumnRenamed("profile_id", "profile_a")
-    keys_b = _keys(b, frequent, shares, "b").withColumnRenamed("profile_id", "profile_b")
+    keys_a = _keys(a, frequent, needs, "a").withColumnRenamed("profile_id", "profile_a")
+    keys_b = _keys(b, frequent, needs, "b").withColumnRenamed("profile_id", "profile_b")
     return keys_a.join(keys_b, "block").select("profile_a", "profile_b").distinct()
 
 
@@ -231,6 +332,11 @@ def _same(x: Column, y: Column) -> Column:
     return F.when(x == y, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
+def _jaccard(x: Column, y: Column) -> Column:
+    union = F.size(F.array_union(x, y))
+    return F.when(union > 0, F.size(F.array_intersect(x, y)) / union).otherwise(F.lit(0.0))
+
+
 def field_scores(pairs: DataFrame) -> DataFrame:
     """Score columns of joined profiles (``a_*`` and ``b_*``)."""
     def a(c: str) -> Column:
@@ -239,33 +345,30 @@ def field_scores(pairs: DataFrame) -> DataFrame:
     def b(c: str) -> Column:
         return F.col(f"b_{c}")
 
-    shared = F.size(F.array_intersect(words(a("name")), words(b("name"))))
-    union = F.size(F.array_union(words(a("name")), words(b("name"))))
-    overlap = F.when(union > 0, shared / union).otherwise(F.lit(0.0))
     one = pairs.withColumns(
         {
-            "fm_words": overlap,
-            "fm_edit": _ratio(a("name"), b("name")),
-            "fm_phonetic": _same(F.soundex(a("name")), F.soundex(b("name"))),
+            "fm_words": _jaccard(words(a("name")), words(b("name"))),
+            "fm_edit": _ratio(compact(a("name")), compact(b("name"))),
+            "fm_phonetic": _jaccard(codes(a("name")), codes(b("name"))),
             "fm_mean_zip": _same(a("zip"), b("zip")),
             "fm_mean_street_no": _same(a("street_no"), b("street_no")),
             "fm_mean_street": _ratio(a("street"), b("street")),
             "fm_mean_city": _ratio(a("city"), b("city")),
-            "fm_mean_email": _same(a("domain"), b("domain")),
+            "fm_mean_email": _same(a("email"), b("email")),
+            "fm_mean_domain": _same(a("domain"), b("domain")),
             "fm_mean_phone": _same(a("phone"), b("phone")),
             "fm_mean_website": _same(a("website"), b("website")),
             "fm_mean_legal_id": _same(a("legal_id"), b("legal_id")),
         }
     )
-    agrees = F.coalesce(
-        F.greatest(*[a(c) == b(c) for c in ("zip", "street_no", "street", "city")]), F.lit(False)
-    )
     parts = ("fm_mean_zip", "fm_mean_street_no", "fm_mean_street", "fm_mean_city")
     return one.withColumns(
         {
-            "fm_mean_name": F.when(F.col("fm_words") > 0, (F.col("fm_words") + F.col("fm_edit")) / 2).otherwise(F.lit(0.0)),
-            "fm_mean_address": F.when(agrees, sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / len(parts)).otherwise(F.lit(0.0)),
-            "fm_max_contact": F.greatest("fm_mean_email", "fm_mean_phone", "fm_mean_website"),
+            "fm_mean_name": F.greatest("fm_edit", "fm_words", "fm_phonetic"),
+            "fm_mean_address": sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / len(parts),
+            "fm_max_contact": F.greatest(
+                "fm_mean_email", "fm_mean_phone", "fm_mean_website", F.col("fm_mean_domain") * 0.5
+            ),
         }
     )
 
@@ -326,3 +429,39 @@ def top_matches(matches: DataFrame, by: Sequence[str] = ("profile_a",)) -> DataF
     return best_per_key(matches, list(by), ["-match_quality", "id_source_2"])
 
 
+
+
+def match_records(
+    matches: DataFrame, a: DataFrame, b: DataFrame, run_id: str, source_1: str, source_2: str, match_type: str = "fuzzy"
+) -> DataFrame:
+    """One row per record pair behind the profile matches, with the columns the SCD2 merge takes.
+
+    ``_keyhash`` is MD5(source_1|id_source_1|source_2|id_source_2) and ``_rowhash`` covers
+    every other column, so :func:`tidemark.operators.scd.scd2_merge` versions them. Records
+    are expanded from profiles here, at the merge, and nowhere before.
+    """
+    from tidemark.functions.hashing import with_hashes
+
+    left = members(a).select(F.col("id").alias("id_source_1"), F.col("profile_id").alias("profile_a"))
+    right = members(b).select(F.col("id").alias("id_source_2"), F.col("profile_id").alias("profile_b"))
+    scores = [c for c in matches.columns if c.startswith("fm_")]
+    pairs = (
+        matches.select("profile_a", "profile_b", "iso_code", "match_quality", "match_quality_rule", *scores)
+        .join(left, "profile_a")
+        .join(right, "profile_b")
+        .select(
+            F.lit(run_id).alias("run_id"),
+            "iso_code",
+            F.lit(source_1).alias("source_1"),
+            F.lit(source_2).alias("source_2"),
+            "id_source_1",
+            "id_source_2",
+            F.lit(match_type).alias("match_type"),
+            "match_quality",
+            "match_quality_rule",
+            *scores,
+        )
+    )
+    key = ["source_1", "id_source_1", "source_2", "id_source_2"]
+    payload = [c for c in pairs.columns if c not in key and c != "run_id"]
+    return with_hashes(pairs, key, payload)
