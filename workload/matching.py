@@ -34,29 +34,55 @@ def match_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     return a, b
 
 
+# Soundex codes of a..z, as Spark's soundex has them (7: h and w, skipped).
+SOUNDEX_CODES = "01230127022455012623017202"
+
+
+def soundex_sql(w: str) -> str:
+    """Soundex of a lower-case word in DuckDB SQL: first letter kept, then up to three codes.
+
+    A word that does not start with a-z is its own code; other characters count as vowels.
+    """
+    rest = f"translate(regexp_replace(substr({w}, 2), '[^a-z]', 'a', 'g'), 'abcdefghijklmnopqrstuvwxyz', '{SOUNDEX_CODES}')"
+    coded = f"translate(substr({w}, 1, 1), 'abcdefghijklmnopqrstuvwxyz', '{SOUNDEX_CODES}') || replace({rest}, '7', '')"
+    for d in "0123456":
+        coded = f"regexp_replace({coded}, '{d}+', '{d}', 'g')"
+    digits = f"left(replace(substr({coded}, 2), '0', '') || '000', 3)"
+    return f"(case when regexp_matches({w}, '^[a-z]') then upper(substr({w}, 1, 1)) || {digits} else {w} end)"
+
+
 def _side(table: str, p: str, segment: str, key: str) -> str:
     label = f"case when {key} % 2 = 0 then 'north' else 'south' end"
     bal = f"{p}_acctbal"
     zip_ = f"cast(floor({bal} / 1000) as bigint)"
-    return f"""select min(cast({key} as varchar)) as id, count(*) as n, nation, name, zip, city, no, domain, phone, legal from (
+    return f"""select min(cast({key} as varchar)) as id, count(*) as n, nation, name, zip, city, no, email, domain, phone, legal from (
       select {key}, cast({p}_nationkey as varchar) as nation, lower({segment}) || ' ' || {label} || ' gmbh' as name,
         replace(cast({zip_} as varchar), '-', '') as zip, lower({segment}) as city,
         regexp_extract(cast(cast(floor({bal} / 100) as bigint) as varchar), '([0-9]+)', 1) as no,
-        lower({segment}) || '.example' as domain, case when {bal} > 5000 then '49' || {zip_} end as phone,
+        'x@' || lower({segment}) || '.example' as email, lower({segment}) || '.example' as domain,
+        case when {bal} > 5000 then '49' || {zip_} end as phone,
         case when {bal} < 3000 then 'DE' || replace(cast({zip_} as varchar), '-', '') end as legal from {table}) group by all"""
 
 
+def _jaccard(x: str, y: str) -> str:
+    return f"len(list_intersect({x}, {y})) / len(list_distinct({x} || {y}))"
+
+
+_WORDS = "list_distinct(list_filter(string_split({0}.name, ' '), lambda w: w <> 'gmbh'))"
+_CODES = "list_distinct(list_transform(" + _WORDS + ", lambda w: " + soundex_sql("w") + "))"
+_COMPACT = "array_to_string(list_filter(string_split({0}.name, ' '), lambda w: w <> 'gmbh'), '')"
+
 MATCH_SQL = f"""a as ({_side('customer', 'c', 'c_mktsegment', 'c_custkey')}),
 b as ({_side('supplier', 's', "(case when s_acctbal > 6000 then 'BUILDING' when s_acctbal > 3000 then 'MACHINES' else 'FURNITURE' end)", 's_suppkey')}),
 p as (select a.nation as iso_code, a.id as id_source_1, b.id as id_source_2, a.n as n_id_source_1_matches, b.n as n_id_source_2_matches,
-  1 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name)) as edit,
-  len(list_intersect(list_distinct(list_filter(string_split(a.name, ' '), lambda w: w <> 'gmbh')), list_filter(string_split(b.name, ' '), lambda w: w <> 'gmbh')))
-   / len(list_distinct(list_filter(string_split(a.name || ' ' || b.name, ' '), lambda w: w <> 'gmbh'))) as words,
+  1 - levenshtein({_COMPACT.format('a')}, {_COMPACT.format('b')}) / greatest(length({_COMPACT.format('a')}), length({_COMPACT.format('b')})) as edit,
+  {_jaccard(_WORDS.format('a'), _WORDS.format('b'))} as words,
+  {_jaccard(_CODES.format('a'), _CODES.format('b'))} as phonetic,
   (cast(a.zip = b.zip as int) + cast(a.no = b.no as int) + 1.0 + (1 - levenshtein(a.city, b.city) / greatest(length(a.city), length(b.city)))) / 4 as address,
-  greatest(cast(a.domain = b.domain as int), coalesce(cast(a.phone = b.phone as int), 0)) as contact,
+  greatest(cast(a.email = b.email as int), coalesce(cast(a.phone = b.phone as int), 0), 0.5 * cast(a.domain = b.domain as int)) as contact,
   coalesce(cast(a.legal = b.legal as int), 0) as legal
   from a join b on a.nation = b.nation),
-q as (select *, case when words > 0 then (words + edit) / 2 else 0 end as name from p),
+q as (select *, greatest(edit, words, phonetic) as name from p),
 m as (select *, round(0.4 * name + 0.3 * address + 0.2 * contact + 0.1 * legal, 6) as match_quality from q)
 """
 
