@@ -158,3 +158,31 @@ def test_event_batches_per_market_and_null_market(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), (None, 4), ("b", 5)], "c string, id int")
     got = tables.event_batches(df, ["c"], ["id"], 2)
     assert {(r["c"], r["batch_no"], r["n_records"]) for r in got.collect()} == {("a", 0, 2), ("a", 1, 1), (None, 0, 1), ("b", 0, 1)}
+
+
+@pytest.mark.parametrize("step", ["closed", "active", "publish"])
+def test_a_run_that_breaks_off_leaves_the_previous_state(spark, tmp_path, monkeypatch, step):
+    """A failure before any write step keeps the old state readable; repeating the run then gives the new one."""
+    path, days = str(tmp_path / "h"), [datetime(2024, 1, d, 10) for d in (1, 2)]
+    first = _today(spark, [("a", "1"), ("b", "1")], days[0])
+    tables.write_scd(first, path)
+    before = rows(tables.read_scd(spark, path))
+    today = _today(spark, [("a", "2"), ("c", "1")], days[1])
+    _, want = scd.delta_cycle(today, first, days[1])
+    want = rows(want)
+
+    def broken(name):
+        if name == step:
+            raise RuntimeError(f"broke off before {name}")
+
+    monkeypatch.setattr(tables, "_step", broken)
+    _, closed, active = scd.delta_changes(today, tables.read_scd(spark, path), days[1])
+    with pytest.raises(RuntimeError):
+        tables.update_scd(closed, active, path, "2024-01-02")
+    assert rows(tables.read_scd(spark, path)) == before
+    assert tables.published(spark, path)[0] == 0
+    monkeypatch.setattr(tables, "_step", lambda name: None)
+    _, closed, active = scd.delta_changes(today, tables.read_scd(spark, path), days[1])
+    tables.update_scd(closed, active, path, "2024-01-02")
+    assert rows(tables.read_scd(spark, path)) == want
+    assert tables.published(spark, path)[1]["closed"] == ["first", "2024-01-02"]

@@ -6,6 +6,8 @@ Parquet unless a function says otherwise.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
@@ -194,14 +196,53 @@ def _laid_out(df: DataFrame, run: str, iso_col: str) -> DataFrame:
     return spread.sortWithinPartitions(*LAYOUT, *order)
 
 
+VERSIONS = "_versions"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def published(spark: SparkSession, target: str) -> tuple[int, dict] | None:
+    """The latest pointer of a stored versioned table: (number, {"active": run, "closed": [runs]})."""
+    fs, where = _hadoop(spark, f"{target.rstrip('/')}/{VERSIONS}")
+    if not fs.exists(where):
+        return None
+    numbers = [int(s.getPath().getName()[:-5]) for s in fs.listStatus(where) if s.getPath().getName().endswith(".json")]
+    if not numbers:
+        return None
+    latest = max(numbers)
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{VERSIONS}/{latest:020d}.json"))
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return latest, json.loads(text)
+
+
+def _publish(spark: SparkSession, target: str, number: int, state: dict) -> None:
+    """Makes ``state`` the table's state: one new pointer file, created only if no other writer made it."""
+    fs, where = _hadoop(spark, f"{target.rstrip('/')}/{VERSIONS}/{number:020d}.json")
+    out = fs.create(where, False)  # fails where another run published this number first
+    try:
+        out.write(bytearray(json.dumps(state, sort_keys=True).encode()))
+    finally:
+        out.close()
+
+
 def write_scd(df: DataFrame, target: str, iso_col: str = "iso_code") -> None:
     """A complete versioned table, replacing what is there.
 
     Folders split active from closed rows, and closed rows by the day they ended and the run
     that closed them. :func:`read_scd` uses these columns and drops them;
-    :func:`update_scd` writes the next state without touching the closed rows.
+    :func:`update_scd` writes the next state without touching the closed rows. A path gets
+    a pointer (``_versions``) that names its active generation and its closed runs.
     """
     _save(_laid_out(df, "first", iso_col).write.mode("overwrite").partitionBy(*LAYOUT), target)
+    if _is_path(target):
+        _publish(df.sparkSession, target, 0, {"active": "open", "closed": ["first"]})
 
 
 def read_scd(
@@ -210,9 +251,17 @@ def read_scd(
     """A table of :func:`write_scd` without its layout columns.
 
     ``state`` (``"active"`` or ``"closed"``) and ``closed_since`` (active rows, and rows closed
-    on that day or later) name folders, so other files are not opened.
+    on that day or later) name folders, so other files are not opened. Where the table has a
+    pointer, only the folders it names are read: what a run wrote before it published is not.
     """
     stored = read_table(spark, target)
+    pointer = published(spark, target) if _is_path(target) else None
+    if pointer is not None:
+        _, now = pointer
+        stored = stored.where(
+            ((F.col(STATE) == "active") & (F.col(RUN) == now["active"]))
+            | ((F.col(STATE) == "closed") & F.col(RUN).isin(*now["closed"]))
+        )
     if state is not None:
         stored = stored.where(F.col(STATE) == state)
     if closed_since is not None:
@@ -225,17 +274,37 @@ def update_scd(closed: DataFrame, active: DataFrame, target: str, run: str, iso_
 
     ``run`` names the run, e.g. its hour. Rows closed by earlier runs stay in their files. Both
     frames may be derived from ``target``: they are computed and written to the shared folder
-    before anything changes. A run that broke off can be repeated from the same inputs, as
-    its closed rows have folders of their own.
+    before anything changes. The closed rows go to folders of this run and the active rows to
+    a new generation folder; neither is read until a new pointer names them, which is the last
+    step. A run that breaks off at any point leaves the previous state, and can be repeated
+    from the same inputs. Generations older than the previous one are removed afterwards.
     """
     if not _is_path(target):
         raise ValueError("update_scd needs a path")
-    with scratch(active.sparkSession):
+    spark = active.sparkSession
+    pointer = published(spark, target)
+    number, before = pointer if pointer is not None else (-1, {"active": "open", "closed": ["first"]})
+    generation = f"open-{run}-{uuid.uuid4().hex[:12]}"
+    with scratch(spark):
         closed, active = checkpointed(closed), checkpointed(active)
         writer = _laid_out(closed, run, iso_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        _step("closed")
         writer.partitionBy(*LAYOUT).parquet(target)
-        folder = f"{target.rstrip('/')}/{STATE}=active/{CLOSED_DAY}={OPEN_DAY}/{RUN}=open"
-        _laid_out(active, run, iso_col).drop(*LAYOUT).write.mode("overwrite").parquet(folder)
+        folder = f"{target.rstrip('/')}/{STATE}=active/{CLOSED_DAY}={OPEN_DAY}/{RUN}={generation}"
+        _step("active")
+        _laid_out(active, run, iso_col).drop(*LAYOUT).write.mode("errorifexists").parquet(folder)
+        _step("publish")
+        runs = [r for r in before["closed"] if r != run] + [run]
+        _publish(spark, target, number + 1, {"active": generation, "closed": runs})
+    fs, root = _hadoop(spark, f"{target.rstrip('/')}/{STATE}=active/{CLOSED_DAY}={OPEN_DAY}")
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{RUN}=") and name[len(RUN) + 1 :] not in (generation, before["active"]):
+            fs.delete(status.getPath(), True)
+
+
+def _step(name: str) -> None:
+    """A place where tests make a run break off."""
 
 
 def event_batches(
