@@ -27,16 +27,17 @@ in UTF-8 byte order; other columns of ``docs`` are ignored, whatever their names
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import python_ready
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, shared_folder
 
 # Fixed values of the contract: piece and word separators, A-Z only lowered.
 PIECE = "[.,;:!?\\x0A-\\x0D]"
@@ -49,7 +50,6 @@ TOP = 2000
 TILE = 1024
 CHUNK = 1 << 21
 FLUSH = 1 << 22
-_PIECE_RE, _GAP_RE = re.compile("[.,;:!?\n\x0b\x0c\r]"), re.compile("[ \t]+")
 
 
 def _dense_ids(df: DataFrame, *order) -> DataFrame:
@@ -72,41 +72,106 @@ def _chunks(dictionary: DataFrame, columns: list[str], size: int, chunk: int) ->
         yield dictionary.where(F.col("id").between(first, first + chunk - 1)).select(*columns).toArrow()
 
 
-def _encode(texts: DataFrame, words: DataFrame, chunk: int) -> DataFrame:
-    """Per document: ``x``, the word ids with -1 for rare words and after each piece; ``g`` = ``x``."""
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder, and where, so that it can be dropped once read."""
+    path = f"{shared_folder(df.sparkSession)}/phrases-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _drop(spark, path: str) -> None:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def word_ids(texts: pa.Array, langs: np.ndarray, lookup) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words of lowered ``texts`` with -1 after each piece, and the rows' bounds.
+
+    ``lookup(lang, words)`` gives ids (-1 where unknown) for an array of words of one language.
+    """
+    pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), PIECE)
+    piece_rows = np.asarray(pieces.offsets) - np.asarray(pieces.offsets)[0]
+    flat_pieces = pieces.flatten()
+    words = pc.split_pattern_regex(flat_pieces, GAP)
+    word_rows = np.asarray(words.offsets) - np.asarray(words.offsets)[0]
+    flat_words = words.flatten()
+    n_pieces = len(flat_pieces)
+    piece_of = np.repeat(np.arange(n_pieces), np.diff(word_rows))
+    keep = np.asarray(pc.greater(pc.binary_length(flat_words), 0), bool) if len(flat_words) else np.zeros(0, bool)
+    ids = np.full(len(flat_words), -1, np.int64)
+    lang_of = langs[np.repeat(np.arange(len(texts)), np.diff(piece_rows))][piece_of] if len(piece_of) else langs[:0]
+    for lang in np.unique(lang_of[keep]) if keep.any() else []:
+        chosen = np.flatnonzero(keep & (lang_of == lang))
+        ids[chosen] = lookup(lang, flat_words.take(pa.array(chosen)).to_numpy(zero_copy_only=False))
+    ids, piece_of = ids[keep], piece_of[keep]
+    per_piece = np.bincount(piece_of, minlength=n_pieces) + 1
+    starts = np.concatenate(([0], np.cumsum(per_piece)))
+    out = np.full(starts[-1], -1, np.int64)
+    before = np.concatenate(([0], np.cumsum(per_piece - 1)))
+    out[starts[piece_of] + np.arange(len(ids)) - before[piece_of]] = ids
+    return out, starts[piece_rows]
+
+
+_INDEXES: dict = {}
+
+
+def _encode(texts: DataFrame, words: DataFrame, chunk: int, tile: int) -> tuple[DataFrame, str | None]:
+    """Per document ``x``, the word ids with -1 for rare words and after each piece, and ``g`` = ``x``;
+    with them the task's counts of word pairs (one written table of :data:`LEVEL`)."""
     spark = texts.sparkSession
     size = words.count()
-    encoded = texts.withColumn("x", F.lit(None).cast("array<int>"))
-    for table in _chunks(words, ["lang", "word", "id"], size, chunk) if size else [None]:
-        known: dict[str, dict[str, int]] = {}
-        if table is not None:
-            for lang, word, wid in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "id")), strict=True):
-                known.setdefault(lang, {})[word] = wid
-        shared = spark.sparkContext.broadcast(known)
-
-        def encode(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = shared.value
+    encoded, path = texts.withColumn("x", F.lit(None).cast("array<int>")), None
+    rounds = list(_chunks(words, ["lang", "word", "id"], size, chunk)) if size else []
+    for number, table in enumerate(rounds):
+        known: dict[str, tuple[list[str], np.ndarray]] = {}
+        frame = table.to_pandas()
+        for lang, part in frame.groupby("lang", sort=False):
+            known[lang] = (part["word"].tolist(), part["id"].to_numpy(np.int64))
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, known))  # at most ``chunk`` words
+        carry = number + 1 < len(rounds)
+
+        def encode(batches: Iterator[pa.RecordBatch], shared=shared, carry=carry) -> Iterator[pa.RecordBatch]:
+            import pandas as pd
+
+            key, known = shared.value
+            if key not in _INDEXES:
+                _INDEXES.clear()
+                _INDEXES[key] = {lang: (pd.Index(w), i) for lang, (w, i) in known.items()}
+            indexes = _INDEXES[key]
+
+            def lookup(lang, values):
+                if lang not in indexes:
+                    return np.full(len(values), -1, np.int64)
+                index, ids = indexes[lang]
+                at = index.get_indexer(values)
+                return np.where(at >= 0, ids[np.maximum(at, 0)], -1)
+
+            tally = Tally(1, tile)
             for batch in batches:
-                langs, texts, before = (batch.column(c).to_pylist() for c in ("lang", "text", "x"))
-                out = []
-                for lang, text, prior in zip(langs, texts, before, strict=True):
-                    ids = known.get(lang, {})
-                    got = [
-                        i
-                        for piece in _PIECE_RE.split(text)
-                        for i in (*(ids.get(w, -1) for w in _GAP_RE.split(piece) if w), -1)
-                    ]
-                    if prior is not None:
-                        got = np.maximum(np.asarray(got, np.int32), np.asarray(prior, np.int32)).tolist()
-                    out.append(got)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang"), batch.column("text"), pa.array(out, pa.list_(pa.int32()))],
-                    names=["lang", "text", "x"],
-                )
-
-        encoded = checkpointed(encoded.mapInArrow(encode, "lang string, text string, x array<int>"))
+                langs = np.asarray(batch.column("lang").to_pylist(), object)
+                x, rows = word_ids(batch.column("text"), langs, lookup)
+                prior = batch.column("x")
+                if prior.null_count < len(prior):
+                    x = np.maximum(x, _flat(batch, "x")[0])
+                if carry:
+                    column = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(x.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("lang"), batch.column("text"), column], names=["lang", "text", "x"]
+                    )
+                else:
+                    yield _arrays(rows, x, x)
+                    yield from tally.add(x, x)
+            if not carry:
+                yield from tally.finish()
+
+        schema = "lang string, text string, x array<int>" if carry else LEVEL
+        encoded, written = _stored(encoded.mapInArrow(encode, schema))
+        if path:
+            _drop(spark, path)
+        path = written
         shared.unpersist()
-    return encoded.select("x", F.col("x").alias("g"))
+    return encoded, path
 
 
 def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -117,74 +182,97 @@ def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs(x: np.ndarray, g: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """(left, right) of every place where a frequent phrase of ``span`` words is followed by a frequent word."""
+    """(left, right) of every place where a frequent phrase of ``span`` words is followed by a frequent word
+    and the phrase of its last ``span`` words is frequent too (else the longer one cannot be)."""
     if len(x) <= span:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     left, right = g[: len(g) - span], x[span:]
-    ok = (left >= 0) & (right >= 0)
+    ok = (left >= 0) & (right >= 0) & (g[1 : len(g) - span + 1] >= 0)
     return left[ok], right[ok]
 
 
-def _count_pairs(encoded: DataFrame, span: int, tile: int) -> DataFrame:
-    """Partial counts (p, w, c) of one level, from a dense tile and sorted COO keys in each task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(tile * tile, np.int64)
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        held = 0
-
-        def sparse_out() -> pa.RecordBatch:
-            k, c = np.concatenate(keys), np.concatenate(counts)
-            merged, at = np.unique(k, return_inverse=True)
-            summed = np.bincount(at, weights=c, minlength=len(merged)).astype(np.int64)
-            keys.clear()
-            counts.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array((merged >> 32).astype(np.int32)), pa.array((merged & 0xFFFFFFFF).astype(np.int32)), pa.array(summed)],
-                names=["p", "w", "c"],
-            )
-
-        for batch in batches:
-            x, _ = _flat(batch, "x")
-            g, _ = _flat(batch, "g")
-            p, w = _pairs(x, g, span)
-            small = (p < tile) & (w < tile)
-            dense += np.bincount(p[small] * tile + w[small], minlength=tile * tile)
-            k = (p[~small] << 32) | w[~small]
-            if len(k):
-                unique, runs = np.unique(k, return_counts=True)
-                keys.append(unique)
-                counts.append(runs)
-                held += len(unique)
-            if held > FLUSH:
-                yield sparse_out()
-                held = 0
-        if keys:
-            yield sparse_out()
-        cells = np.flatnonzero(dense)
+LEVEL = "kind int, x array<int>, g array<int>, p int, w int, c long"
+
+
+class Tally:
+    """A task's partial pair counts: a dense tile for small ids, sorted COO keys for the rest."""
+
+    def __init__(self, span: int, tile: int):
+        self.span, self.tile = span, tile
+        self.dense = np.zeros(tile * tile, np.int64)
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, x: np.ndarray, g: np.ndarray) -> Iterator[pa.RecordBatch]:
+        p, w = _pairs(x, g, self.span)
+        small = (p < self.tile) & (w < self.tile)
+        self.dense += np.bincount(p[small] * self.tile + w[small], minlength=self.tile * self.tile)
+        k = (p[~small] << 32) | w[~small]
+        if len(k):
+            unique, runs = np.unique(k, return_counts=True)
+            self.keys.append(unique)
+            self.counts.append(runs)
+            self.held += len(unique)
+        if self.held > FLUSH:
+            yield self._sparse()
+
+    def _sparse(self) -> pa.RecordBatch:
+        merged, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        summed = np.bincount(at, weights=np.concatenate(self.counts), minlength=len(merged)).astype(np.int64)
+        self.keys, self.counts, self.held = [], [], 0
+        return _counted((merged >> 32).astype(np.int32), (merged & 0xFFFFFFFF).astype(np.int32), summed)
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        if self.keys:
+            yield self._sparse()
+        cells = np.flatnonzero(self.dense)
         if len(cells):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((cells // tile).astype(np.int32)), pa.array((cells % tile).astype(np.int32)), pa.array(dense[cells])],
-                names=["p", "w", "c"],
-            )
+            yield _counted((cells // self.tile).astype(np.int32), (cells % self.tile).astype(np.int32), self.dense[cells])
+
 
-    return encoded.mapInArrow(count, "p int, w int, c long").groupBy("p", "w").agg(F.sum("c").alias("f"))
+def _counted(p: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    n = len(p)
+    ints = pa.list_(pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(n, np.int32)), pa.nulls(n, ints), pa.nulls(n, ints), pa.array(p), pa.array(w), pa.array(c)],
+        names=["kind", "x", "g", "p", "w", "c"],
+    )
+
+
+def _arrays(rows: np.ndarray, x: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+    n = len(rows) - 1
+    offsets = pa.array(rows, pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))),
+         pa.ListArray.from_arrays(offsets, pa.array(g.astype(np.int32))), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
+         pa.nulls(n, pa.int64())],
+        names=["kind", "x", "g", "p", "w", "c"],
+    )
 
 
-def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk: int) -> DataFrame:
+def _split(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The id arrays, and the summed counts of the next level, of one written pass."""
+    counts = stored.where(F.col("kind") == 1).groupBy("p", "w").agg(F.sum("c").alias("f"))
+    return stored.where(F.col("kind") == 0).select("x", "g"), counts
+
+
+def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk: int, tile: int) -> tuple[DataFrame, str]:
     """``g`` moved one word on: the id of the frequent phrase of ``span + 1`` words at each place, else -1."""
     spark = encoded.sparkSession
-    moved = encoded.withColumn("h", F.lit(None).cast("array<int>"))
-    for table in _chunks(grams, ["p", "w", "id"], size, chunk):
+    moved, path = encoded.withColumn("h", F.lit(None).cast("array<int>")), None
+    rounds = list(range(0, size, chunk))
+    for number, table in enumerate(_chunks(grams, ["p", "w", "id"], size, chunk)):
+        last = number + 1 == len(rounds)
         order = np.argsort(
             (np.asarray(table.column("p"), np.int64) << 32) | np.asarray(table.column("w"), np.int64), kind="stable"
         )
         keys = ((np.asarray(table.column("p"), np.int64) << 32) | np.asarray(table.column("w"), np.int64))[order]
         shared = spark.sparkContext.broadcast((keys, np.asarray(table.column("id"), np.int32)[order]))
 
-        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def look(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             keys, ids = shared.value
+            tally = Tally(span + 1, tile)
             for batch in batches:
                 x, rows = _flat(batch, "x")
                 g, _ = _flat(batch, "g")
@@ -200,12 +288,21 @@ def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk:
                 if old.null_count < len(old):
                     prior, _ = _flat(batch, "h")
                     h = np.maximum(h, prior)
-                arrays = [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(v.astype(np.int32))) for v in (x, g, h)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["x", "g", "h"])
-
-        moved = checkpointed(moved.mapInArrow(look, "x array<int>, g array<int>, h array<int>"))
+                if last:
+                    yield _arrays(rows, x, h)
+                    yield from tally.add(x, h)
+                else:
+                    arrays = [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(v.astype(np.int32))) for v in (x, g, h)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["x", "g", "h"])
+            if last:
+                yield from tally.finish()
+
+        moved, written = _stored(moved.mapInArrow(look, LEVEL if last else "x array<int>, g array<int>, h array<int>"))
+        if path:
+            _drop(spark, path)
+        path = written
         shared.unpersist()
-    return moved.select("x", F.col("h").alias("g"))
+    return moved, path
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, tile: int = TILE, chunk: int = CHUNK):
@@ -218,7 +315,6 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"),
         F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER).alias("text"),
     )
-    texts = checkpointed(texts)
     tokens = texts.select("lang", F.explode(F.split("text", f"{PIECE}|{GAP}")).alias("word")).where("word <> ''")
     counted = checkpointed(tokens.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")))
     totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
@@ -226,11 +322,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     size = words.count()
     level = words.select("lang", "id", F.array("word").alias("words"), "f")
     levels = [level]
-    encoded = _encode(texts, words, chunk) if size else None
+    stored, path = _encode(texts, words, chunk, tile) if size else (None, None)
     for span in range(1, longest):
-        if encoded is None or size == 0:
+        if stored is None or size == 0:
             break
-        grams = _count_pairs(encoded, span, tile).where(F.col("f") >= least)
+        encoded, counts = _split(stored)
+        grams = counts.where(F.col("f") >= least)
         grams = checkpointed(_dense_ids(grams, F.desc("f"), "p", "w"))
         size = grams.count()
         left, right = level.alias("l"), words.alias("r")
@@ -241,8 +338,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             .select("l.lang", F.col("g.id").alias("id"), F.concat("l.words", F.array("r.word")).alias("words"), "g.f")
         )
         levels.append(level)
+        stored = None
         if span + 1 < longest and size:
-            encoded = checkpointed(_advance(encoded, grams, size, span, chunk))
+            stored, moved = _advance(encoded, grams, size, span, chunk, tile)
+            _drop(docs.sparkSession, path)
+            path = moved
+    if path:
+        _drop(docs.sparkSession, path)
     phrases = levels[0]
     for more in levels[1:]:
         phrases = phrases.unionByName(more)
