@@ -142,3 +142,24 @@ def test_top_match_per_profile(spark):
     assert top.count() == matches.select("profile_a").distinct().count()
     best = matches.groupBy("profile_a").agg(F.max("match_quality").alias("q"))
     assert top.join(best, "profile_a").where("match_quality <> q").count() == 0
+
+
+def test_candidate_keys_are_never_broadcast_and_stand_in_the_plan_once(spark):
+    """Keys are many times their profiles: a broadcast of them, or a plan with a copy per score, fills the driver."""
+    from tidemark.session import checkpointed
+
+    a, b = random_side(spark, 7, 80), random_side(spark, 8, 60)
+    left, right = checkpointed(matching.profiles(a)), checkpointed(matching.profiles(b))
+    pairs = matching.candidate_pairs(left, right)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    keyed_joins = [line for line in plan.splitlines() if "Join" in line and ("block" in line or "name_key" in line)]
+    assert keyed_joins and all("SortMergeJoin" in line for line in keyed_joins)
+    assert len(pairs._jdf.queryExecution().optimizedPlan().toString()) < 120_000
+
+
+def test_blocks_compared_whole_and_by_name_keys_give_the_same_results(spark, monkeypatch):
+    a, b = random_side(spark, 9, 120), random_side(spark, 10, 100)
+    want = rows(brute_force(a, b, matching.WEIGHTS, matching.THRESHOLD))
+    for most in (0, 12, 10**6):
+        monkeypatch.setattr(matching, "PAIRS_PER_ROW", most)
+        assert rows(matching.match_establishments(a, b).select("id_source_1", "id_source_2", "match_quality")) == want

@@ -24,8 +24,10 @@ pair needs, ``t(S)``. Its keys combine the values of S with name keys for ``t(S)
   they are sorted from rare to frequent (the prefix filter of set-similarity joins).
 
 Where ``t(S)`` is below :data:`LEAST_NAME` the values of S alone are the key; S is then at
-least two fields or holds a strong one. Every result shares a key of its own S, so none is
-lost; weights that would need a key without any field and a loose name are refused.
+least two fields or holds a strong one. They are also the key alone where so few profiles
+share them that comparing all of these is cheaper (:data:`PAIRS_PER_ROW`). Every result
+shares a key of its own S, so none is lost; weights that would need a key without any field
+and a loose name are refused.
 
 Copies are matched once: both sides are first reduced to distinct normalised profiles.
 """
@@ -59,6 +61,8 @@ STREET_ABBREVIATIONS = {
 #: Below this least name score a key is the equal fields alone (name keys would match nearly anything).
 LEAST_NAME = 0.6
 SLACK = 1e-5  # scores are rounded to 6 places
+#: A block with at most this many pairs per profile is compared whole: fewer rows than its name keys.
+PAIRS_PER_ROW = 12
 
 FIELDS = ("name", "zip", "city", "street", "email", "phone", "website", "legal_id")
 PROFILE = ("iso_code", "name", "zip", "city", "street", "street_no", "email", "domain", "phone", "website", "legal_id")
@@ -167,17 +171,17 @@ def least_names(weights: Mapping[str, float], threshold: float) -> dict[frozense
     return out
 
 
-def _rare(column: str, share: float, side: str) -> Column:
+def _rare(column: str, share: Column, side: str) -> Column:
     """Hashes of the rare items of sorted array ``column``, one prefix per size a partner can have.
 
     Both sizes are part of the hash, in the order (first source, second source).
     """
     n = F.size(column)
-    least = F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
-    most = F.floor(n / F.lit(share) + F.lit(1e-9)).cast("int")
+    least = F.ceil(n * share - F.lit(1e-9)).cast("int")
+    most = F.floor(n / share + F.lit(1e-9)).cast("int")
 
     def prefix(m: Column) -> Column:
-        common = F.ceil((n + m) * F.lit(share / (1 + share)) - F.lit(1e-9)).cast("int")
+        common = F.ceil((n + m) * (share / (share + 1)) - F.lit(1e-9)).cast("int")
         first, second = (n, m) if side == "a" else (m, n)
         return F.transform(
             F.slice(column, 1, F.greatest(n - common + 1, F.lit(0))),
@@ -193,16 +197,16 @@ def _span(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
-def _segments(length: Column, t: float) -> tuple[Column, Column, Column, Column]:
+def _segments(length: Column, t: Column) -> tuple[Column, Column, Column, Column]:
     """tau, and for segment ``i``: functions of start (from 0) and length, of the even partition in tau + 1."""
-    tau = F.floor(length * F.lit(1 - t) + F.lit(1e-9)).cast("int")
+    tau = F.floor(length * (F.lit(1.0) - t) + F.lit(1e-9)).cast("int")
     k = tau + 1
     base = F.floor(length / k).cast("int")
     short = k - (length - base * k)  # segments of length base; the rest have base + 1
     return tau, k, base, short
 
 
-def _edit_keys(t: float, own: str, other: str) -> Column:
+def _edit_keys(t: Column, own: str, other: str) -> Column:
     """Partition-filter keys of the compact name: own segments tagged ``own``, probes for longer partners ``other``."""
     s = F.col("compact")
     length = F.coalesce(F.length(s), F.lit(0))
@@ -232,19 +236,34 @@ def _edit_keys(t: float, own: str, other: str) -> Column:
             F.array().cast("array<bigint>")
         )
 
-    theirs = F.flatten(F.transform(_span(length, F.floor(length / F.lit(t) + F.lit(1e-9)).cast("int")), probes))
+    theirs = F.flatten(F.transform(_span(length, F.floor(length / t + F.lit(1e-9)).cast("int")), probes))
     return F.when(length > 0, F.concat(mine, theirs)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _crossed(anchors: Column, name_keys: Column) -> Column:
-    """Every anchor combined with every name key."""
-    return F.flatten(F.transform(anchors, lambda x: F.transform(name_keys, lambda w: F.xxhash64(x, w))))
+def _blocks(df: DataFrame, needs: Mapping[frozenset, float]) -> DataFrame:
+    """A profile's blocks: for each set of equal fields its values (``block``) and the name score they need."""
+    values = {"z": F.col("zip"), "n": F.col("street_no"), "d": F.col("domain"), "l": F.col("legal_id")}
+    strong = {"e": F.col("email"), "p": F.col("phone"), "w": F.col("website")}
+    blocks = []
+    for fields, t in needs.items():
+        tag = "".join(sorted(fields)) + f"|{t:.6f}"
+        plain_fields = [values[f] for f in sorted(fields) if f != "c"]
+        variants = [(c, v) for c, v in strong.items()] if "c" in fields else [("", None)]
+        for kind, value in variants:
+            cols = plain_fields + ([value] if value is not None else [])
+            present = F.lit(True)
+            for c in cols:
+                present = present & c.isNotNull()
+            block = F.xxhash64(F.lit(tag + kind), F.col("iso_code"), *cols)
+            blocks.append(F.when(present, F.struct(F.lit(t).alias("need"), block.alias("block"))))
+    return df.select("profile_id", "name", F.inline(F.array_compact(F.array(*blocks))))
 
 
-def _keys(df: DataFrame, frequent: Column, needs: Mapping[frozenset, float], side: str) -> DataFrame:
-    """Candidate keys of a profile: for each set of equal fields, its values with keys of the name it needs.
+def _name_keys(named: DataFrame, frequent: Column, side: str) -> DataFrame:
+    """``named`` (``block``, ``need``, ``name``) with the name keys for the needed score, one a row.
 
     A hash collision only adds a candidate. Words and codes are sorted from rare to frequent.
+    The score is a column, so the expression stands in the plan once and not once per score.
     """
     def by_rarity(items: Column, tag: str) -> Column:
         ordered = F.array_sort(
@@ -257,39 +276,16 @@ def _keys(df: DataFrame, frequent: Column, needs: Mapping[frozenset, float], sid
         )
         return F.transform(ordered, lambda x: x["w"])
 
-    df = df.withColumn("_frequent", frequent).select(
-        "*",
+    t = F.col("need")
+    own, other = ("a", "b") if side == "a" else ("b", "a")
+    sorted_names = named.withColumn("_frequent", frequent).select(
+        "block", "need", "name",
         by_rarity(words(F.col("name")), "w:").alias("sorted_words"),
         by_rarity(codes(F.col("name")), "c:").alias("sorted_codes"),
         compact(F.col("name")).alias("compact"),
     )
-    own, other = ("a", "b") if side == "a" else ("b", "a")
-    name_keys = {}
-    for t in sorted(set(needs.values())):
-        if t >= LEAST_NAME:
-            name_keys[t] = F.concat(
-                _rare("sorted_words", t, side), _rare("sorted_codes", t, side), _edit_keys(t, own, other)
-            )
-    values = {"z": F.col("zip"), "n": F.col("street_no"), "d": F.col("domain"), "l": F.col("legal_id")}
-    strong = {"e": F.col("email"), "p": F.col("phone"), "w": F.col("website")}
-    keys = []
-    for fields, t in needs.items():
-        tag = "".join(sorted(fields)) + f"|{t:.6f}"
-        plain_fields = [values[f] for f in sorted(fields) if f != "c"]
-        variants = [(c, v) for c, v in strong.items()] if "c" in fields else [("", None)]
-        anchors = []
-        for kind, value in variants:
-            cols = plain_fields + ([value] if value is not None else [])
-            present = F.lit(True)
-            for c in cols:
-                present = present & c.isNotNull()
-            anchors.append(F.when(present, F.xxhash64(F.lit(tag + kind), F.col("iso_code"), *cols)))
-        anchors = F.array_compact(F.array(*anchors))
-        if t < LEAST_NAME:
-            keys.append(anchors)
-        else:
-            keys.append(_crossed(anchors, name_keys[t]))
-    return df.select("profile_id", F.explode(F.array_distinct(F.flatten(F.array(*keys)))).alias("block"))
+    keys = F.concat(_rare("sorted_words", t, side), _rare("sorted_codes", t, side), _edit_keys(t, own, other))
+    return sorted_names.select("block", "name", F.explode(F.array_distinct(keys)).alias("name_key"))
 
 
 def frequent_words(*sides: DataFrame, least_share: float = 1e-3) -> DataFrame:
@@ -317,9 +313,35 @@ def candidate_pairs(
     frequent = frequent_words(a, b).agg(
         F.map_from_entries(F.collect_list(F.struct("w", "n"))).alias("m")
     ).scalar()
-    keys_a = _keys(a, frequent, needs, "a").withColumnRenamed("profile_id", "profile_a")
-    keys_b = _keys(b, frequent, needs, "b").withColumnRenamed("profile_id", "profile_b")
-    return keys_a.join(keys_b, "block").select("profile_a", "profile_b").distinct()
+    blocks_a, blocks_b = _blocks(a, needs), _blocks(b, needs)
+    sizes = _shuffled_join(
+        blocks_a.groupBy("block").agg(F.first("need").alias("need"), F.count(F.lit(1)).alias("n_a")),
+        blocks_b.groupBy("block").agg(F.count(F.lit(1)).alias("n_b")),
+        ["block"],
+    )
+    whole = (F.col("need") < LEAST_NAME) | (F.col("n_a") * F.col("n_b") <= PAIRS_PER_ROW * (F.col("n_a") + F.col("n_b")))
+    sizes = checkpointed(sizes.select("block", whole.alias("whole")))
+    ids_a = blocks_a.withColumnRenamed("profile_id", "profile_a")
+    ids_b = blocks_b.withColumnRenamed("profile_id", "profile_b")
+
+    in_whole = _shuffled_join(ids_a, sizes.where("whole"), ["block"])
+    pairs = _shuffled_join(in_whole.select("block", "profile_a"), ids_b.select("block", "profile_b"), ["block"])
+
+    # A name that many profiles of a block carry gets its keys, and its partners, once.
+    keyed = sizes.where(~F.col("whole")).select("block")
+    in_a, in_b = _shuffled_join(ids_a, keyed, ["block"]), _shuffled_join(ids_b, keyed, ["block"])
+    keys_a = _name_keys(in_a.select("block", "need", "name").distinct(), frequent, "a").withColumnRenamed("name", "name_a")
+    keys_b = _name_keys(in_b.select("block", "need", "name").distinct(), frequent, "b").withColumnRenamed("name", "name_b")
+    names = _shuffled_join(keys_a, keys_b, ["block", "name_key"]).select("block", "name_a", "name_b").distinct()
+    found = _shuffled_join(names, in_a.select("block", F.col("name").alias("name_a"), "profile_a"), ["block", "name_a"])
+    found = _shuffled_join(found, in_b.select("block", F.col("name").alias("name_b"), "profile_b"), ["block", "name_b"])
+    return pairs.select("profile_a", "profile_b").unionByName(found.select("profile_a", "profile_b")).distinct()
+
+
+def _shuffled_join(x: DataFrame, y: DataFrame, on: Sequence[str]) -> DataFrame:
+    """An inner join that is never broadcast: both sides are many times the profiles they come from,
+    which the planner's size estimate does not see, and a broadcast passes through the driver."""
+    return x.hint("merge").join(y.hint("merge"), list(on))
 
 
 def _ratio(x: Column, y: Column) -> Column:
