@@ -130,3 +130,17 @@ def test_checkpoints_go_to_the_folder_the_session_names(spark):
     assert files and all(named in f for f in files)
     untyped = spark.range(3).withColumn("hole", F.lit(None))
     assert checkpointed(untyped).count() == 3
+
+
+def test_latest_price_meets_each_line_once(spark):
+    """Lines are joined with one row per price key, and are neither grouped nor joined back."""
+    day = lambda d: date(2024, 1, d)
+    lines = spark.createDataFrame(
+        [(1, "p", day(5)), (2, "p", day(15)), (3, "p", day(25)), (4, None, day(5)), (5, "q", day(5)), (6, "p", None)],
+        "i int, k string, at date")
+    prices = spark.createDataFrame(
+        [("p", day(1), day(20), 1.0), ("p", day(10), day(30), 2.0), ("p", day(10), day(30), None), ("q", day(9), day(1), 3.0),
+         (None, day(1), day(30), 4.0), ("p", day(1), None, 5.0)], "k2 string, a date, b date, price double")
+    found = joins.price_lookup(lines, prices, [("k", "k2")], "at", "a", "b", {"price": "found"}, "latest_start", ["i"])
+    assert rows(found, "i", "found") == [(1, 1.0), (2, 2.0), (3, 2.0), (4, None), (5, None), (6, None)]
+    assert len(re.findall(r"\w+Join ", plan_of(found).split("Initial Plan")[0])) == 1

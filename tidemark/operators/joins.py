@@ -183,12 +183,20 @@ def price_lookup(
         return lines.join(side, cond, "left").drop(*helpers)
     if pick != "latest_start":
         raise ValueError(f"unknown pick {pick!r}")
-    wanted = lines.select(*dict.fromkeys([*line_id, *[line for line, _ in on], at]))
-    hits = wanted.join(side, cond).groupBy(*line_id).agg(
-        F.max(F.struct("_start", "_end", *values.values())).alias("_hit")
-    )
-    joined = null_safe_join(lines, hits, line_id, "left")
-    return joined.withColumns({n: F.col("_hit")[n] for n in values.values()}).drop("_hit")
+    # A price's periods become one array per key, so a line meets one row and is neither grouped nor joined back.
+    keys = [f"_price_{i}" for i in range(len(on))]
+    known = side.where(F.col("_start") <= F.col("_end"))
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    periods = known.groupBy(*keys).agg(F.collect_set(F.struct("_start", "_end", *values.values())).alias("_periods"))
+    periods = periods.withColumn("_price_route", route(*keys))
+    here = route(*[line for line, _ in on]) == F.col("_price_route")
+    for k, (line, _) in zip(keys, on):
+        here = here & (F.col(line) == F.col(k))
+    joined = lines.join(periods, here, "left")
+    valid = F.filter("_periods", lambda p: F.col(at).between(p["_start"], p["_end"]))
+    hit = F.array_max(valid)
+    return joined.withColumns({n: hit[n] for n in values.values()}).drop("_periods", "_price_route", *keys)
 
 
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
