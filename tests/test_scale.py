@@ -144,3 +144,23 @@ def test_latest_price_meets_each_line_once(spark):
     found = joins.price_lookup(lines, prices, [("k", "k2")], "at", "a", "b", {"price": "found"}, "latest_start", ["i"])
     assert rows(found, "i", "found") == [(1, 1.0), (2, 2.0), (3, 2.0), (4, None), (5, None), (6, None)]
     assert len(re.findall(r"\w+Join ", plan_of(found).split("Initial Plan")[0])) == 1
+
+
+def test_a_merge_judges_once_and_leaves_rows_out_of_scope_unshuffled(spark):
+    """The closed rows are read from what was judged; rows out of scope pass by a broadcast of the scopes."""
+    far, start = datetime(2099, 12, 31), datetime(2024, 1, 1)
+    active = spark.createDataFrame(
+        [("k1", "r1", start, far, True, "DE", "A"), ("k2", "r2", start, far, True, "DE", "A"),
+         ("k3", "r3", start, far, True, "FR", "A"), ("k4", "r4", start, far, True, None, "A"), ("k4", "r4", start, far, True, None, "A")],
+        HASHED + ", iso_code string, original_request string")
+    staging = spark.createDataFrame(
+        [("k1", "r1", "DE", "A"), ("k2", "new", "DE", "A"), ("k5", "r5", None, "A")],
+        "_keyhash string, _rowhash string, iso_code string, original_request string")
+    closed, kept = scd.scd2_changes(active, staging, datetime(2024, 5, 1, 10, 30))
+    assert "Join" not in plan_of(closed)
+    assert rows(closed, "_keyhash", "_rowhash", "_valid_flag") == [("k2", "r2", False)]
+    assert rows(kept.where("_valid_flag"), "_keyhash", "_rowhash") == [
+        ("k1", "r1"), ("k2", "new"), ("k3", "r3"), ("k4", "r4"), ("k4", "r4"), ("k5", "r5")]
+    merged = scd.scd2_merge(active, staging, datetime(2024, 5, 1, 10, 30))
+    assert rows(merged, "_keyhash", "_rowhash", "_valid_flag") == rows(
+        closed.unionByName(kept), "_keyhash", "_rowhash", "_valid_flag")

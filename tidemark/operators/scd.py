@@ -28,6 +28,7 @@ from tidemark.functions.clock import (
 from tidemark.functions.hashing import KEYHASH, ROWHASH
 from tidemark.operators.joins import join_unique, versions_not_in
 from tidemark.operators.ordering import lag_in_key
+from tidemark.session import checkpointed
 
 VERSION = (KEYHASH, ROWHASH)
 
@@ -148,8 +149,8 @@ def scd2_merge(
     on insert.
     """
     active, others = _split_active(hist, source_col, source)
-    updated, opened = _merged(active, staging, as_of, scope, close, far_future, clean)
-    return others.unionByName(updated).unionByName(opened)
+    untouched, updated, opened = _merged(active, staging, as_of, scope, close, far_future, clean)
+    return others.unionByName(untouched).unionByName(updated).unionByName(opened)
 
 
 def scd2_changes(
@@ -166,11 +167,13 @@ def scd2_changes(
     """(newly closed, active afterwards): :func:`scd2_merge` for :func:`tables.update_scd`.
 
     ``active`` holds the active rows only; closed ones are neither read nor written again.
+    Both results need the rows in scope after judging; these are computed once.
     """
     mine, others = _split_active(active, source_col, source)
-    updated, opened = _merged(mine, staging, as_of, scope, close, far_future, clean)
-    ended = ~F.col(VALID_FLAG)
-    return updated.where(ended), others.unionByName(updated.where(~ended)).unionByName(opened)
+    untouched, updated, opened = _merged(mine, staging, as_of, scope, close, far_future, clean)
+    updated, ended = checkpointed(updated), ~F.col(VALID_FLAG)
+    kept = others.unionByName(untouched).unionByName(updated.where(~ended))
+    return updated.where(ended), kept.unionByName(opened)
 
 
 def _merged(
@@ -181,20 +184,26 @@ def _merged(
     close: str,
     far_future: datetime,
     clean: Sequence[str],
-) -> tuple[DataFrame, DataFrame]:
-    """(active rows, those that ended closed; rows that open)."""
-    pairs = _marked(staging, VERSION, "_still_there")
-    scopes = _marked(staging, scope, "_in_scope")
-    judged = join_unique(join_unique(active, pairs, VERSION), scopes, scope)
-    ended = F.col("_in_scope").isNotNull() & F.col("_still_there").isNull()
-    updated = _close(judged, ended, close_at(as_of, close), as_of).select(*active.columns)
-
-    fresh = versions_not_in(staging, active)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(active rows out of scope; those in scope, closed where they ended; rows that open).
+
+    The scopes are few and written first, so their size is known when the join is planned and
+    only rows in scope are shuffled to meet their pair in ``staging``.
+    """
+    scopes = checkpointed(_marked(staging, scope, "_in_scope"))
+    placed = join_unique(active, scopes, scope)
+    untouched = placed.where(F.col("_in_scope").isNull()).select(*active.columns)
+    judged = placed.where(F.col("_in_scope").isNotNull()).select(*active.columns)
+    judged = join_unique(judged, _marked(staging, VERSION, "_still_there"), VERSION)
+    updated = _close(judged, F.col("_still_there").isNull(), close_at(as_of, close), as_of).select(*active.columns)
+
+    # Not reduced to distinct pairs first: a pair is active once, and that would shuffle them twice.
+    fresh = join_unique(staging, active.select(*VERSION), VERSION, "left_anti").select(*staging.columns)
     if clean:
         fresh = clean_string_nulls(fresh, clean)
     opened = stamp_scd(fresh, hour_floor(as_of), far_future)
     kinds = {f.name: f.dataType for f in active.schema.fields}
-    return updated, opened.select(*[F.col(c).cast(kinds[c]).alias(c) for c in active.columns])
+    return untouched, updated, opened.select(*[F.col(c).cast(kinds[c]).alias(c) for c in active.columns])
 
 
 def current(hist: DataFrame) -> DataFrame:
