@@ -104,3 +104,19 @@ def test_scan_abandons_most_candidates():
     cosine = data @ target / np.linalg.norm(data, axis=1) / np.linalg.norm(target)
     lost = len(set(np.argsort(-cosine)[:5].tolist()) - set(found.tolist()))
     assert lost <= 1 and scores[0] == pytest.approx(cosine.max())
+
+
+@pytest.mark.parametrize("size", [100, 1 << 25])
+def test_impact_search_keeps_no_matrix_of_taken_postings(monkeypatch, size):
+    """What is still to come of a row follows from how many of its postings were taken; ties and signs included."""
+    shapes, zeros = [], np.zeros
+    monkeypatch.setattr(impact.np, "zeros", lambda shape, *a, **k: shapes.append(shape) or zeros(shape, *a, **k))
+    rng = np.random.default_rng(3)
+    data = rng.integers(-size, size + 1, (700, 24)).astype(float)
+    data[50:60], ids, state = data[50], np.arange(700), {}
+    for q_id in range(0, 700, 50):
+        found, scores = impact.top(q_id, data[q_id], ids, data, state, 5)
+        exact = data.astype(np.int64) @ data[q_id].astype(np.int64)
+        want = [i for i in np.lexsort((ids, -exact)) if i != q_id][:5]
+        assert found.tolist() == want and scores.tolist() == exact[want].tolist()
+    assert all(np.ndim(s) == 0 for s in shapes)

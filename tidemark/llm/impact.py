@@ -29,15 +29,16 @@ class Postings:
         columns = np.ascontiguousarray(self.impacts.T)
         self.order = np.argsort(columns, axis=1, kind="stable")
         self.rising = np.take_along_axis(columns, self.order, axis=1)
+        self.largest = np.abs(self.rising[:, [0, -1]]).max(axis=1).astype(float)
 
     def segment(self, d: int, weight: int, least: float, begun: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows and impacts not yet taken of dimension ``d`` that contribute at least ``least``."""
         rising, n = self.rising[d], self.rising.shape[1]
         if weight > 0:
-            end = max(begun, n - int(np.searchsorted(rising, np.ceil(least / weight), "left")))
+            end = max(begun, n - int(np.searchsorted(rising, int(np.ceil(least / weight)), "left")))
             part = slice(n - end, n - begun)
         else:
-            end = max(begun, int(np.searchsorted(rising, np.floor(least / weight), "right")))
+            end = max(begun, int(np.searchsorted(rising, int(np.floor(least / weight)), "right")))
             part = slice(begun, end)
         return self.order[d, part], rising[part], end
 
@@ -55,17 +56,26 @@ def top(q_id: int, q: np.ndarray, ids: np.ndarray, data: np.ndarray, state: dict
     used = np.flatnonzero(weights)
     most = np.maximum(weights * index.rising[:, 0], weights * index.rising[:, -1])
     peak = int(most.max(initial=0))
-    total, seen = np.zeros(n, np.int64), np.zeros((dims, n))  # 1 where a posting was taken
+    total, taken = np.zeros(n, np.int64), np.zeros(n)  # of a row: sum and number of its postings taken
+    small = np.abs(weights).astype(float) @ index.largest < 1 << 53  # sums are exact as doubles
     begun = np.zeros(dims, np.int64)
     cut = None
     for level in LEVELS if peak > 0 else ():
         least = level * peak
+        segments = []
         for d in used[most[used] >= least].tolist():
             rows, impacts, begun[d] = index.segment(d, int(weights[d]), least, int(begun[d]))
-            total[rows] += weights[d] * impacts  # a row occurs once in a dimension
-            seen[d, rows] = 1.0
-        rest = np.minimum(most, np.floor(least))  # no posting still to come adds more
-        bound = total + rest.sum() - rest @ seen
+            segments.append((rows, weights[d] * impacts))
+        rows, added = (np.concatenate(part) for part in zip(*segments))
+        taken += np.bincount(rows, minlength=n)
+        if small:
+            total += np.bincount(rows, added, n).astype(np.int64)
+        else:
+            np.add.at(total, rows, added)
+        # No posting still to come adds more than its dimension's most or the level; a dimension
+        # with postings taken has a larger most, so each of them leaves the level out of the bound.
+        rest = np.minimum(most, np.floor(least))
+        bound = total + rest.sum() - np.floor(least) * taken
         sample = np.argpartition(-np.where(other, total, total.min() - 1), 4 * k)[: 4 * k]
         exact = np.sort(index.impacts[sample[other[sample]]] @ weights)[::-1]
         if len(exact) >= k:
