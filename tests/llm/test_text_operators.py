@@ -278,6 +278,33 @@ def test_cross_entropy_counts_every_word_and_bigram(spark, docs, labels):
     assert lm.score(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("dictionary, shares", [(1, 1024), (7, 1), (12, 1024), (65_000, 1)])
+def test_cross_entropy_is_the_same_however_tokens_are_packed(spark, docs, labels, monkeypatch, dictionary, shares):
+    want = {r["doc_id"]: r for r in lm.score(docs.where("doc_id is not null"), labels).collect()}
+    monkeypatch.setattr(lm, "DICTIONARY", dictionary)
+    monkeypatch.setattr(lm, "SHARES", shares)
+    for r in lm.score(docs.where("doc_id is not null"), labels).collect():
+        for c in ("ce_target", "ce_background"):
+            assert r[c] == (None if want[r["doc_id"]][c] is None else pytest.approx(want[r["doc_id"]][c]))
+
+
+def test_cross_entropy_shuffles_no_row_a_token(spark):
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(300))) for i in range(1000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        executors = store.executorList(False)
+        return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+    before = written()
+    assert lm.score(docs, labels).select("ce_difference").count() == 1000
+    assert written() - before < 12 * 300_000  # a row a token took 35 bytes
+
+
 def test_sharding(spark, docs):
     got = sharding.shard_by_bytes(docs, shards=4)
     carried(got.withColumnRenamed("shard", "_s"), docs)
