@@ -12,9 +12,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from corpus import SCHEMA, Sets, corpus, lower, prose, table, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import circulant, importance, lines, lm, packing, pfair, secrets, sharding
+from tidemark.llm import circulant, importance, lines, linking, lm, packing, pfair, secrets, sharding
 from tidemark.llm.arrays import SpanHash, text_chunks, word_shingles
 from tidemark.llm.select import at_least_kth
 from tidemark.llm.tokens import Encoder
@@ -305,6 +306,34 @@ def test_cross_entropy_shuffles_no_row_a_token(spark):
     assert written() - before < 12 * 300_000  # a row a token took 35 bytes
 
 
+def test_shared_bands_are_the_shared_buckets_without_copies(spark):
+    rng = random.Random(8)
+    rows = [(k % 900, [rng.randrange(1 << 62) if rng.random() < 0.8 else mixed for mixed in (rng.randrange(9) * 0x9E3779B97F4A7C15 % (1 << 62),)]
+             + [k % 900 * 77_777_777_777]) for k in range(1200)]
+    lists = spark.createDataFrame(rows, "id long, keys array<long>").repartition(5)
+    want = linking.shared_buckets(lists.select("id", F.posexplode("keys").alias("band", "key"))).distinct()
+    got = linking.shared_bands(lists)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert linking.shared_bands(lists.limit(0)).count() == 0
+
+
+def test_line_buckets_are_not_shuffled_row_by_row(spark):
+    rng = random.Random(9)
+    rows = [(k, [rng.randrange(1 << 62) for _ in range(10)]) for k in range(20_000)]
+    lists = spark.createDataFrame(rows, "id long, keys array<long>").repartition(4).cache()
+    lists.count()
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        executors = store.executorList(False)
+        return sum(executors.apply(k).totalShuffleRead() for k in range(executors.size()))
+
+    before = shuffled()
+    assert linking.shared_bands(lists).count() == 0
+    assert shuffled() - before < 20 * 200_000
+
+
 def test_sharding(spark, docs):
     got = sharding.shard_by_bytes(docs, shards=4)
     carried(got.withColumnRenamed("shard", "_s"), docs)

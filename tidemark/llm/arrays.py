@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # arrays of eight bytes for each then stay in the cache
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -71,7 +71,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about a megabyte: (first row, end row, bytes, bounds from 0).
+    """Runs of rows of about ``CHUNK_BYTES``: (first row, end row, bytes, bounds from 0).
 
     A longer text is a run of its own, so every text is seen whole.
     """
@@ -103,7 +103,21 @@ class SpanHash:
         np.cumsum(codes[data] * powers[: len(data)], out=self._sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self._sums[end] - self._sums[start]) * self._inverse[start])
+        return mix64(self._unmixed(start, end))
+
+    def _unmixed(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self._sums[end] - self._sums[start]) * self._inverse[start]
+
+    def windows(self, points: np.ndarray, width: int, chosen: np.ndarray, short: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes from each of ``points[chosen]`` to the point ``width`` further on; those at ``short`` of spans instead.
+
+        ``points`` are ascending and more than ``width``, and no other chosen one is among the last ``width - 1``.
+        """
+        sums = np.append(self._sums[points], self._sums[-1])
+        ahead = (sums[width:] - sums[:-width]) * self._inverse[points[: len(points) - width + 1]]
+        values = ahead[np.minimum(chosen, len(ahead) - 1)]
+        values[short] = self._unmixed(start, end)
+        return mix64(values)
 
 
 def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,6 +173,36 @@ def reduce_rows(ufunc: np.ufunc, values: np.ndarray, rows: np.ndarray, empty) ->
     return out
 
 
+def listed(order: np.ndarray, groups: np.ndarray, columns: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """The distinct ``groups``, which ``order`` sorts, and for each its values of every column as a list."""
+    groups = groups[order]
+    starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+    offsets = pa.array(np.append(starts, len(groups)), pa.int32())
+    return groups[starts], {c: pa.ListArray.from_arrays(offsets, pa.array(v[order])) for c, v in columns.items()}
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """The rows of each value of ``by``, by which the batches are sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(by).to_numpy()
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and held[0].column(by)[0].as_py() != values[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def flat(rows: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
+    """The values of a column of lists."""
+    return pc.list_flatten(rows.column(name)).to_numpy()
+
+
 def jaccard_counts(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Sizes of intersection and union of two sorted sets."""
     both = np.intersect1d(a, b, assume_unique=True).size

@@ -56,11 +56,15 @@ def line_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def character_shingles(hashed: SpanHash, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``WIDTH``-character shingles of each span; a shorter span is one shingle."""
-    points = np.concatenate((np.flatnonzero(~_CONTINUES[data]), np.full(WIDTH, len(data))))
+    points = np.flatnonzero(~_CONTINUES[data])
     low, high = np.searchsorted(points, start), np.searchsorted(points, end)
     sizes = np.where(high > low, np.maximum(high - low - WIDTH + 1, 1), 0)
     rows = np.concatenate(([0], np.cumsum(sizes)))
     at = np.repeat(low - rows[:-1], sizes) + np.arange(rows[-1])
+    if 2 * rows[-1] > len(points) > WIDTH:  # most of the text: all windows at once
+        short = np.flatnonzero((high > low) & (high - low <= WIDTH))
+        return hashed.windows(points, WIDTH, at, rows[short], start[short], end[short]), rows
+    points = np.concatenate((points, np.full(WIDTH, len(data))))
     stop = np.minimum(points[at + WIDTH], np.repeat(end, sizes))
     return hashed(points[at], stop), rows
 
@@ -195,8 +199,7 @@ def line_kinds(docs: DataFrame) -> DataFrame:
     """(id, kept_id, doc_id, line) of every distinct line: its kind, and the kind's first place."""
     lines = checkpointed(distinct_lines(docs))
     firsts = checkpointed(lines.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("at")))
-    buckets = lines.select("id", F.posexplode("keys").alias("band", "key"))
-    shared = linking.shared_buckets(buckets)
+    shared = linking.shared_bands(lines.select("id", "keys"))
     wanted = shared.select("id").distinct().join(firsts, "id").select("id", "at.doc_id", "at.line")
     texts = _line_texts(docs, wanted)
     links = linking.verified(linking.pivot_pairs(shared), texts, shingle_sets, PERCENT)

@@ -13,15 +13,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import jaccard_counts
+from tidemark.llm.arrays import flat, jaccard_counts, listed, mix64, python_ready, runs
 from tidemark.session import checkpointed
 
 BLOCK = 1024
 FEW = 8
 BROADCAST_BYTES = 64 << 20
+GATHER = 1 << 20
+SLICE_BITS = 19
 
 
 def _moved(name: str) -> Column:
@@ -53,6 +56,97 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return checkpointed(found.select("band", "key", "id", "pivot"))
 
 
+def _shared_keys(lists: DataFrame) -> DataFrame:
+    """(key, pivot) of keys with several ids, from (id, keys). Written once.
+
+    Keys travel packed in arrays, each with the smallest and the largest id that a part of a task has for it.
+    """
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def emit() -> pa.RecordBatch:
+            key, item = map(np.concatenate, zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((item, key))
+            key, item = key[order], item[order]
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            last = np.append(new[1:], True)
+            ends = new | (last & np.concatenate(([False], item[1:] != item[:-1])))
+            key, item = key[ends], item[ends]
+            part = (mix64(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            found, columns = listed(np.argsort(part, kind="stable"), part, {"key": key, "id": item})
+            return pa.RecordBatch.from_arrays([pa.array(found), columns["key"], columns["id"]], ["part", "key", "id"])
+
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            held.append((flat(batch, "keys"), np.repeat(ids, pc.list_value_length(batch.column("keys")).to_numpy())))
+            if sum(len(h[0]) for h in held) > GATHER:
+                yield emit()
+        if sum(len(h[0]) for h in held):
+            yield emit()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "part"):
+            key, item = flat(rows, "key"), flat(rows, "id")
+            order = np.lexsort((item, key))
+            key, item = key[order], item[order]
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            several = item[starts] < item[np.append(starts[1:], len(key)) - 1]
+            yield pa.RecordBatch.from_arrays([pa.array(x[starts[several]]) for x in (key, item)], ["key", "pivot"])
+
+    packed = lists.mapInArrow(pack, "part int, key array<long>, id array<long>")
+    dealt = packed.repartition("part").sortWithinPartitions("part")
+    return checkpointed(dealt.mapInArrow(meet, "key long, pivot long"))
+
+
+def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits (a power of two), set at the low bits of every key; gathered in slices."""
+    low = min(SLICE_BITS, bits.bit_length() - 1)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "slice"):
+            marked = np.zeros(1 << low, bool)
+            marked[rows.column("at").to_numpy() & ((1 << low) - 1)] = True
+            part = [pa.array([rows.column("slice")[0].as_py()]), pa.array([np.packbits(marked).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(part, ["slice", "bits"])
+
+    at = keys.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("at")).distinct()
+    dealt = at.withColumn("slice", F.shiftright("at", low)).repartition("slice").sortWithinPartitions("slice")
+    out = np.zeros(bits // 8, np.uint8)
+    slices = dealt.mapInArrow(fill, "slice long, bits binary").toArrow()
+    for number, data in zip(slices.column("slice").to_pylist(), slices.column("bits").to_pylist(), strict=True):
+        out[number << (low - 3) : (number + 1) << (low - 3)] = np.frombuffer(data, np.uint8)
+    return out
+
+
+def shared_bands(lists: DataFrame) -> DataFrame:
+    """:func:`shared_buckets` of (id, keys): the k-th key of a list is that of band k. Each row once.
+
+    Keys must be well mixed. Keys that occur once, most of them, are told by a bitmap of at most
+    ``BROADCAST_BYTES`` and leave before anything is shuffled row by row; those it lets through
+    wrongly leave in the join.
+    """
+    python_ready(lists.sparkSession)
+    several = _shared_keys(lists)
+    bits = max(1 << 10, min(BROADCAST_BYTES * 8, 1 << (16 * several.count()).bit_length()))
+    shared = lists.sparkSession.sparkContext.broadcast(_bitmap(several, bits))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, sizes = flat(batch, "keys"), pc.list_value_length(batch.column("keys")).to_numpy()
+            at = key & (bits - 1)
+            hit = np.flatnonzero((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
+            row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+            band = hit - (np.cumsum(sizes) - sizes)[row]
+            columns = [band.astype(np.int32), key[hit], batch.column("id").to_numpy()[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["band", "key", "id"])
+
+    found = lists.mapInArrow(pick, "band int, key long, id long").distinct().join(several, "key")
+    return checkpointed(found.select("band", "key", "id", "pivot"))
+
+
 def pivot_pairs(shared: DataFrame) -> DataFrame:
     """(a, b) with a < b: every member with its bucket's smallest member, each pair once."""
     return shared.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
@@ -98,7 +192,6 @@ class _Block:
         names = ("key", "_low", "_high", "band", "id", "part", "size", "_own")
         self.cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names}
         self.sig = signature(batch)
-        self.known: dict[int, np.ndarray] = {}  # sets by id, as an item is in several groups
 
     def groups(self) -> list[int]:
         """Where groups of equal key and block pair start, and the end."""
@@ -149,6 +242,7 @@ class _Block:
 
     def _confirmed(self, near: list[tuple[int, float, int, int]]) -> list[tuple[int, int]]:
         links, joined, current = [], _Parts(), -1
+        known = self._sets(near) if near else {}
         for group, _, x, y in near:
             if group != current:
                 joined, current = _Parts(), group
@@ -156,18 +250,17 @@ class _Block:
             if a == b:  # already linked through others
                 continue
             one, two = int(self.cols["id"][x]), int(self.cols["id"][y])
-            both, union = jaccard_counts(self._set(one, x), self._set(two, y))
+            both, union = jaccard_counts(known[one], known[two])
             if union and 100 * both >= self.percent * union:
                 links.append((one, two))
                 joined.above[max(a, b)] = min(a, b)
         return links
 
-    def _set(self, item: int, row: int) -> np.ndarray:
-        if item not in self.known:
-            if len(self.known) >= BLOCK:
-                self.known.clear()
-            self.known[item] = self.sets(self.batch.column("text").slice(row, 1))[0]
-        return self.known[item]
+    def _sets(self, near: list[tuple[int, float, int, int]]) -> dict[int, np.ndarray]:
+        """The sets of all rows in ``near``, by id."""
+        ids = self.cols["id"]
+        once = {int(ids[k]): k for _, _, x, y in near for k in (x, y)}
+        return dict(zip(once, self.sets(self.batch.column("text").take(pa.array(list(once.values())))), strict=True))
 
 
 def cross_links(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, python_ready, text_chunks, word_spans
+from tidemark.llm.arrays import SpanHash, flat, listed, mix64, python_ready, reduce_rows, runs, text_chunks, word_spans
 from tidemark.llm.columns import folded, unfolded
 from tidemark.llm.importance import TARGET_ROWS, labelled_good
 from tidemark.llm.linking import sized
@@ -291,14 +291,6 @@ def _frequent(docs: DataFrame, buckets: int) -> _Frequent:
     return out
 
 
-def _listed(order: np.ndarray, groups: np.ndarray, columns: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, pa.Array]]:
-    """The distinct ``groups`` in order, and for each its values of every column as a list."""
-    groups = groups[order]
-    starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
-    offsets = pa.array(np.append(starts, len(groups)), pa.int32())
-    return groups[starts], {c: pa.ListArray.from_arrays(offsets, pa.array(v[order])) for c, v in columns.items()}
-
-
 def _filled(schema: pa.Schema, rows: int, /, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema)
 
@@ -383,7 +375,7 @@ def _packed(docs: DataFrame, frequent, buckets: int) -> DataFrame:
                     continue
                 bucket = (mix64(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
                 order = np.lexsort((key, bucket))
-                found, lists = _listed(order, bucket, {**columns, "row": signed[at]})
+                found, lists = listed(order, bucket, {**columns, "row": signed[at]})
                 yield _filled(
                     _PACKED, len(found), bucket=pa.array(found), kind=pa.array(np.full(len(found), kind, np.int8)),
                     gather=pa.array(np.full(len(found), gather)), **lists,
@@ -411,27 +403,6 @@ def _packed(docs: DataFrame, frequent, buckets: int) -> DataFrame:
     return docs.select("_text", "text", "_good").mapInArrow(pack, _spark_schema(_PACKED))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
-    """The rows of each value of ``by``, by which the batches are sorted."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(by).to_numpy()
-        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if held and held[0].column(by)[0].as_py() != values[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _flat(rows: pa.Table, name: str) -> np.ndarray:
-    return pc.list_flatten(rows.column(name)).to_numpy()
-
-
 def _bucket_losses(rows: pa.Table, known: _Frequent) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
     """(rows, (2, tokens) losses, signed text rows) of the tokens of one bucket, by kind."""
     kinds = {k: rows.filter(pc.equal(rows.column("kind"), k)) for k in range(1, 5)}
@@ -444,19 +415,19 @@ def _bucket_losses(rows: pa.Table, known: _Frequent) -> Iterator[tuple[pa.Table,
 
     for k in (1, 4):
         if kinds[k].num_rows:
-            row = _flat(kinds[k], "row")
-            near = _flat(kinds[k], "near").view(np.uint16).astype(np.int64)
-            word = near if k == 4 else _flat(kinds[k], "word").view(np.uint16).astype(np.int64)
-            key = (word << 16) | near if k == 1 else mix64(near.view(np.uint64) * np.uint64(3) + _flat(kinds[k], "rare").view(np.uint64))
+            row = flat(kinds[k], "row")
+            near = flat(kinds[k], "near").view(np.uint16).astype(np.int64)
+            word = near if k == 4 else flat(kinds[k], "word").view(np.uint16).astype(np.int64)
+            key = (word << 16) | near if k == 1 else mix64(near.view(np.uint64) * np.uint64(3) + flat(kinds[k], "rare").view(np.uint64))
             first, at, n = paired(key, row < 0)
             yield kinds[k], known.rarity(n, prior[:, word[first]])[:, at], row
     behind, far = kinds[2], kinds[3]
     if behind.num_rows or far.num_rows:
-        word = np.concatenate([_flat(behind, "rare"), _flat(far, "rare")])
-        row = np.concatenate([_flat(behind, "row"), _flat(far, "row")])
-        near = _flat(behind, "near").view(np.uint16).astype(np.uint64)
+        word = np.concatenate([flat(behind, "rare"), flat(far, "rare")])
+        row = np.concatenate([flat(behind, "row"), flat(far, "row")])
+        near = flat(behind, "near").view(np.uint16).astype(np.uint64)
         last = np.concatenate((near == LAST, np.zeros(len(row) - len(near), bool)))
-        context = np.concatenate((near, _flat(far, "other").view(np.uint64)))
+        context = np.concatenate((near, flat(far, "other").view(np.uint64)))
         good = row < 0
         distinct, of = np.unique(word, return_inverse=True)
         n, ends = (np.stack([np.bincount(of[x & good], minlength=len(distinct)), np.bincount(of[x], minlength=len(distinct))]) for x in (~last, last))
@@ -474,7 +445,7 @@ def _bucket_sums(packed: DataFrame, frequent) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: _Frequent = frequent.value
-        for rows in _runs(batches, "bucket"):
+        for rows in runs(batches, "bucket"):
             yield from rows.filter(pc.equal(rows.column("kind"), 0)).select(_SUMS.names).to_batches()
             gathers = np.unique(rows.column("gather").to_numpy())
             places, losses = [], []
@@ -488,7 +459,7 @@ def _bucket_sums(packed: DataFrame, frequent) -> DataFrame:
             place, at = np.unique(np.concatenate(places), return_inverse=True)
             loss = np.concatenate(losses, axis=1)
             target, background = (np.bincount(at, weights=x, minlength=len(place)) for x in loss)
-            found, lists = _listed(
+            found, lists = listed(
                 np.arange(len(place)), place >> 15, {"row": (place & 0x7FFF).astype(np.int16), "target": target, "background": background}
             )
             yield _filled(_SUMS, len(found), gather=pa.array(gathers[found]), **lists)
@@ -501,13 +472,13 @@ def _text_sums(sums: DataFrame) -> DataFrame:
     """(_text, _n, _target, _background) of every text with words."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, "gather"):
+        for rows in runs(batches, "gather"):
             own = pc.is_valid(rows.column("text"))
             texts, parts = rows.filter(own), rows.filter(pc.invert(own))
-            n, row = _flat(texts, "n"), _flat(parts, "row")
-            total = [_flat(texts, c) + np.bincount(row, weights=_flat(parts, c), minlength=len(n)) for c in ("target", "background")]
+            n, row = flat(texts, "n"), flat(parts, "row")
+            total = [flat(texts, c) + np.bincount(row, weights=flat(parts, c), minlength=len(n)) for c in ("target", "background")]
             some = n > 0
-            columns = [x[some] for x in (_flat(texts, "text"), n, *total)]
+            columns = [x[some] for x in (flat(texts, "text"), n, *total)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["_text", "_n", "_target", "_background"])
 
     dealt = sums.repartition("gather").sortWithinPartitions("gather")
