@@ -169,3 +169,21 @@ def test_trie_findclose_and_empty(spark):
     assert bp.findclose(2) == 3 and bp.findclose(4) == 7
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert prefix_trie.prefix_trie(empty).count() == 0
+
+
+def test_phrase_counts_are_not_shuffled_pair_by_pair(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(2000)}" for _ in range(500)), "en") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        executors = store.executorList(False)
+        return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+    df = df.cache()
+    df.count()
+    before = written()
+    assert collocations.collocations(df, least=100, longest=2).count() == 0
+    assert written() - before < 8 * 300_000

@@ -5,8 +5,8 @@ a-z). Words seen at least ``least`` times in their language get ids ranked by fr
 most frequent smallest, across all languages at once (an id says its language). Each level
 then counts pairs (id of a frequent phrase of k - 1 words, id of the next word) inside Python
 tasks: pairs whose two ids are both below ``tile`` land in one dense tile counted by
-``numpy.bincount``; all other pairs are sorted 64-bit keys counted as COO runs. Spark sums
-the tasks' partial counts. Pairs seen ``least`` times are the frequent phrases of k words;
+``numpy.bincount``; all other pairs are sorted 64-bit keys counted as COO runs. The tasks'
+partial counts travel packed in arrays, by buckets of pairs, and are summed bucket by bucket. Pairs seen ``least`` times are the frequent phrases of k words;
 they are ranked by frequency again and become the left side of the next level's pairs, up
 to ``longest`` words. A phrase can only reach ``least`` if its first k - 1 words do, so the
 levels count every candidate exactly.
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import python_ready
+from tidemark.llm.arrays import flat, listed, mix64, python_ready, runs
 from tidemark.session import checkpointed, shared_folder
 
 # Fixed values of the contract: piece and word separators, A-Z only lowered.
@@ -116,9 +116,8 @@ def word_ids(texts: pa.Array, langs: np.ndarray, lookup) -> tuple[np.ndarray, np
 _INDEXES: dict = {}
 
 
-def _encode(texts: DataFrame, words: DataFrame, chunk: int, tile: int) -> tuple[DataFrame, str | None]:
-    """Per document ``x``, the word ids with -1 for rare words and after each piece, and ``g`` = ``x``;
-    with them the task's counts of word pairs (one written table of :data:`LEVEL`)."""
+def _encode(texts: DataFrame, words: DataFrame, chunk: int) -> tuple[DataFrame, str | None]:
+    """Per document ``x``, the word ids with -1 for rare words and after each piece, and ``g`` = ``x``."""
     spark = texts.sparkSession
     size = words.count()
     encoded, path = texts.withColumn("x", F.lit(None).cast("array<int>")), None
@@ -147,31 +146,22 @@ def _encode(texts: DataFrame, words: DataFrame, chunk: int, tile: int) -> tuple[
                 at = index.get_indexer(values)
                 return np.where(at >= 0, ids[np.maximum(at, 0)], -1)
 
-            tally = Tally(1, tile)
             for batch in batches:
                 langs = np.asarray(batch.column("lang").to_pylist(), object)
                 x, rows = word_ids(batch.column("text"), langs, lookup)
                 prior = batch.column("x")
                 if prior.null_count < len(prior):
                     x = np.maximum(x, _flat(batch, "x")[0])
-                if carry:
-                    column = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(x.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("lang"), batch.column("text"), column], names=["lang", "text", "x"]
-                    )
-                else:
-                    yield _arrays(rows, x, x)
-                    yield from tally.add(x, x)
-            if not carry:
-                yield from tally.finish()
+                kept = ["lang", "text"] if carry else []
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *_lists(rows, x)], names=[*kept, "x"])
 
-        schema = "lang string, text string, x array<int>" if carry else LEVEL
+        schema = "lang string, text string, x array<int>" if carry else "x array<int>"
         encoded, written = _stored(encoded.mapInArrow(encode, schema))
         if path:
             _drop(spark, path)
         path = written
         shared.unpersist()
-    return encoded, path
+    return encoded.select("x", F.col("x").alias("g")), path
 
 
 def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -191,14 +181,11 @@ def _pairs(x: np.ndarray, g: np.ndarray, span: int) -> tuple[np.ndarray, np.ndar
     return left[ok], right[ok]
 
 
-LEVEL = "kind int, x array<int>, g array<int>, p int, w int, c long"
-
-
 class Tally:
     """A task's partial pair counts: a dense tile for small ids, sorted COO keys for the rest."""
 
-    def __init__(self, span: int, tile: int):
-        self.span, self.tile = span, tile
+    def __init__(self, span: int, tile: int, parts: int):
+        self.span, self.tile, self.parts = span, tile, parts
         self.dense = np.zeros(tile * tile, np.int64)
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
@@ -215,49 +202,60 @@ class Tally:
             self.counts.append(runs)
             self.held += len(unique)
         if self.held > FLUSH:
-            yield self._sparse()
+            yield from self._sparse()
 
-    def _sparse(self) -> pa.RecordBatch:
+    def _sparse(self) -> Iterator[pa.RecordBatch]:
         merged, at = np.unique(np.concatenate(self.keys), return_inverse=True)
         summed = np.bincount(at, weights=np.concatenate(self.counts), minlength=len(merged)).astype(np.int64)
         self.keys, self.counts, self.held = [], [], 0
-        return _counted((merged >> 32).astype(np.int32), (merged & 0xFFFFFFFF).astype(np.int32), summed)
+        yield from self._packed(merged, summed)
+
+    def _packed(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Counted pairs as arrays, a row for each bucket."""
+        part = (mix64(keys.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int32)
+        pairs = {"p": (keys >> 32).astype(np.int32), "w": (keys & 0xFFFFFFFF).astype(np.int32), "c": counts}
+        found, lists = listed(np.argsort(part, kind="stable"), part, pairs)
+        whole = pa.RecordBatch.from_arrays([pa.array(found), *lists.values()], names=["part", *lists])
+        for first in range(0, len(found), step := max(1, len(found) // 16)):
+            yield whole.slice(first, step)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         if self.keys:
-            yield self._sparse()
+            yield from self._sparse()
         cells = np.flatnonzero(self.dense)
         if len(cells):
-            yield _counted((cells // self.tile).astype(np.int32), (cells % self.tile).astype(np.int32), self.dense[cells])
+            yield from self._packed((cells // self.tile << 32) | cells % self.tile, self.dense[cells])
 
 
-def _counted(p: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-    n = len(p)
-    ints = pa.list_(pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.ones(n, np.int32)), pa.nulls(n, ints), pa.nulls(n, ints), pa.array(p), pa.array(w), pa.array(c)],
-        names=["kind", "x", "g", "p", "w", "c"],
-    )
+def _lists(rows: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
+    return [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(v.astype(np.int32))) for v in values]
 
 
-def _arrays(rows: np.ndarray, x: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-    n = len(rows) - 1
-    offsets = pa.array(rows, pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.zeros(n, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))),
-         pa.ListArray.from_arrays(offsets, pa.array(g.astype(np.int32))), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
-         pa.nulls(n, pa.int64())],
-        names=["kind", "x", "g", "p", "w", "c"],
-    )
+def _pair_counts(encoded: DataFrame, span: int, tile: int, parts: int, least: int) -> DataFrame:
+    """(p, w, f) of all pairs of a phrase of ``span`` words and the next word that occur ``least`` times."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(span, tile, parts)
+        for batch in batches:
+            yield from tally.add(_flat(batch, "x")[0], _flat(batch, "g")[0])
+        yield from tally.finish()
 
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "part"):
+            keys, at = np.unique((flat(rows, "p").astype(np.int64) << 32) | flat(rows, "w"), return_inverse=True)
+            sums = np.zeros(len(keys), np.int64)
+            np.add.at(sums, at, flat(rows, "c"))
+            often = sums >= least
+            keys, sums = keys[often], sums[often]
+            columns = [(keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["p", "w", "f"])
 
-def _split(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The id arrays, and the summed counts of the next level, of one written pass."""
-    counts = stored.where(F.col("kind") == 1).groupBy("p", "w").agg(F.sum("c").alias("f"))
-    return stored.where(F.col("kind") == 0).select("x", "g"), counts
+    packed = encoded.select("x", "g").mapInArrow(count, "part int, p array<int>, w array<int>, c array<long>")
+    dealt = packed.repartition("part").sortWithinPartitions("part")  # arrays of one bucket at a time
+    return dealt.mapInArrow(total, "p int, w int, f long")
 
 
-def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk: int, tile: int) -> tuple[DataFrame, str]:
+def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk: int) -> tuple[DataFrame, str]:
     """``g`` moved one word on: the id of the frequent phrase of ``span + 1`` words at each place, else -1."""
     spark = encoded.sparkSession
     moved, path = encoded.withColumn("h", F.lit(None).cast("array<int>")), None
@@ -272,7 +270,6 @@ def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk:
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             keys, ids = shared.value
-            tally = Tally(span + 1, tile)
             for batch in batches:
                 x, rows = _flat(batch, "x")
                 g, _ = _flat(batch, "g")
@@ -289,15 +286,11 @@ def _advance(encoded: DataFrame, grams: DataFrame, size: int, span: int, chunk:
                     prior, _ = _flat(batch, "h")
                     h = np.maximum(h, prior)
                 if last:
-                    yield _arrays(rows, x, h)
-                    yield from tally.add(x, h)
+                    yield pa.RecordBatch.from_arrays(_lists(rows, x, h), names=["x", "g"])
                 else:
-                    arrays = [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(v.astype(np.int32))) for v in (x, g, h)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["x", "g", "h"])
-            if last:
-                yield from tally.finish()
+                    yield pa.RecordBatch.from_arrays(_lists(rows, x, g, h), names=["x", "g", "h"])
 
-        moved, written = _stored(moved.mapInArrow(look, LEVEL if last else "x array<int>, g array<int>, h array<int>"))
+        moved, written = _stored(moved.mapInArrow(look, "x array<int>, g array<int>" if last else "x array<int>, g array<int>, h array<int>"))
         if path:
             _drop(spark, path)
         path = written
@@ -322,13 +315,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     size = words.count()
     level = words.select("lang", "id", F.array("word").alias("words"), "f")
     levels = [level]
-    stored, path = _encode(texts, words, chunk, tile) if size else (None, None)
+    encoded, path = _encode(texts, words, chunk) if size else (None, None)
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n >> 21)
     for span in range(1, longest):
-        if stored is None or size == 0:
+        if encoded is None or size == 0:
             break
-        encoded, counts = _split(stored)
-        grams = counts.where(F.col("f") >= least)
-        grams = checkpointed(_dense_ids(grams, F.desc("f"), "p", "w"))
+        counts = checkpointed(_pair_counts(encoded, span, tile, parts, least))  # else the order's sample counts twice
+        grams = checkpointed(_dense_ids(counts, F.desc("f"), "p", "w"))
         size = grams.count()
         left, right = level.alias("l"), words.alias("r")
         level = checkpointed(
@@ -338,9 +332,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             .select("l.lang", F.col("g.id").alias("id"), F.concat("l.words", F.array("r.word")).alias("words"), "g.f")
         )
         levels.append(level)
-        stored = None
         if span + 1 < longest and size:
-            stored, moved = _advance(encoded, grams, size, span, chunk, tile)
+            encoded, moved = _advance(encoded, grams, size, span, chunk)
             _drop(docs.sparkSession, path)
             path = moved
     if path:
