@@ -334,6 +334,42 @@ def test_line_buckets_are_not_shuffled_row_by_row(spark):
     assert shuffled() - before < 20 * 200_000
 
 
+def test_a_pivot_that_was_refused_is_not_compared_again(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):  # two lines of a bucket each, too far apart to be linked
+        words_ = [f"{rng.randrange(1 << 40):x}" for _ in range(30)]
+        texts += [" ".join(words_), " ".join(words_[:26] + [f"{rng.randrange(1 << 40):x}" for _ in range(4)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    opened, checked, members, verified = [], [], linking.open_members, linking.verified
+    monkeypatch.setattr(linking, "open_members", lambda *a: opened.append(members(*a)) or opened[0])
+    monkeypatch.setattr(linking, "verified", lambda pairs, *a: checked.append(pairs.count()) or verified(pairs, *a))
+    got = lines.dedup_lines(docs)
+    assert got.where("n_kept <> 1").count() == 0
+    assert checked[0] > 30 and opened[0].count() == 0
+
+
+def test_parts_joined_by_more_links_are_the_components_of_all(spark):
+    rng = random.Random(13)
+    first, more = ([(rng.randrange(90), rng.randrange(90)) for _ in range(n)] for n in (40, 25))
+    first, more = ([x for x in links if x[0] != x[1]] for links in (first, more))
+    links = [spark.createDataFrame(x, "a long, b long") for x in (first, more)]
+    for added in (links[1], links[1].limit(0)):
+        got = linking.joined_parts(linking.components(links[0]), added).collect()
+        want = linking.components(links[0].union(added)).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_lines_are_left_out_byte_for_byte(spark):
+    kept = "a line that stands in several documents \u00e9\U0001f600, first here"
+    texts = [f"{kept}\n\n own line 0\t", None, "", "\n\n", f" {kept}\r", f"{kept}\nx\n{kept}\n", f"\n{kept}\n\x0b\n\u00a0\n", f"own line 7\n{kept}", f"\n{kept}"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, f"{kept}\n{kept}"), (5, f"{kept}\nx\nnot in its first copy")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(0, texts[0], 2, 2), (1, None, 0, 0), (2, "", 0, 0), (3, "\n\n", 0, 0), (4, "", 1, 0), (5, f"x\n{kept}\n", 3, 2), (6, "\n\x0b\n\u00a0\n", 2, 1)]
+    want += [(7, "own line 7", 2, 1), (8, "", 1, 0), (None, rows[9][1], None, None), (5, "x\nnot in its first copy", 3, 2)]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_sharding(spark, docs):
     got = sharding.shard_by_bytes(docs, shards=4)
     carried(got.withColumnRenamed("shard", "_s"), docs)

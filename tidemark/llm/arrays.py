@@ -43,11 +43,11 @@ def python_ready(spark: SparkSession) -> None:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (fixed values of Murmur3)."""
-    x = x ^ (x >> np.uint64(33))
-    x *= np.uint64(0xFF51AFD7ED558CCD)
-    x ^= x >> np.uint64(33)
-    x *= np.uint64(0xC4CEB9FE1A85EC53)
-    x ^= x >> np.uint64(33)
+    moved = x >> np.uint64(33)
+    x = x ^ moved
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x *= np.uint64(factor)
+        x ^= np.right_shift(x, np.uint64(33), out=moved)
     return x
 
 
@@ -70,8 +70,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about ``CHUNK_BYTES``: (first row, end row, bytes, bounds from 0).
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows of about ``size`` bytes: (first row, end row, bytes, bounds from 0).
 
     A longer text is a run of its own, so every text is seen whole.
     """
@@ -80,7 +80,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data, bounds = text_bytes(column)
     first, rows = 0, len(bounds) - 1
     while first < rows:
-        end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1)
+        end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1)
         yield first, end, data[bounds[first] : bounds[end]], bounds[first : end + 1] - bounds[first]
         first = end
 
@@ -113,8 +113,12 @@ class SpanHash:
 
         ``points`` are ascending and more than ``width``, and no other chosen one is among the last ``width - 1``.
         """
-        sums = np.append(self._sums[points], self._sums[-1])
-        ahead = (sums[width:] - sums[:-width]) * self._inverse[points[: len(points) - width + 1]]
+        if len(points) == len(self._sums) - 1:  # every byte is a point
+            sums, inverse = self._sums, self._inverse[: len(points) - width + 1]
+        else:
+            sums = np.append(self._sums[points], self._sums[-1])
+            inverse = self._inverse[points[: len(points) - width + 1]]
+        ahead = (sums[width:] - sums[:-width]) * inverse
         values = ahead[np.minimum(chosen, len(ahead) - 1)]
         values[short] = self._unmixed(start, end)
         return mix64(values)

@@ -11,12 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import linking
-from tidemark.llm.arrays import SpanHash, mix64, reduce_rows, python_ready, sorted_sets, text_bytes, text_chunks
+from tidemark.llm.arrays import SpanHash, flat, mix64, reduce_rows, python_ready, sorted_sets, text_chunks
 from tidemark.llm.columns import folded, unfolded
 from tidemark.session import checkpointed
 
@@ -26,18 +27,17 @@ COORDINATES = BANDS * ROWS
 PERCENT = 80
 LEAST_AGREEMENT = 0.55  # of 40 coordinates: four deviations below 0.8
 SEEN_ROWS = 100_000
+CHUNK_BYTES = 1 << 17  # larger arrays go back to the system each time
 BROADCAST_BYTES = 64 << 20
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_CONTINUES = (np.arange(256) & 0xC0) == 0x80
 
 
-def line_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every line without its outer white space, and the lines before each row.
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 0x20) | (data - np.uint8(0x09) < 5)
 
-    A row has one line more than line feeds; blank lines have start = end.
-    """
+
+def line_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every line, and the lines before each row. A row has one line more than line feeds."""
     feeds = np.flatnonzero(data == 0x0A)
     rows = len(bounds) - 1
     before = np.searchsorted(feeds, bounds) + np.arange(rows + 1)
@@ -47,7 +47,16 @@ def line_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     at = np.arange(len(feeds)) + row_of_feed
     start[before[:-1]], end[before[1:] - 1] = bounds[:-1], bounds[1:]
     start[at + 1], end[at] = feeds + 1, feeds
-    solid = np.concatenate((np.flatnonzero(~_BLANK[data]), [len(data)]))
+    return start, end, before
+
+
+def line_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`line_bounds` without the white space around each line; blank lines have start = end."""
+    start, end, before = line_bounds(data, bounds)
+    some = start < end
+    if not (_blank(data[start[some]]) | _blank(data[end[some] - 1])).any():
+        return start, end, before
+    solid = np.concatenate((np.flatnonzero(~_blank(data)), [len(data)]))
     first = solid[np.searchsorted(solid, start)]
     last = solid[np.maximum(np.searchsorted(solid, end) - 1, 0)] + 1
     blank = first >= end
@@ -56,8 +65,11 @@ def line_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def character_shingles(hashed: SpanHash, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``WIDTH``-character shingles of each span; a shorter span is one shingle."""
-    points = np.flatnonzero(~_CONTINUES[data])
-    low, high = np.searchsorted(points, start), np.searchsorted(points, end)
+    if data.max(initial=0) < 0x80:
+        points, low, high = np.arange(len(data)), start, end
+    else:
+        points = np.flatnonzero(data & 0xC0 != 0x80)
+        low, high = np.searchsorted(points, start), np.searchsorted(points, end)
     sizes = np.where(high > low, np.maximum(high - low - WIDTH + 1, 1), 0)
     rows = np.concatenate(([0], np.cumsum(sizes)))
     at = np.repeat(low - rows[:-1], sizes) + np.arange(rows[-1])
@@ -87,7 +99,7 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def _columns(column: pa.Array) -> Iterator[tuple]:
-    for first, end, data, bounds in text_chunks(column):
+    for first, end, data, bounds in text_chunks(column, CHUNK_BYTES):
         start, stop, before = line_spans(data, bounds)
         hashed = SpanHash(data)
         whole = hashed(start, stop).view(np.int64)
@@ -148,27 +160,41 @@ def _sized(lists: DataFrame, column: str, item_bytes: int) -> DataFrame:
     return F.broadcast(lists) if rows * 64 + items * item_bytes <= BROADCAST_BYTES else lists
 
 
+def _strings(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, *map(pa.py_buffer, (bounds.astype(np.int32), data))])
+
+
+def _listed_lines(column: pa.Array) -> np.ndarray:
+    """The row of every value of a column of lists."""
+    return np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+
+
+def _places(row: np.ndarray, line: np.ndarray, first: int, end: int, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the lines (row, line) stand among those of a chunk, and which these are. Others of the rows are not there."""
+    own = np.arange(*np.searchsorted(row, (first, end)))
+    at = row[own] - first
+    own, at = (x[line[own] < before[at + 1] - before[at]] for x in (own, at))
+    return before[at] + line[own], own
+
+
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, text, size of its set) of the lines in ``wanted`` (id, doc_id, line), text as compared."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_pylist()
-            lines = batch.column("line").to_pylist()
-            for first, _, data, start, stop, before, hashed, whole in _columns(batch.column("text")):
-                found, at = [], []
-                for row in range(len(before) - 1):
-                    for k, line in zip(ids[first + row], lines[first + row], strict=True):
-                        place = before[row] + line
-                        if place < before[row + 1] and whole[place] == k:
-                            found.append(k)
-                            at.append(place)
-                values, rows = character_shingles(hashed, data, start[at], stop[at])
-                _, bounds = sorted_sets(values, rows)
-                texts = [data[a:b].tobytes().lower().decode() for a, b in zip(start[at].tolist(), stop[at].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.int64()), pa.array(texts, pa.string()), pa.array(np.diff(bounds))], ["id", "text", "size"]
-                )
+            row, line, ids = _listed_lines(batch.column("line")), flat(batch, "line"), flat(batch, "id")
+            for first, end, data, bounds in text_chunks(batch.column("text"), CHUNK_BYTES):
+                start, stop, before = line_spans(data, bounds)
+                place, own = _places(row, line, first, end, before)
+                size = stop[place] - start[place]
+                bounds = np.concatenate(([0], np.cumsum(size)))
+                data = data[np.repeat(start[place] - bounds[:-1], size) + np.arange(bounds[-1])]
+                hashed = SpanHash(data)
+                same = hashed(bounds[:-1], bounds[1:]).view(np.int64) == ids[own]
+                values, rows = character_shingles(hashed, data, bounds[:-1][same], bounds[1:][same])
+                _, sets = sorted_sets(values, rows)
+                texts = pc.ascii_lower(_strings(data, bounds)).filter(pa.array(same))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[own][same]), texts, pa.array(np.diff(sets))], ["id", "text", "size"])
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("_at"))  # lines of one document
     places = _sized(places, "_at", 32)
@@ -182,7 +208,7 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     """The sorted shingle set of every compared line of a column."""
     out = []
-    for _, _, data, bounds in text_chunks(column):
+    for _, _, data, bounds in text_chunks(column, CHUNK_BYTES):
         values, rows = character_shingles(SpanHash(data), data, bounds[:-1], bounds[1:])
         sets, at = sorted_sets(values, rows)
         out.extend(sets[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
@@ -190,32 +216,40 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
 
 
 def _signature(block: pa.RecordBatch) -> np.ndarray:
-    data, bounds = text_bytes(block.column("text"))
-    data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
-    return signatures(*character_shingles(SpanHash(data), data, bounds[:-1], bounds[1:]))
+    parts = [np.empty((0, COORDINATES), np.uint32)]
+    for _, _, data, bounds in text_chunks(block.column("text"), CHUNK_BYTES):
+        parts.append(signatures(*character_shingles(SpanHash(data), data, bounds[:-1], bounds[1:])))
+    return np.concatenate(parts)
 
 
-def line_kinds(docs: DataFrame) -> DataFrame:
-    """(id, kept_id, doc_id, line) of every distinct line: its kind, and the kind's first place."""
+def first_places(docs: DataFrame) -> DataFrame:
+    """The first place of each kind of line, a struct ``at`` of doc_id and line."""
     lines = checkpointed(distinct_lines(docs))
     firsts = checkpointed(lines.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("at")))
     shared = linking.shared_bands(lines.select("id", "keys"))
     wanted = shared.select("id").distinct().join(firsts, "id").select("id", "at.doc_id", "at.line")
     texts = _line_texts(docs, wanted)
     links = linking.verified(linking.pivot_pairs(shared), texts, shingle_sets, PERCENT)
-    parts = linking.components(links)
-    members = linking.open_members(shared, parts, texts)
+    parts = checkpointed(linking.components(links))
+    # a bucket's pivot has met all its members on whole sets; only the others may still be linked
+    members = linking.open_members(shared.where("id > pivot"), parts, texts)
     more = linking.cross_links(members, _signature, shingle_sets, BANDS, ROWS, LEAST_AGREEMENT, PERCENT)
-    groups = linking.components(links.union(more))
-    named = firsts.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", F.coalesce("component", "id").alias("kind"), "at"
-    )
-    kept = named.groupBy("kind").agg(F.min("at").alias("at"))
-    linked = groups.select(F.col("component").alias("kind")).distinct()
-    # only lines of larger kinds stand elsewhere than at their own first place
-    moved = named.join(linked, "kind", "left_semi").drop("at").join(kept, "kind").select("id", "at")
-    alone = named.join(linked, "kind", "left_anti").select("id", "at")
-    return moved.union(alone)
+    groups = linking.sized(linking.joined_parts(parts, more).withColumnRenamed("node", "id"), 32)
+    alone = firsts.join(groups, "id", "left_anti").select("at")
+    return alone.union(firsts.join(groups, "id").groupBy("component").agg(F.min("at").alias("at")).select("at"))
+
+
+def _left(data: np.ndarray, bounds: np.ndarray, stays: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of :func:`line_bounds` with those lines that stay, and their new bounds."""
+    start, end, before = line_bounds(data, bounds)
+    order = np.cumsum(stays) - stays
+    start -= order > np.repeat(order[before[:-1]], np.diff(before))  # all but a row's first follow a line feed
+    some = stays & (start < end)
+    step = np.zeros(len(data) + 1, np.int8)
+    step[start[some]] += 1
+    step[end[some]] -= 1
+    total = np.concatenate(([0], np.cumsum(np.where(some, end - start, 0))))
+    return data[np.cumsum(step[:-1], dtype=np.int8).view(bool)], total[before]
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -236,9 +270,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     given, new = docs, ["n_lines", "n_kept"]
     docs = folded(given, ["doc_id", "text"], new)
-    kinds = checkpointed(line_kinds(docs))
     # every occurrence of a line must learn whether it is the kept place: by document
-    keep = kinds.select(F.col("at.doc_id").alias("_doc"), F.col("at.line").alias("_line")).distinct()
+    keep = first_places(docs).select(F.col("at.doc_id").alias("_doc"), F.col("at.line").alias("_line"))
     per_doc = _sized(keep.groupBy("_doc").agg(F.collect_set("_line").alias("_keep")), "_keep", 4)  # lines of one document
     schema = T.StructType(docs.schema.fields + [T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())])
 
@@ -246,24 +279,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = batch.column("_keep").to_pylist()
-            texts = batch.column("text").to_pylist()
-            ids = batch.column("doc_id").to_pylist()
-            n, left = [], []
-            for row, text in enumerate(texts):
-                if ids[row] is None or text is None:
-                    n.append(None if ids[row] is None else 0)
-                    left.append(n[-1])
-                    continue
-                parts, stay = text.split("\n"), set(keep[row] or ())
-                solid = [bool(p.strip(" \t\n\r\x0b\x0c")) for p in parts]
-                n.append(sum(solid))
-                left.append(sum(k in stay for k, s in enumerate(solid) if s))
-                texts[row] = "\n".join(p for k, p in enumerate(parts) if not solid[k] or k in stay)
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(n, pa.int64()), pa.array(left, pa.int64())], names + ["n_lines", "n_kept"]
-            )
+            row, line = _listed_lines(batch.column("_keep")), flat(batch, "_keep")
+            text, placed = batch.column("text"), pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)
+            texts, counts = [], []
+            for first, end, data, bounds in text_chunks(text, CHUNK_BYTES):
+                start, stop, before = line_spans(data, bounds)
+                kept = np.zeros(len(start), bool)
+                kept[_places(row, line, first, end, before)[0]] = True
+                solid = start < stop
+                counts.append([np.add.reduceat(x, before[:-1], dtype=np.int64) for x in (solid, solid & kept)])
+                texts.append(_strings(*_left(data, bounds, kept | ~solid | np.repeat(~placed[first:end], np.diff(before)))))
+            n, left = (pa.array(np.concatenate(x), mask=~placed) for x in zip(*counts, strict=True)) if counts else ([], [])
+            texts = pc.if_else(pc.is_valid(text), pa.concat_arrays(texts), None) if texts else text
+            columns = [texts if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(n, pa.int64()), pa.array(left, pa.int64())], names + ["n_lines", "n_kept"])
 
     # a document none of whose lines is a first place has no row in per_doc
     joined = docs.join(per_doc, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")

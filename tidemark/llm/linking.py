@@ -319,10 +319,12 @@ def verified(
 ) -> DataFrame:
     """The pairs whose whole sets meet ``100 * intersection >= percent * union``; written once.
 
-    ``texts`` is (id, text); ``sets`` makes the sorted sets of a text column.
+    ``texts`` is (id, text); ``sets`` makes the sorted sets of a text column. With their sizes
+    in ``texts`` too (size), pairs that these rule out never leave the join.
     """
-    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    known = [c for c in ("text", "size") if c in texts.columns]
+    first = texts.select(F.col("id").alias("a"), *(F.col(c).alias(f"{c}_a") for c in known))
+    second = texts.select(F.col("id").alias("b"), *(F.col(c).alias(f"{c}_b") for c in known))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,7 +341,10 @@ def verified(
                 good.append(union > 0 and 100 * both >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    joined = pairs.join(first, "a").join(second, "b")
+    if "size" in known:
+        joined = joined.where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+    joined = joined.select("a", "b", "text_a", "text_b")
     return checkpointed(joined.mapInArrow(check, "a long, b long"))
 
 
@@ -377,3 +382,15 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
     named = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return named.union(edges.select(F.col("v"), F.col("v")).distinct())
+
+
+def joined_parts(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """:func:`components` of all the links behind ``parts`` (its result) and of ``more`` (a, b); only whole parts are joined."""
+    ends = more
+    for c in "ab":
+        ends = ends.join(parts.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left")
+    ends = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    up = checkpointed(components(ends))
+    moved = up.select(F.col("node").alias("component"), F.col("component").alias("_up"))
+    known = parts.join(moved, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
+    return known.union(up.join(parts, "node", "left_anti"))

@@ -76,7 +76,7 @@ def op3_pfair_mixing(table):
 
 @_query
 def op4_fuzzy_lines(table):
-    deduped = lines.dedup_lines(table("documents"))
+    deduped = lines.dedup_lines(table("documents").select("doc_id", "text"))
     return deduped.select(
         "doc_id", "n_lines", "n_kept", F.crc32("text").alias("text_crc32"), F.length("text").alias("n_chars")
     )
